@@ -44,17 +44,18 @@ def fraud_report(rule_rows: list[DataFrame] | DataFrame, report_dt: dt.date | Co
 
 
 def new_report_rows(existing: DataFrame, candidate: DataFrame) -> DataFrame:
-    """Candidate rows not yet reported: anti join on the key; NULL-passport rows
-    on all columns but report_dt (NULL-safe)."""
-    e = existing.select(*KEY, "fio", "phone", "event_type")
-    keyed = candidate.where(F.col("passport").isNotNull()) \
-        .join(e.where(F.col("passport").isNotNull()).select(*KEY), on=KEY, how="left_anti")
-    en = e.where(F.col("passport").isNull()).alias("e")
-    cn = candidate.where(F.col("passport").isNull()).alias("c")
-    cond = reduce(lambda a, b: a & b,
-                  [F.col(f"c.{c}").eqNullSafe(F.col(f"e.{c}")) for c in ["event_dt", "fio", "phone", "event_type"]])
-    nulls = cn.join(en, cond, "left_anti")
-    return keyed.unionByName(nulls)
+    """Candidate rows not yet reported, as one anti join.
+
+    Equi keys ``event_dt`` and ``coalesce(passport, '')``; a NULL passport only
+    matches a stored row equal in every column but report_dt (NULL-safe).
+    """
+    e = existing.select(*[F.col(c).alias(f"_e_{c}") for c in ["event_dt", "passport", "fio", "phone", "event_type"]])
+    same = lambda c: F.col(c).eqNullSafe(F.col(f"_e_{c}"))
+    cond = ((F.col("event_dt") == F.col("_e_event_dt"))
+            & (F.coalesce(F.col("passport"), F.lit("")) == F.coalesce(F.col("_e_passport"), F.lit("")))
+            & same("passport")
+            & (F.col("passport").isNotNull() | (same("fio") & same("phone") & same("event_type"))))
+    return candidate.join(e, cond, "left_anti")
 
 
 def append_report(existing: DataFrame, candidate: DataFrame) -> DataFrame:

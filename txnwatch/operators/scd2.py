@@ -14,9 +14,9 @@ idempotent (loading the same staged rows twice equals loading them once).
 ordered series of loads in one pass, equal to folding ``scd2_merge`` over it.
 
 Skew: per-key state is computed with ``groupBy`` (partial aggregation, no key
-is gathered into one task); ordering within a key uses the bucketed
-``neighbours`` operator; the final rewrite is a join on the key that AQE can
-split or broadcast.
+is gathered into one task); ordering within a key uses windows partitioned by
+(key, time bucket) linked by a small edge table; the final rewrite is a join
+on the key that AQE can split or broadcast.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnwatch.functions import scalars as X
-from txnwatch.operators.sequence import DEFAULT_BUCKET_SECONDS, neighbours
+from txnwatch.operators.sequence import DEFAULT_BUCKET_SECONDS
 
 FROM, TO, FLAG = "effective_from", "effective_to", "deleted_flag"
 
@@ -36,10 +36,6 @@ def _lit_ts(value: dt.datetime | Column | str) -> Column:
     return value if isinstance(value, Column) else X.ntz(value)
 
 
-def _history_cols(key: str, attrs: list[str]) -> list[str]:
-    return [key, *attrs, FROM, TO, FLAG]
-
-
 def latest_per_key(staged: DataFrame, key: str, attrs: list[str], ts: str,
                    order: list[str] | None = None) -> DataFrame:
     """One staged row per key: the latest by ``ts`` (then ``order``); NULL keys rejected.
@@ -68,6 +64,24 @@ def latest_per_key_and_time(rows: DataFrame, key: str, attrs: list[str], ts: str
 # Whole history in one pass
 # ---------------------------------------------------------------------------
 
+def _attrs_differ(left: str, right: str, attrs: list[str]) -> Column:
+    """NULL-safe: some attribute of struct ``left`` differs from struct ``right``."""
+    if not attrs:
+        return F.lit(False)
+    return X.any_differs([(F.col(left).getField(a), F.col(right).getField(a)) for a in attrs])
+
+
+def _bucketed(rows: DataFrame, key: str, attrs: list[str], ts: str, bucket_seconds: int,
+              extra: list[str] | None = None) -> DataFrame:
+    return rows.select(key, *attrs, ts, *(extra or []),
+                       _bucket_of(ts, bucket_seconds).alias("_b"),
+                       F.struct(*[F.col(a) for a in attrs]).alias("_a"))
+
+
+def _bucket_of(ts: str, bucket_seconds: int) -> Column:
+    return F.floor(X.epoch_seconds(ts) / F.lit(bucket_seconds)).cast("bigint")
+
+
 def scd2_from_changes(changes: DataFrame, key: str, attrs: list[str], ts: str,
                       order: list[str] | None = None,
                       bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
@@ -76,17 +90,37 @@ def scd2_from_changes(changes: DataFrame, key: str, attrs: list[str], ts: str,
     Same-second changes of a key keep the last by ``order``; a change to equal
     values (NULL-safe) extends the version; a version ends one second before
     the next one starts; the last one is open.
+
+    Plan: one window pass per (key, time bucket) finds run starts inside each
+    bucket; a small per-(key, bucket) edge table links buckets (is the first
+    row of a bucket a run start, where does the next run start); one join of
+    the edges back on (key, bucket). No window is partitioned by key alone.
     """
     c = latest_per_key_and_time(changes, key, attrs, ts, order)
-    n1 = neighbours(c, [key], ts, prev_cols=attrs, bucket_seconds=bucket_seconds, keep_bucket=True)
-    first = F.col(f"prev_{ts}").isNull()
-    kept = n1.where(first | X.any_differs([(a, f"prev_{a}") for a in attrs]) if attrs else first)
-    kept = kept.select(key, *attrs, ts, "_nb_bucket")
-    n2 = neighbours(kept, [key], ts, bucket_seconds=bucket_seconds)
-    return n2.select(
+    d = _bucketed(c, key, attrs, ts, bucket_seconds)
+    w = Window.partitionBy(key, "_b").orderBy(ts)
+    d = d.select("*", F.lag("_a").over(w).alias("_pa"), F.lag(F.lit(1)).over(w).isNull().alias("_first"))
+    d = d.withColumn("_inner_start", ~F.col("_first") & _attrs_differ("_a", "_pa", attrs))
+    d = d.withColumn("_next_inner", F.min(F.when(F.col("_inner_start"), F.col(ts)))
+                     .over(w.rowsBetween(1, Window.unboundedFollowing)))
+    edges = d.groupBy(key, "_b").agg(
+        F.min(F.struct(F.col(ts).alias("t"), F.col("_a").alias("a"))).alias("_f"),
+        F.max(F.struct(F.col(ts).alias("t"), F.col("_a").alias("a"))).alias("_l"),
+        F.min(F.when(F.col("_inner_start"), F.col(ts))).alias("_inner_min"))
+    we = Window.partitionBy(key).orderBy("_b")
+    edges = edges.select(key, "_b", "_f", "_inner_min", F.lag("_l").over(we).alias("_pl"))
+    first_is_start = F.col("_pl").isNull() | _attrs_differ("_f.a", "_pl.a", attrs)
+    edges = edges.select(key, "_b", first_is_start.alias("_first_is_start"),
+                         F.when(first_is_start, F.col("_f.t")).otherwise(F.col("_inner_min")).alias("_bstart"))
+    edges = edges.select(key, "_b", "_first_is_start",
+                         F.first("_bstart", ignorenulls=True)
+                          .over(we.rowsBetween(1, Window.unboundedFollowing)).alias("_next_after"))
+    j = d.join(edges, on=[key, "_b"], how="inner")
+    is_start = F.when(F.col("_first"), F.col("_first_is_start")).otherwise(F.col("_inner_start"))
+    nxt = F.coalesce(F.col("_next_inner"), F.col("_next_after"))
+    return j.where(is_start).select(
         key, *attrs, F.col(ts).alias(FROM),
-        F.coalesce(X.minus_one_second(f"next_{ts}"), X.open_end()).alias(TO),
-        F.lit(0).alias(FLAG))
+        F.coalesce(X.minus_one_second(nxt), X.open_end()).alias(TO), F.lit(0).alias(FLAG))
 
 
 def scd2_from_snapshots(snapshots: DataFrame, key: str, attrs: list[str], ts: str,
@@ -96,32 +130,51 @@ def scd2_from_snapshots(snapshots: DataFrame, key: str, attrs: list[str], ts: st
     A key absent from the snapshot after one it was in is soft-deleted at that
     snapshot's time (no minus one second) and then frozen: a later return is
     not reopened and the delete is not re-stamped (the fixed defaults of
-    ``scd2_merge``).
+    ``scd2_merge``). Same plan shape as ``scd2_from_changes``: one bucketed
+    window pass, one edge table, one join back.
     """
     p = latest_per_key_and_time(snapshots, key, attrs, ts)
-    # Distinct snapshot times with their successor: one row per snapshot file.
+    # Distinct snapshot times with their successor: one row per snapshot (file),
+    # so this ordered window is over a handful of rows.
     times = snapshots.select(ts).where(F.col(ts).isNotNull()).distinct()
-    times = times.select(ts, F.lead(ts, 1).over(Window.orderBy(ts)).alias("_next_snap"))
-    p = p.join(times, on=ts, how="left")
-    n1 = neighbours(p, [key], ts, prev_cols=attrs, next_cols=[], bucket_seconds=bucket_seconds)
-    gap = F.when(F.col("_next_snap").isNotNull()
-                 & (F.col(f"next_{ts}").isNull() | (F.col(f"next_{ts}") != F.col("_next_snap"))),
-                 F.col("_next_snap"))
-    n1 = n1.withColumn("_gap_del", gap)
-    first_del = n1.groupBy(key).agg(F.min("_gap_del").alias("_first_del"))
-    live = n1.join(first_del, on=key, how="left") \
-             .where(F.col("_first_del").isNull() | (F.col(ts) < F.col("_first_del")))
-    first = F.col(f"prev_{ts}").isNull()
-    kept = live.where(first | X.any_differs([(a, f"prev_{a}") for a in attrs]) if attrs else first)
-    kept = kept.select(key, *attrs, ts, "_first_del")
-    n2 = neighbours(kept, [key], ts, bucket_seconds=bucket_seconds)
-    last = F.col(f"next_{ts}").isNull()
-    return n2.select(
+    times = times.select(ts, F.lead(ts, 1).over(Window.orderBy(ts)).alias("_ns"))
+    d = _bucketed(p.join(times, on=ts, how="left"), key, attrs, ts, bucket_seconds, extra=["_ns"])
+    w = Window.partitionBy(key, "_b").orderBy(ts)
+    d = d.select("*", F.lag("_a").over(w).alias("_pa"), F.lag(F.lit(1)).over(w).isNull().alias("_first"),
+                 F.lead(ts).over(w).alias("_nts"))
+    d = d.withColumn("_inner_start", ~F.col("_first") & _attrs_differ("_a", "_pa", attrs))
+    d = d.withColumn("_gap_inner", F.when(F.col("_nts").isNotNull() & F.col("_ns").isNotNull()
+                                          & (F.col("_nts") != F.col("_ns")), F.col("_ns")))
+    d = d.withColumn("_next_inner", F.min(F.when(F.col("_inner_start"), F.col(ts)))
+                     .over(w.rowsBetween(1, Window.unboundedFollowing)))
+    edges = d.groupBy(key, "_b").agg(
+        F.min(F.struct(F.col(ts).alias("t"), F.col("_a").alias("a"))).alias("_f"),
+        F.max(F.struct(F.col(ts).alias("t"), F.col("_a").alias("a"), F.col("_ns").alias("ns"))).alias("_l"),
+        F.min(F.when(F.col("_inner_start"), F.col(ts))).alias("_inner_min"),
+        F.min("_gap_inner").alias("_gap_min"))
+    we = Window.partitionBy(key).orderBy("_b")
+    edges = edges.select(key, "_b", "_f", "_l", "_inner_min", "_gap_min",
+                         F.lag("_l").over(we).alias("_pl"), F.lead("_f.t").over(we).alias("_nft"))
+    first_is_start = F.col("_pl").isNull() | _attrs_differ("_f.a", "_pl.a", attrs)
+    last_gap = F.when(F.col("_l.ns").isNotNull() & (F.col("_nft").isNull() | (F.col("_nft") != F.col("_l.ns"))),
+                      F.col("_l.ns"))
+    edges = edges.select(key, "_b", first_is_start.alias("_first_is_start"),
+                         F.when(first_is_start, F.col("_f.t")).otherwise(F.col("_inner_min")).alias("_bstart"),
+                         F.least(F.col("_gap_min"), last_gap).alias("_bgap"))
+    edges = edges.select(key, "_b", "_first_is_start",
+                         F.first("_bstart", ignorenulls=True)
+                          .over(we.rowsBetween(1, Window.unboundedFollowing)).alias("_next_after"),
+                         F.min("_bgap").over(Window.partitionBy(key)).alias("_first_del"))
+    j = d.join(edges, on=[key, "_b"], how="inner")
+    is_start = F.when(F.col("_first"), F.col("_first_is_start")).otherwise(F.col("_inner_start"))
+    fd = F.col("_first_del")
+    kept = is_start & (fd.isNull() | (F.col(ts) < fd))
+    nxt = F.coalesce(F.col("_next_inner"), F.col("_next_after"))
+    by_next = nxt.isNotNull() & (fd.isNull() | (nxt < fd))
+    return j.where(kept).select(
         key, *attrs, F.col(ts).alias(FROM),
-        F.when(~last, X.minus_one_second(f"next_{ts}"))
-         .when(F.col("_first_del").isNotNull(), F.col("_first_del"))
-         .otherwise(X.open_end()).alias(TO),
-        F.when(last & F.col("_first_del").isNotNull(), F.lit(1)).otherwise(F.lit(0)).alias(FLAG))
+        F.when(by_next, X.minus_one_second(nxt)).when(fd.isNotNull(), fd).otherwise(X.open_end()).alias(TO),
+        F.when(~by_next & fd.isNotNull(), F.lit(1)).otherwise(F.lit(0)).alias(FLAG))
 
 
 # ---------------------------------------------------------------------------

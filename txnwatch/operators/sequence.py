@@ -69,13 +69,14 @@ def neighbours(df: DataFrame, keys: list[str], ts: str, tiebreak: list[str] | No
     return out
 
 
-def lag_chain(df: DataFrame, key: str, ts: str, tiebreak: list[str], cols: list[str], n: int,
+def lag_chain(df: DataFrame, key: str | list[str], ts: str, tiebreak: list[str], cols: list[str], n: int,
               max_span_seconds: int, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """Add ``lag<k>_<c>`` for k = 1..n and c in ``ts`` + cols, per ``key`` by ``ts, tiebreak``.
 
     A lag value is the true one whenever ``ts - lag<k>_<ts> <= max_span``;
     farther rows may come back NULL, which a span-bounded rule treats the same.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     if max_span_seconds > bucket_seconds:
         bucket_seconds = max_span_seconds
     b = "_lc_bucket"
@@ -86,8 +87,8 @@ def lag_chain(df: DataFrame, key: str, ts: str, tiebreak: list[str], cols: list[
     copies = F.when(X.epoch_seconds(ts) >= edge, F.array(F.col("_lc_own"), F.col("_lc_own") + 1)) \
               .otherwise(F.array(F.col("_lc_own")))
     d = d.withColumn(b, F.explode(copies))
-    d = d.repartition(key, b)
-    w = Window.partitionBy(key, b).orderBy(ts, *tiebreak)
+    d = d.repartition(*keys, b)
+    w = Window.partitionBy(*keys, b).orderBy(ts, *tiebreak)
     lagged = [F.lag(F.col(c), k).over(w).alias(f"lag{k}_{c}")
               for k in range(1, n + 1) for c in [ts] + [c for c in cols if c != ts]]
     d = d.select("*", *lagged)

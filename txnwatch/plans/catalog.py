@@ -66,10 +66,7 @@ def enriched_t(spark, d):
 
 
 def all_rules(spark, d, span=rules.PROBE_SPAN):
-    e = enriched(spark, d)
-    et = temporal.enrich_terminals(e, terminal_history(spark, d))
-    return [rules.rule_passport(e, M.blacklist(spark, d)), rules.rule_agreement(e),
-            rules.card_rules(et, span=span)]
+    return rules.rule_hits(enriched(spark, d), M.blacklist(spark, d), terminal_history(spark, d), span=span)
 
 
 def raw_transaction_rows(spark, d):
@@ -251,9 +248,10 @@ def q_fraud_report_wide(spark, d):
 
 
 def q_report_incremental(spark, d):
-    rr = all_rules(spark, d)
-    earlier = report.fraud_report(rr, EARLIER_REPORT_DT).where(F.col("event_dt") < X.ntz(EARLIER_CUTOFF))
-    now = report.fraud_report(rr, REPORT_DT)
+    # The earlier run saw the same rows up to the cut-off, reported on EARLIER_REPORT_DT.
+    now = report.fraud_report(all_rules(spark, d), REPORT_DT)
+    earlier = now.where(F.col("event_dt") < X.ntz(EARLIER_CUTOFF)) \
+                 .withColumn("report_dt", F.lit(EARLIER_REPORT_DT))
     return report.append_report(earlier, now)
 
 
