@@ -85,7 +85,7 @@ class Warehouse:
     def read_facts_with_day(self, table: str, schema: T.StructType, day_col: str = "day") -> DataFrame:
         p = self.facts_path(table)
         if not self._exists(p):
-            return schemas.empty(self.spark, schema.add(day_col, T.DateType()))
+            return schemas.empty(self.spark, T.StructType([*schema.fields, T.StructField(day_col, T.DateType())]))
         return self.spark.read.parquet(p)
 
     def append(self, table: str, df: DataFrame, partition_by: list[str] | None = None) -> None:
