@@ -26,21 +26,19 @@ def _report_dt(report_dt: dt.date | Column | None) -> Column:
 def fraud_report(rule_rows: list[DataFrame] | DataFrame, report_dt: dt.date | Column | None = None) -> DataFrame:
     """Rule outputs (event_dt, passport, fio, phone, event_type int) → report rows.
 
-    Priority is the smallest event_type per key; computed with a partial
+    Priority is the smallest event_type per key, computed with a partial
     aggregation (``min`` of a struct), so no key is gathered into one task.
-    NULL-passport rows bypass the aggregation (they may be many and never
-    conflict).
+    A NULL passport never conflicts: such a row gets a group of its own (a
+    per-row id joins the grouping key), so all of them are kept and they do
+    not pile up in one NULL group. The rule rows are read once.
     """
     u = rule_rows if isinstance(rule_rows, DataFrame) else reduce(DataFrame.unionByName, rule_rows)
-    rdt = _report_dt(report_dt)
-    keyed = (u.where(F.col("passport").isNotNull()).groupBy(*KEY)
-             .agg(F.min(F.struct("event_type", "fio", "phone")).alias("_w"))
-             .select(*KEY, F.col("_w.fio").alias("fio"), F.col("_w.phone").alias("phone"),
-                     F.col("_w.event_type").alias("event_type")))
-    nulls = u.where(F.col("passport").isNull()).select(*KEY, "fio", "phone", "event_type")
-    return keyed.unionByName(nulls).select(
-        *KEY, "fio", "phone", F.col("event_type").cast("string").alias("event_type"),
-        rdt.alias("report_dt"))
+    own = F.when(F.col("passport").isNull(), F.monotonically_increasing_id())
+    best = (u.groupBy(*KEY, own.alias("_own"))
+            .agg(F.min(F.struct("event_type", "fio", "phone")).alias("_w")))
+    return best.select(*KEY, F.col("_w.fio").alias("fio"), F.col("_w.phone").alias("phone"),
+                       F.col("_w.event_type").cast("string").alias("event_type"),
+                       _report_dt(report_dt).alias("report_dt"))
 
 
 def new_report_rows(existing: DataFrame, candidate: DataFrame) -> DataFrame:

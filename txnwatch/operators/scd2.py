@@ -73,11 +73,23 @@ def _attrs_differ(left: str, right: str, attrs: list[str]) -> Column:
 
 def _bucketed(rows: DataFrame, key: str, attrs: list[str], ts: str, bucket_seconds: int,
               extra: list[str] | None = None) -> DataFrame:
-    return rows.select(key, *attrs, ts, *(extra or []),
-                       _bucket_of(ts, bucket_seconds).alias("_b"),
+    """Key, time, bucket and the attributes as one struct ``_a`` (attributes travel
+    only inside ``_a``, so every consumer needs the same columns)."""
+    return rows.select(key, ts, *(extra or []), _bucket_of(ts, bucket_seconds).alias("_b"),
                        F.struct(*[F.col(a) for a in attrs]).alias("_a"))
 
 
+def _unpack(attrs: list[str]) -> list[Column]:
+    return [F.col("_a").getField(a).alias(a) for a in attrs]
+
+
+def _shared(d: DataFrame, key: str) -> DataFrame:
+    """State the join's NULL-key filter once, above the window, so the two uses
+    of ``d`` (edge table and join back) stay identical and Spark reuses the
+    shuffle under them instead of running the window pass twice."""
+    return d.where(F.col(key).isNotNull() & F.col("_b").isNotNull())
+
+
 def _bucket_of(ts: str, bucket_seconds: int) -> Column:
     return F.floor(X.epoch_seconds(ts) / F.lit(bucket_seconds)).cast("bigint")
 
@@ -103,6 +115,7 @@ def scd2_from_changes(changes: DataFrame, key: str, attrs: list[str], ts: str,
     d = d.withColumn("_inner_start", ~F.col("_first") & _attrs_differ("_a", "_pa", attrs))
     d = d.withColumn("_next_inner", F.min(F.when(F.col("_inner_start"), F.col(ts)))
                      .over(w.rowsBetween(1, Window.unboundedFollowing)))
+    d = _shared(d, key)
     edges = d.groupBy(key, "_b").agg(
         F.min(F.struct(F.col(ts).alias("t"), F.col("_a").alias("a"))).alias("_f"),
         F.max(F.struct(F.col(ts).alias("t"), F.col("_a").alias("a"))).alias("_l"),
@@ -119,7 +132,7 @@ def scd2_from_changes(changes: DataFrame, key: str, attrs: list[str], ts: str,
     is_start = F.when(F.col("_first"), F.col("_first_is_start")).otherwise(F.col("_inner_start"))
     nxt = F.coalesce(F.col("_next_inner"), F.col("_next_after"))
     return j.where(is_start).select(
-        key, *attrs, F.col(ts).alias(FROM),
+        key, *_unpack(attrs), F.col(ts).alias(FROM),
         F.coalesce(X.minus_one_second(nxt), X.open_end()).alias(TO), F.lit(0).alias(FLAG))
 
 
@@ -147,6 +160,7 @@ def scd2_from_snapshots(snapshots: DataFrame, key: str, attrs: list[str], ts: st
                                           & (F.col("_nts") != F.col("_ns")), F.col("_ns")))
     d = d.withColumn("_next_inner", F.min(F.when(F.col("_inner_start"), F.col(ts)))
                      .over(w.rowsBetween(1, Window.unboundedFollowing)))
+    d = _shared(d, key)
     edges = d.groupBy(key, "_b").agg(
         F.min(F.struct(F.col(ts).alias("t"), F.col("_a").alias("a"))).alias("_f"),
         F.max(F.struct(F.col(ts).alias("t"), F.col("_a").alias("a"), F.col("_ns").alias("ns"))).alias("_l"),
@@ -172,7 +186,7 @@ def scd2_from_snapshots(snapshots: DataFrame, key: str, attrs: list[str], ts: st
     nxt = F.coalesce(F.col("_next_inner"), F.col("_next_after"))
     by_next = nxt.isNotNull() & (fd.isNull() | (nxt < fd))
     return j.where(kept).select(
-        key, *attrs, F.col(ts).alias(FROM),
+        key, *_unpack(attrs), F.col(ts).alias(FROM),
         F.when(by_next, X.minus_one_second(nxt)).when(fd.isNotNull(), fd).otherwise(X.open_end()).alias(TO),
         F.when(~by_next & fd.isNotNull(), F.lit(1)).otherwise(F.lit(0)).alias(FLAG))
 

@@ -27,8 +27,22 @@ PASSPORT_BASE = dt.date(2023, 12, 20)
 BIRTH_BASE = dt.date(1950, 1, 1)
 
 
+# Columns of the driver tables that the mapping reads (types as stored). Reading
+# with an explicit schema skips Parquet schema inference (one job per read) and
+# states the column pruning up front.
+DRIVER_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if name in DRIVER_SCHEMAS:
+        return spark.read.schema(DRIVER_SCHEMAS[name]).parquet(path)
+    return spark.read.parquet(path)
 
 
 def _k() -> Column:
