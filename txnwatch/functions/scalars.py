@@ -41,48 +41,82 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Expressions are built as SQL expression text where the inputs are column
+# names: one ``F.expr`` is one call into the JVM, while composing Column
+# objects costs one call per node. The SQL below is the same expression.
+
+def q(name: str) -> str:
+    """A column name (``a`` or ``s.f``) as a quoted SQL identifier."""
+    return ".".join(f"`{part}`" for part in name.split("."))
+
+
+def ntz_sql(value: dt.datetime | dt.date) -> str:
+    if isinstance(value, dt.date) and not isinstance(value, dt.datetime):
+        value = dt.datetime(value.year, value.month, value.day)
+    return f"TIMESTAMP_NTZ '{value.strftime('%Y-%m-%d %H:%M:%S.%f')}'"
+
+
 def ntz(value: dt.datetime | dt.date | str) -> Column:
     """A TIMESTAMP_NTZ literal."""
     if isinstance(value, str):
-        return F.lit(value).cast("timestamp_ntz")
-    if isinstance(value, dt.date) and not isinstance(value, dt.datetime):
-        value = dt.datetime(value.year, value.month, value.day)
-    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+        return F.expr(f"TIMESTAMP_NTZ '{value}'")
+    return F.expr(ntz_sql(value))
 
 
 def open_end() -> Column:
-    return ntz(OPEN_END)
+    return F.expr(ntz_sql(OPEN_END))
 
 
 def is_open(effective_to: str | Column = "effective_to") -> Column:
-    return col(effective_to) >= open_end()
+    if isinstance(effective_to, str):
+        return F.expr(f"{q(effective_to)} >= {ntz_sql(OPEN_END)}")
+    return effective_to >= open_end()
 
 
 def seconds(n: int | float) -> Column:
-    return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(n))
+    return F.expr(f"make_dt_interval(0, 0, 0, {float(n)})")
 
 
 def minus_one_second(ts: str | Column) -> Column:
-    return col(ts) - F.expr("INTERVAL '1' SECOND")
+    if isinstance(ts, str):
+        return F.expr(f"{q(ts)} - INTERVAL '1' SECOND")
+    return ts - F.expr("INTERVAL '1' SECOND")
+
+
+def trunc_second_sql(t: str) -> str:
+    return f"({t} - make_dt_interval(0, 0, 0, date_part('SECOND', {t}) - second({t})))"
 
 
 def trunc_second(ts: str | Column) -> Column:
     """Cut a TIMESTAMP_NTZ to whole seconds without going through a time zone."""
-    c = col(ts)
-    frac = F.date_part(F.lit("SECOND"), c) - F.second(c)
-    return c - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), frac)
+    if isinstance(ts, str):
+        return F.expr(trunc_second_sql(q(ts)))
+    frac = F.date_part(F.lit("SECOND"), ts) - F.second(ts)
+    return ts - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), frac)
+
+
+def round_second_sql(t: str) -> str:
+    return trunc_second_sql(f"({t} + INTERVAL '0.5' SECOND)")
 
 
 def round_second(ts: str | Column) -> Column:
     """Round to the nearest second, half up, as a ``timestamp(0)`` column stores it."""
-    return trunc_second(col(ts) + F.expr("INTERVAL '0.5' SECOND"))
+    if isinstance(ts, str):
+        return F.expr(round_second_sql(q(ts)))
+    return trunc_second(ts + F.expr("INTERVAL '0.5' SECOND"))
+
+
+def epoch_seconds_sql(t: str) -> str:
+    return (f"(CAST(datediff(to_date({t}), DATE '1970-01-01') AS BIGINT) * 86400"
+            f" + hour({t}) * 3600 + minute({t}) * 60 + second({t}))")
 
 
 def epoch_seconds(ts: str | Column) -> Column:
     """Seconds since 1970-01-01 of a TIMESTAMP_NTZ, as bigint, time-zone free."""
-    c = col(ts)
-    days = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("bigint")
-    return days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+    if isinstance(ts, str):
+        return F.expr(epoch_seconds_sql(q(ts)))
+    days = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 
 
 def file_date(file_name: str | Column) -> Column:
@@ -96,9 +130,16 @@ def parse_amount(text: str | Column, strict: bool = True) -> Column:
     return cleaned.cast(AMOUNT_TYPE) if strict else cleaned.try_cast(AMOUNT_TYPE)
 
 
+def change_time_sql(create_dt: str, update_dt: str, default: dt.datetime = DEFAULT_CHANGE_TS) -> str:
+    d = ntz_sql(default)
+    return round_second_sql(f"greatest(coalesce({q(create_dt)}, {d}), coalesce({q(update_dt)}, {d}))")
+
+
 def change_time(create_dt: str | Column, update_dt: str | Column,
                 default: dt.datetime = DEFAULT_CHANGE_TS) -> Column:
     """Later of create and update time; each NULL counts as ``default``; rounded to a second."""
+    if isinstance(create_dt, str) and isinstance(update_dt, str):
+        return F.expr(change_time_sql(create_dt, update_dt, default))
     d = ntz(default)
     return round_second(F.greatest(F.coalesce(col(create_dt), d), F.coalesce(col(update_dt), d)))
 
@@ -118,9 +159,16 @@ def change_time_after(create_dt: str | Column, update_dt: str | Column,
     return reduce(lambda a, b: a | b, parts)
 
 
+def full_name_sql(last: str = "last_name", first: str = "first_name", middle: str = "patronymic") -> str:
+    return (f"concat(coalesce({q(last)}, ''), ' ', coalesce({q(first)}, ''), ' ', "
+            f"coalesce({q(middle)}, ''))")
+
+
 def full_name(last: str | Column = "last_name", first: str | Column = "first_name",
               middle: str | Column = "patronymic") -> Column:
     """``last first middle`` with single spaces; a NULL part counts as empty."""
+    if all(isinstance(c, str) for c in (last, first, middle)):
+        return F.expr(full_name_sql(last, first, middle))
     return F.concat(F.coalesce(col(last), F.lit("")), F.lit(" "),
                     F.coalesce(col(first), F.lit("")), F.lit(" "),
                     F.coalesce(col(middle), F.lit("")))
@@ -131,10 +179,18 @@ def differs(left: str | Column, right: str | Column) -> Column:
     return ~col(left).eqNullSafe(col(right))
 
 
+def any_differs_sql(pairs: list[tuple[str, str]]) -> str:
+    return "(" + " OR ".join(f"NOT ({q(a)} <=> {q(b)})" for a, b in pairs) + ")"
+
+
 def any_differs(pairs: list[tuple[str | Column, str | Column]]) -> Column:
+    if all(isinstance(a, str) and isinstance(b, str) for a, b in pairs):
+        return F.expr(any_differs_sql(pairs))
     return reduce(lambda a, b: a | b, [differs(a, b) for a, b in pairs])
 
 
 def date_as_ts(d: str | Column) -> Column:
     """A date as midnight TIMESTAMP_NTZ (the implicit rule of date vs timestamp)."""
-    return col(d).cast("timestamp_ntz")
+    if isinstance(d, str):
+        return F.expr(f"CAST({q(d)} AS TIMESTAMP_NTZ)")
+    return d.cast("timestamp_ntz")

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnwatch.functions import scalars as X
+from txnwatch.functions.scalars import q
 from txnwatch.operators.sequence import DEFAULT_BUCKET_SECONDS
 
 FROM, TO, FLAG = "effective_from", "effective_to", "deleted_flag"
@@ -43,55 +44,46 @@ def latest_per_key(staged: DataFrame, key: str, attrs: list[str], ts: str,
     A partial aggregation (``max`` of a struct), so a hot key is pre-combined
     on the map side instead of being gathered into one task.
     """
-    order = list(order or [])
-    v = F.max(F.struct(F.col(ts).alias("_ts"), *[F.col(c).alias(f"_o_{c}") for c in order],
-                       *[F.col(a).alias(a) for a in attrs])).alias("_v")
-    return (staged.where(F.col(key).isNotNull()).groupBy(key).agg(v)
-            .select(key, *[F.col(f"_v.{a}").alias(a) for a in attrs], F.col("_v._ts").alias(ts)))
+    fields = [f"'_ts', {q(ts)}"] + [f"'_o_{c}', {q(c)}" for c in (order or [])] + [f"'{a}', {q(a)}" for a in attrs]
+    return (staged.where(f"{q(key)} IS NOT NULL").groupBy(key)
+            .agg(F.expr(f"max(named_struct({', '.join(fields)})) AS _v"))
+            .selectExpr(q(key), *[f"_v.{q(a)} AS {q(a)}" for a in attrs], f"_v._ts AS {q(ts)}"))
 
 
 def latest_per_key_and_time(rows: DataFrame, key: str, attrs: list[str], ts: str,
                             order: list[str] | None = None) -> DataFrame:
     """One row per (key, ts): the last by ``order`` (else the largest attribute tuple)."""
-    order = list(order or [])
-    v = F.max(F.struct(*[F.col(c).alias(f"_o_{c}") for c in order],
-                       *[F.col(a).alias(a) for a in attrs])).alias("_v")
-    return (rows.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).groupBy(key, ts).agg(v)
-            .select(key, *[F.col(f"_v.{a}").alias(a) for a in attrs], ts))
+    fields = [f"'_o_{c}', {q(c)}" for c in (order or [])] + [f"'{a}', {q(a)}" for a in attrs]
+    return (rows.where(f"{q(key)} IS NOT NULL AND {q(ts)} IS NOT NULL").groupBy(key, ts)
+            .agg(F.expr(f"max(named_struct({', '.join(fields)})) AS _v"))
+            .selectExpr(q(key), *[f"_v.{q(a)} AS {q(a)}" for a in attrs], q(ts)))
 
 
-# ---------------------------------------------------------------------------
-# Whole history in one pass
-# ---------------------------------------------------------------------------
-
-def _attrs_differ(left: str, right: str, attrs: list[str]) -> Column:
-    """NULL-safe: some attribute of struct ``left`` differs from struct ``right``."""
+def _differs(left: str, right: str, attrs: list[str]) -> str:
+    """SQL: some attribute of struct ``left`` differs (NULL-safe) from struct ``right``."""
     if not attrs:
-        return F.lit(False)
-    return X.any_differs([(F.col(left).getField(a), F.col(right).getField(a)) for a in attrs])
+        return "false"
+    return X.any_differs_sql([(f"{left}.{a}", f"{right}.{a}") for a in attrs])
 
 
 def _bucketed(rows: DataFrame, key: str, attrs: list[str], ts: str, bucket_seconds: int,
               extra: list[str] | None = None) -> DataFrame:
     """Key, time, bucket and the attributes as one struct ``_a`` (attributes travel
     only inside ``_a``, so every consumer needs the same columns)."""
-    return rows.select(key, ts, *(extra or []), _bucket_of(ts, bucket_seconds).alias("_b"),
-                       F.struct(*[F.col(a) for a in attrs]).alias("_a"))
+    return rows.selectExpr(q(key), q(ts), *(q(c) for c in (extra or [])),
+                           f"CAST(floor({X.epoch_seconds_sql(q(ts))} / {int(bucket_seconds)}) AS BIGINT) AS _b",
+                           f"struct({', '.join(q(a) for a in attrs)}) AS _a")
 
 
-def _unpack(attrs: list[str]) -> list[Column]:
-    return [F.col("_a").getField(a).alias(a) for a in attrs]
+def _unpack(attrs: list[str]) -> list[str]:
+    return [f"_a.{q(a)} AS {q(a)}" for a in attrs]
 
 
 def _shared(d: DataFrame, key: str) -> DataFrame:
     """State the join's NULL-key filter once, above the window, so the two uses
     of ``d`` (edge table and join back) stay identical and Spark reuses the
     shuffle under them instead of running the window pass twice."""
-    return d.where(F.col(key).isNotNull() & F.col("_b").isNotNull())
-
-
-def _bucket_of(ts: str, bucket_seconds: int) -> Column:
-    return F.floor(X.epoch_seconds(ts) / F.lit(bucket_seconds)).cast("bigint")
+    return d.where(f"{q(key)} IS NOT NULL AND _b IS NOT NULL")
 
 
 def scd2_from_changes(changes: DataFrame, key: str, attrs: list[str], ts: str,
@@ -108,32 +100,31 @@ def scd2_from_changes(changes: DataFrame, key: str, attrs: list[str], ts: str,
     row of a bucket a run start, where does the next run start); one join of
     the edges back on (key, bucket). No window is partitioned by key alone.
     """
+    k, t = q(key), q(ts)
+    w = f"PARTITION BY {k}, _b ORDER BY {t}"
+    after = "ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING"
+    we = f"PARTITION BY {k} ORDER BY _b"
     c = latest_per_key_and_time(changes, key, attrs, ts, order)
     d = _bucketed(c, key, attrs, ts, bucket_seconds)
-    w = Window.partitionBy(key, "_b").orderBy(ts)
-    d = d.select("*", F.lag("_a").over(w).alias("_pa"), F.lag(F.lit(1)).over(w).isNull().alias("_first"))
-    d = d.withColumn("_inner_start", ~F.col("_first") & _attrs_differ("_a", "_pa", attrs))
-    d = d.withColumn("_next_inner", F.min(F.when(F.col("_inner_start"), F.col(ts)))
-                     .over(w.rowsBetween(1, Window.unboundedFollowing)))
+    d = d.selectExpr("*", f"lag(_a) OVER ({w}) AS _pa", f"lag(1) OVER ({w}) IS NULL AS _first")
+    d = d.selectExpr("*", f"NOT _first AND {_differs('_pa', '_a', attrs)} AS _inner_start")
+    d = d.selectExpr("*", f"min(CASE WHEN _inner_start THEN {t} END) OVER ({w} {after}) AS _next_inner")
     d = _shared(d, key)
     edges = d.groupBy(key, "_b").agg(
-        F.min(F.struct(F.col(ts).alias("t"), F.col("_a").alias("a"))).alias("_f"),
-        F.max(F.struct(F.col(ts).alias("t"), F.col("_a").alias("a"))).alias("_l"),
-        F.min(F.when(F.col("_inner_start"), F.col(ts))).alias("_inner_min"))
-    we = Window.partitionBy(key).orderBy("_b")
-    edges = edges.select(key, "_b", "_f", "_inner_min", F.lag("_l").over(we).alias("_pl"))
-    first_is_start = F.col("_pl").isNull() | _attrs_differ("_f.a", "_pl.a", attrs)
-    edges = edges.select(key, "_b", first_is_start.alias("_first_is_start"),
-                         F.when(first_is_start, F.col("_f.t")).otherwise(F.col("_inner_min")).alias("_bstart"))
-    edges = edges.select(key, "_b", "_first_is_start",
-                         F.first("_bstart", ignorenulls=True)
-                          .over(we.rowsBetween(1, Window.unboundedFollowing)).alias("_next_after"))
+        F.expr(f"min(named_struct('t', {t}, 'a', _a)) AS _f"),
+        F.expr(f"max(named_struct('t', {t}, 'a', _a)) AS _l"),
+        F.expr(f"min(CASE WHEN _inner_start THEN {t} END) AS _inner_min"))
+    edges = edges.selectExpr(k, "_b", "_f", "_inner_min", f"lag(_l) OVER ({we}) AS _pl")
+    fis = f"(_pl IS NULL OR {_differs('_pl.a', '_f.a', attrs)})"
+    edges = edges.selectExpr(k, "_b", f"{fis} AS _first_is_start",
+                             f"CASE WHEN {fis} THEN _f.t ELSE _inner_min END AS _bstart")
+    edges = edges.selectExpr(k, "_b", "_first_is_start",
+                             f"first(_bstart, true) OVER ({we} {after}) AS _next_after")
     j = d.join(edges, on=[key, "_b"], how="inner")
-    is_start = F.when(F.col("_first"), F.col("_first_is_start")).otherwise(F.col("_inner_start"))
-    nxt = F.coalesce(F.col("_next_inner"), F.col("_next_after"))
-    return j.where(is_start).select(
-        key, *_unpack(attrs), F.col(ts).alias(FROM),
-        F.coalesce(X.minus_one_second(nxt), X.open_end()).alias(TO), F.lit(0).alias(FLAG))
+    return j.where("CASE WHEN _first THEN _first_is_start ELSE _inner_start END").selectExpr(
+        k, *_unpack(attrs), f"{t} AS {FROM}",
+        f"coalesce(coalesce(_next_inner, _next_after) - INTERVAL '1' SECOND, {X.ntz_sql(X.OPEN_END)}) AS {TO}",
+        f"0 AS {FLAG}")
 
 
 def scd2_from_snapshots(snapshots: DataFrame, key: str, attrs: list[str], ts: str,
@@ -146,49 +137,46 @@ def scd2_from_snapshots(snapshots: DataFrame, key: str, attrs: list[str], ts: st
     ``scd2_merge``). Same plan shape as ``scd2_from_changes``: one bucketed
     window pass, one edge table, one join back.
     """
+    k, t = q(key), q(ts)
+    w = f"PARTITION BY {k}, _b ORDER BY {t}"
+    after = "ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING"
+    we = f"PARTITION BY {k} ORDER BY _b"
     p = latest_per_key_and_time(snapshots, key, attrs, ts)
     # Distinct snapshot times with their successor: one row per snapshot (file),
     # so this ordered window is over a handful of rows.
-    times = snapshots.select(ts).where(F.col(ts).isNotNull()).distinct()
-    times = times.select(ts, F.lead(ts, 1).over(Window.orderBy(ts)).alias("_ns"))
+    times = snapshots.select(ts).where(f"{t} IS NOT NULL").distinct() \
+                     .selectExpr(t, f"lead({t}) OVER (ORDER BY {t}) AS _ns")
     d = _bucketed(p.join(times, on=ts, how="left"), key, attrs, ts, bucket_seconds, extra=["_ns"])
-    w = Window.partitionBy(key, "_b").orderBy(ts)
-    d = d.select("*", F.lag("_a").over(w).alias("_pa"), F.lag(F.lit(1)).over(w).isNull().alias("_first"),
-                 F.lead(ts).over(w).alias("_nts"))
-    d = d.withColumn("_inner_start", ~F.col("_first") & _attrs_differ("_a", "_pa", attrs))
-    d = d.withColumn("_gap_inner", F.when(F.col("_nts").isNotNull() & F.col("_ns").isNotNull()
-                                          & (F.col("_nts") != F.col("_ns")), F.col("_ns")))
-    d = d.withColumn("_next_inner", F.min(F.when(F.col("_inner_start"), F.col(ts)))
-                     .over(w.rowsBetween(1, Window.unboundedFollowing)))
+    d = d.selectExpr("*", f"lag(_a) OVER ({w}) AS _pa", f"lag(1) OVER ({w}) IS NULL AS _first",
+                     f"lead({t}) OVER ({w}) AS _nts")
+    d = d.selectExpr("*", f"NOT _first AND {_differs('_pa', '_a', attrs)} AS _inner_start",
+                     "CASE WHEN _nts IS NOT NULL AND _ns IS NOT NULL AND _nts <> _ns THEN _ns END AS _gap_inner")
+    d = d.selectExpr("*", f"min(CASE WHEN _inner_start THEN {t} END) OVER ({w} {after}) AS _next_inner")
     d = _shared(d, key)
     edges = d.groupBy(key, "_b").agg(
-        F.min(F.struct(F.col(ts).alias("t"), F.col("_a").alias("a"))).alias("_f"),
-        F.max(F.struct(F.col(ts).alias("t"), F.col("_a").alias("a"), F.col("_ns").alias("ns"))).alias("_l"),
-        F.min(F.when(F.col("_inner_start"), F.col(ts))).alias("_inner_min"),
-        F.min("_gap_inner").alias("_gap_min"))
-    we = Window.partitionBy(key).orderBy("_b")
-    edges = edges.select(key, "_b", "_f", "_l", "_inner_min", "_gap_min",
-                         F.lag("_l").over(we).alias("_pl"), F.lead("_f.t").over(we).alias("_nft"))
-    first_is_start = F.col("_pl").isNull() | _attrs_differ("_f.a", "_pl.a", attrs)
-    last_gap = F.when(F.col("_l.ns").isNotNull() & (F.col("_nft").isNull() | (F.col("_nft") != F.col("_l.ns"))),
-                      F.col("_l.ns"))
-    edges = edges.select(key, "_b", first_is_start.alias("_first_is_start"),
-                         F.when(first_is_start, F.col("_f.t")).otherwise(F.col("_inner_min")).alias("_bstart"),
-                         F.least(F.col("_gap_min"), last_gap).alias("_bgap"))
-    edges = edges.select(key, "_b", "_first_is_start",
-                         F.first("_bstart", ignorenulls=True)
-                          .over(we.rowsBetween(1, Window.unboundedFollowing)).alias("_next_after"),
-                         F.min("_bgap").over(Window.partitionBy(key)).alias("_first_del"))
+        F.expr(f"min(named_struct('t', {t}, 'a', _a)) AS _f"),
+        F.expr(f"max(named_struct('t', {t}, 'a', _a, 'ns', _ns)) AS _l"),
+        F.expr(f"min(CASE WHEN _inner_start THEN {t} END) AS _inner_min"),
+        F.expr("min(_gap_inner) AS _gap_min"))
+    edges = edges.selectExpr(k, "_b", "_f", "_l", "_inner_min", "_gap_min",
+                             f"lag(_l) OVER ({we}) AS _pl", f"lead(_f.t) OVER ({we}) AS _nft")
+    fis = f"(_pl IS NULL OR {_differs('_pl.a', '_f.a', attrs)})"
+    last_gap = "CASE WHEN _l.ns IS NOT NULL AND (_nft IS NULL OR _nft <> _l.ns) THEN _l.ns END"
+    edges = edges.selectExpr(k, "_b", f"{fis} AS _first_is_start",
+                             f"CASE WHEN {fis} THEN _f.t ELSE _inner_min END AS _bstart",
+                             f"least(_gap_min, {last_gap}) AS _bgap")
+    edges = edges.selectExpr(k, "_b", "_first_is_start",
+                             f"first(_bstart, true) OVER ({we} {after}) AS _next_after",
+                             f"min(_bgap) OVER (PARTITION BY {k}) AS _first_del")
     j = d.join(edges, on=[key, "_b"], how="inner")
-    is_start = F.when(F.col("_first"), F.col("_first_is_start")).otherwise(F.col("_inner_start"))
-    fd = F.col("_first_del")
-    kept = is_start & (fd.isNull() | (F.col(ts) < fd))
-    nxt = F.coalesce(F.col("_next_inner"), F.col("_next_after"))
-    by_next = nxt.isNotNull() & (fd.isNull() | (nxt < fd))
-    return j.where(kept).select(
-        key, *_unpack(attrs), F.col(ts).alias(FROM),
-        F.when(by_next, X.minus_one_second(nxt)).when(fd.isNotNull(), fd).otherwise(X.open_end()).alias(TO),
-        F.when(~by_next & fd.isNotNull(), F.lit(1)).otherwise(F.lit(0)).alias(FLAG))
+    j = j.selectExpr("*", "coalesce(_next_inner, _next_after) AS _nxt")
+    by_next = "(_nxt IS NOT NULL AND (_first_del IS NULL OR _nxt < _first_del))"
+    return j.where(f"CASE WHEN _first THEN _first_is_start ELSE _inner_start END "
+                   f"AND (_first_del IS NULL OR {t} < _first_del)").selectExpr(
+        k, *_unpack(attrs), f"{t} AS {FROM}",
+        f"CASE WHEN {by_next} THEN _nxt - INTERVAL '1' SECOND WHEN _first_del IS NOT NULL THEN _first_del "
+        f"ELSE {X.ntz_sql(X.OPEN_END)} END AS {TO}",
+        f"CASE WHEN NOT {by_next} AND _first_del IS NOT NULL THEN 1 ELSE 0 END AS {FLAG}")
 
 
 # ---------------------------------------------------------------------------

@@ -11,8 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from txnwatch.functions import scalars as X
 
@@ -45,96 +44,90 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("bigint")
+K = "CAST(get_json_object(props, '$.k') AS BIGINT)"
 
 
-def _s(prefix: str, c: Column | str) -> Column:
-    return F.concat(F.lit(prefix), X.col(c).cast("string"))
+def _s(prefix: str, expr: str) -> str:
+    return f"concat('{prefix}', CAST({expr} AS STRING))"
+
+
+def _d(value: dt.date) -> str:
+    return f"DATE '{value.isoformat()}'"
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact rows: every non-signup event is a card operation."""
-    ev = table(spark, sf_dir, "events").where(F.col("event_type") != "signup")
-    k = _k()
-    return ev.select(
-        _s("X", "event_id").alias("trans_id"),
-        X.trunc_second("ts").alias("trans_date"),
-        _s("C", "user_id").alias("card_num"),
-        F.when(F.col("event_type") == "purchase", F.lit("PAYMENT")).otherwise(F.lit("WITHDRAW")).alias("oper_type"),
-        F.col("value").cast("decimal(18,2)").alias("amt"),
-        F.when(k % 4 == 0, F.lit("SUCCESS")).otherwise(F.lit("REJECT")).alias("oper_result"),
-        _s("T", k % 20).alias("terminal"),
-    )
+    ev = table(spark, sf_dir, "events").where("event_type <> 'signup'")
+    return ev.selectExpr(
+        f"{_s('X', 'event_id')} AS trans_id",
+        f"{X.trunc_second_sql('ts')} AS trans_date",
+        f"{_s('C', 'user_id')} AS card_num",
+        "CASE WHEN event_type = 'purchase' THEN 'PAYMENT' ELSE 'WITHDRAW' END AS oper_type",
+        "CAST(value AS DECIMAL(18,2)) AS amt",
+        f"CASE WHEN {K} % 4 = 0 THEN 'SUCCESS' ELSE 'REJECT' END AS oper_result",
+        f"{_s('T', f'{K} % 20')} AS terminal")
 
 
 def card_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Card → account assignments; a signup event is a change of its card."""
-    ev = table(spark, sf_dir, "events").where(F.col("event_type") == "signup")
-    return ev.select(
-        _s("C", "user_id").alias("card_num"),
-        _s("A", F.col("user_id") * 10 + _k() % 10).alias("account_num"),
-        X.trunc_second("ts").alias("update_dt"),
-        F.col("event_id").alias("seq"),
-    )
+    ev = table(spark, sf_dir, "events").where("event_type = 'signup'")
+    return ev.selectExpr(
+        f"{_s('C', 'user_id')} AS card_num",
+        f"{_s('A', f'user_id * 10 + {K} % 10')} AS account_num",
+        f"{X.trunc_second_sql('ts')} AS update_dt",
+        "event_id AS seq")
 
 
 def account_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Account versions from orders: the order date shifted into the events' years."""
-    o = table(spark, sf_dir, "orders")
-    upd = F.col("o_orderdate") + F.make_ym_interval(F.lit(ACCOUNT_YEAR_SHIFT), F.lit(0))
-    return o.select(
-        _s("A", "o_custkey").alias("account_num"),
-        F.date_add(F.to_date(upd), (F.col("o_orderkey") % 1000).cast("int")).alias("valid_to"),
-        _s("K", F.col("o_custkey") - F.col("o_custkey") % 10 + F.col("o_orderkey") % 10).alias("client"),
-        upd.alias("update_dt"),
-        F.col("o_orderkey").alias("seq"),
-    )
+    upd = f"(o_orderdate + INTERVAL '{ACCOUNT_YEAR_SHIFT}' YEAR)"
+    return table(spark, sf_dir, "orders").selectExpr(
+        f"{_s('A', 'o_custkey')} AS account_num",
+        f"date_add(to_date({upd}), CAST(o_orderkey % 1000 AS INT)) AS valid_to",
+        f"{_s('K', 'o_custkey - o_custkey % 10 + o_orderkey % 10')} AS client",
+        f"{upd} AS update_dt",
+        "o_orderkey AS seq")
+
+
+CLIENT_COLS = [
+    f"{_s('K', 'c_custkey')} AS client_id",
+    "c_mktsegment AS last_name",
+    "c_name AS first_name",
+    f"CASE WHEN c_custkey % 5 = 0 THEN CAST(NULL AS STRING) ELSE {_s('P', 'c_nationkey')} END AS patronymic",
+    f"date_add({_d(BIRTH_BASE)}, CAST(c_custkey % 20000 AS INT)) AS date_of_birth",
+    f"{_s('PS', 'c_custkey')} AS passport_num",
+    f"CASE WHEN c_custkey % 7 = 0 THEN CAST(NULL AS DATE) "
+    f"ELSE date_add({_d(PASSPORT_BASE)}, CAST(c_custkey % 300 AS INT)) END AS passport_valid_to",
+    f"{_s('+7', 'c_custkey')} AS phone",
+]
 
 
 def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Client source rows (one state per customer)."""
-    c = table(spark, sf_dir, "customer")
-    return c.select(
-        _s("K", "c_custkey").alias("client_id"),
-        F.col("c_mktsegment").alias("last_name"),
-        F.col("c_name").alias("first_name"),
-        F.when(F.col("c_custkey") % 5 == 0, F.lit(None).cast("string"))
-         .otherwise(_s("P", "c_nationkey")).alias("patronymic"),
-        F.date_add(F.lit(BIRTH_BASE), (F.col("c_custkey") % 20000).cast("int")).alias("date_of_birth"),
-        _s("PS", "c_custkey").alias("passport_num"),
-        F.when(F.col("c_custkey") % 7 == 0, F.lit(None).cast("date"))
-         .otherwise(F.date_add(F.lit(PASSPORT_BASE), (F.col("c_custkey") % 300).cast("int"))).alias("passport_valid_to"),
-        _s("+7", "c_custkey").alias("phone"),
-    )
+    return table(spark, sf_dir, "customer").selectExpr(*CLIENT_COLS)
 
 
 def client_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clients as one version each, open from 1900-01-01."""
-    return clients(spark, sf_dir).select(
-        "*", X.ntz(CLIENT_VERSION_START).alias("effective_from"),
-        X.open_end().alias("effective_to"), F.lit(0).alias("deleted_flag"))
+    return table(spark, sf_dir, "customer").selectExpr(
+        *CLIENT_COLS, f"{X.ntz_sql(CLIENT_VERSION_START)} AS effective_from",
+        f"{X.ntz_sql(X.OPEN_END)} AS effective_to", "0 AS deleted_flag")
 
 
 def blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer").where(F.col("c_custkey") % 11 == 0)
-    return c.select(
-        _s("PS", "c_custkey").alias("passport_num"),
-        F.date_add(F.lit(BLACKLIST_BASE), (F.col("c_custkey") % 30).cast("int")).alias("entry_dt"),
-    )
+    return table(spark, sf_dir, "customer").where("c_custkey % 11 = 0").selectExpr(
+        f"{_s('PS', 'c_custkey')} AS passport_num",
+        f"date_add({_d(BLACKLIST_BASE)}, CAST(c_custkey % 30 AS INT)) AS entry_dt")
 
 
 def terminal_snapshot(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
     """Full terminal snapshot number ``n`` (0, 1, 2): one row per present terminal."""
-    s = table(spark, sf_dir, "supplier").where(F.col("s_suppkey") % 10 != n + 3)
-    shift = F.when(F.col("s_suppkey") % 3 == 0, F.lit(n)).otherwise(F.lit(0))
-    return s.select(
-        _s("T", "s_suppkey").alias("terminal_id"),
-        F.lit(TERMINAL_TYPE).alias("terminal_type"),
-        _s("CITY_", (F.col("s_nationkey") + shift) % 25).alias("terminal_city"),
-        F.lit(TERMINAL_ADDRESS).alias("terminal_address"),
-        X.ntz(TERMINAL_SNAPSHOT_DATES[n]).alias("update_dt"),
-    )
+    return table(spark, sf_dir, "supplier").where(f"s_suppkey % 10 <> {n + 3}").selectExpr(
+        f"{_s('T', 's_suppkey')} AS terminal_id",
+        f"'{TERMINAL_TYPE}' AS terminal_type",
+        f"{_s('CITY_', f'(s_nationkey + CASE WHEN s_suppkey % 3 = 0 THEN {n} ELSE 0 END) % 25')} AS terminal_city",
+        f"'{TERMINAL_ADDRESS}' AS terminal_address",
+        f"{X.ntz_sql(TERMINAL_SNAPSHOT_DATES[n])} AS update_dt")
 
 
 def terminal_snapshots(spark: SparkSession, sf_dir: str, upto: int = 2) -> DataFrame:
@@ -143,14 +136,10 @@ def terminal_snapshots(spark: SparkSession, sf_dir: str, upto: int = 2) -> DataF
 
 def incremental_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An accounts-shaped source table with create/update times, read incrementally."""
-    o = table(spark, sf_dir, "orders")
-    return o.select(
-        _s("A", "o_orderkey").alias("account"),
-        F.date_add(F.to_date("o_orderdate"), (F.col("o_orderkey") % 1000).cast("int")).alias("valid_to"),
-        _s("K", "o_custkey").alias("client"),
-        F.when(F.col("o_orderkey") % 7 == 0, F.lit(None).cast("timestamp_ntz"))
-         .otherwise(F.col("o_orderdate")).alias("create_dt"),
-        F.when(F.col("o_orderkey") % 3 == 0,
-               F.col("o_orderdate") + F.make_dt_interval((F.col("o_orderkey") % 200).cast("int")))
-         .otherwise(F.lit(None).cast("timestamp_ntz")).alias("update_dt"),
-    )
+    return table(spark, sf_dir, "orders").selectExpr(
+        f"{_s('A', 'o_orderkey')} AS account",
+        "date_add(to_date(o_orderdate), CAST(o_orderkey % 1000 AS INT)) AS valid_to",
+        f"{_s('K', 'o_custkey')} AS client",
+        "CASE WHEN o_orderkey % 7 = 0 THEN CAST(NULL AS TIMESTAMP_NTZ) ELSE o_orderdate END AS create_dt",
+        "CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate + make_dt_interval(CAST(o_orderkey % 200 AS INT)) "
+        "ELSE CAST(NULL AS TIMESTAMP_NTZ) END AS update_dt")
