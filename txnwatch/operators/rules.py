@@ -31,16 +31,18 @@ PROBE_SPAN = dt.timedelta(minutes=20)
 PROBE_REJECTS = 3
 
 
-def _out(df: DataFrame, event_type: int | Column) -> DataFrame:
-    et = event_type if isinstance(event_type, Column) else F.lit(event_type)
-    return df.select(F.col("trans_date").alias("event_dt"), "passport", "fio", "phone",
-                     et.alias("event_type"))
+def _out(df: DataFrame, event_type: int | str) -> DataFrame:
+    return df.selectExpr("trans_date AS event_dt", "passport", "fio", "phone", f"{event_type} AS event_type")
 
 
-def _within(ts: str, earlier: str, span: dt.timedelta) -> Column:
+def _within_sql(ts: str, earlier: str, span: dt.timedelta) -> str:
     """``earlier`` exists and ``ts - earlier <= span`` (inclusive)."""
-    return F.col(earlier).isNotNull() & \
-        ((F.col(ts) - F.col(earlier)) <= X.seconds(span.total_seconds()))
+    return (f"({earlier} IS NOT NULL AND ({ts} - {earlier}) <= "
+            f"make_dt_interval(0, 0, 0, {span.total_seconds()}))")
+
+
+def _within(ts: str, earlier: str, span: dt.timedelta) -> Column:
+    return F.expr(_within_sql(ts, earlier, span))
 
 
 def blacklist_since(blacklist: DataFrame) -> DataFrame:
@@ -48,11 +50,13 @@ def blacklist_since(blacklist: DataFrame) -> DataFrame:
     return blacklist.groupBy("passport_num").agg(F.min("entry_dt").alias("_bl_since"))
 
 
+PASSPORT_SQL = ("((passport_valid_to IS NOT NULL AND CAST(passport_valid_to AS TIMESTAMP_NTZ) < trans_date) "
+                "OR (_bl_since IS NOT NULL AND trans_date >= CAST(_bl_since AS TIMESTAMP_NTZ)))")
+AGREEMENT_SQL = "(CAST(valid_to AS TIMESTAMP_NTZ) < trans_date)"
+
+
 def passport_condition() -> Column:
-    expired = F.col("passport_valid_to").isNotNull() & \
-        (X.date_as_ts("passport_valid_to") < F.col("trans_date"))
-    listed = F.col("_bl_since").isNotNull() & (F.col("trans_date") >= X.date_as_ts("_bl_since"))
-    return expired | listed
+    return F.expr(PASSPORT_SQL)
 
 
 def rule_passport(enriched: DataFrame, blacklist: DataFrame) -> DataFrame:
@@ -64,7 +68,7 @@ def rule_passport(enriched: DataFrame, blacklist: DataFrame) -> DataFrame:
 
 
 def agreement_condition() -> Column:
-    return X.date_as_ts("valid_to") < F.col("trans_date")
+    return F.expr(AGREEMENT_SQL)
 
 
 def rule_agreement(enriched: DataFrame) -> DataFrame:
@@ -72,21 +76,27 @@ def rule_agreement(enriched: DataFrame) -> DataFrame:
     return _out(enriched.where(agreement_condition()), 2)
 
 
+def city_jump_sql(gap: dt.timedelta = CITY_GAP) -> str:
+    return f"({_within_sql('trans_date', 'lag1_trans_date', gap)} AND lag1_terminal_city <> terminal_city)"
+
+
 def city_jump_condition(gap: dt.timedelta = CITY_GAP) -> Column:
-    return _within("trans_date", "lag1_trans_date", gap) & \
-        (F.col("lag1_terminal_city") != F.col("terminal_city"))
+    return F.expr(city_jump_sql(gap))
 
 
-def amount_probe_condition(n: int = PROBE_REJECTS, span: dt.timedelta = PROBE_SPAN) -> Column:
+def amount_probe_sql(n: int = PROBE_REJECTS, span: dt.timedelta = PROBE_SPAN) -> str:
     """Chain of ``n`` rejected withdrawals with falling amounts, then a smaller successful one."""
     amts = ["amt"] + [f"lag{k}_amt" for k in range(1, n + 1)]
-    falling = reduce(lambda a, b: a & b,
-                     [F.col(amts[i]) < F.col(amts[i + 1]) for i in range(n)])
-    results = (F.col("oper_result") == X.OPER_SUCCESS) & reduce(
-        lambda a, b: a & b, [F.col(f"lag{k}_oper_result") == X.OPER_REJECT for k in range(1, n + 1)])
-    types = reduce(lambda a, b: a & b,
-                   [F.col(c) == X.OPER_WITHDRAW for c in ["oper_type"] + [f"lag{k}_oper_type" for k in range(1, n + 1)]])
-    return _within("trans_date", f"lag{n}_trans_date", span) & falling & results & types
+    parts = [_within_sql("trans_date", f"lag{n}_trans_date", span)]
+    parts += [f"{amts[i]} < {amts[i + 1]}" for i in range(n)]
+    parts += [f"oper_result = '{X.OPER_SUCCESS}'"]
+    parts += [f"lag{k}_oper_result = '{X.OPER_REJECT}'" for k in range(1, n + 1)]
+    parts += [f"{c} = '{X.OPER_WITHDRAW}'" for c in ["oper_type"] + [f"lag{k}_oper_type" for k in range(1, n + 1)]]
+    return "(" + " AND ".join(parts) + ")"
+
+
+def amount_probe_condition(n: int = PROBE_REJECTS, span: dt.timedelta = PROBE_SPAN) -> Column:
+    return F.expr(amount_probe_sql(n, span))
 
 
 def with_card_lags(enriched_t: DataFrame, n: int, span: dt.timedelta,
@@ -115,10 +125,9 @@ def card_rules(enriched_t: DataFrame, gap: dt.timedelta = CITY_GAP, n: int = PRO
                span: dt.timedelta = PROBE_SPAN, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """Rules 3 and 4 from one window pass; a row hitting both yields two rows."""
     lagged = with_card_lags(enriched_t, max(n, 1), max(gap, span), bucket_seconds)
-    hits = F.filter(F.array(F.when(city_jump_condition(gap), F.lit(3)),
-                            F.when(amount_probe_condition(n, span), F.lit(4))),
-                    lambda x: x.isNotNull())
-    return _out(lagged.withColumn("_hit", F.explode(hits)), F.col("_hit"))
+    hits = (f"filter(array(CASE WHEN {city_jump_sql(gap)} THEN 3 END, "
+            f"CASE WHEN {amount_probe_sql(n, span)} THEN 4 END), x -> x IS NOT NULL)")
+    return _out(lagged.selectExpr("*", f"explode({hits}) AS _hit"), "_hit")
 
 
 def rule_hits(enriched: DataFrame, blacklist: DataFrame, terminals: DataFrame,
@@ -136,15 +145,13 @@ def rule_hits(enriched: DataFrame, blacklist: DataFrame, terminals: DataFrame,
     e = enriched.join(bl, enriched["passport"] == bl["passport_num"], "left").drop("passport_num")
     et = temporal.valid_at(e, terminals, "terminal", "terminal_id", "trans_date",
                            hist_cols=["terminal_city"], prefix="_t_", honour_deleted=honour_deleted, how="left")
-    et = et.withColumn("_has_t", F.col("_t_effective_from").isNotNull()) \
-           .withColumnRenamed("_t_terminal_city", "terminal_city").drop("_t_effective_from", "_t_effective_to")
+    et = et.selectExpr("trans_id", "trans_date", "card_num", "oper_type", "amt", "oper_result",
+                       "passport", "passport_valid_to", "valid_to", "fio", "phone", "_bl_since",
+                       "_t_terminal_city AS terminal_city", "_t_effective_from IS NOT NULL AS _has_t")
     lagged = lag_chain(et, ["card_num", "_has_t"], "trans_date", ["trans_id"],
                        ["terminal_city", "amt", "oper_result", "oper_type"], max(n, 1),
                        int(max(gap, span).total_seconds()), bucket_seconds)
-    t = F.col("_has_t")
-    hits = F.filter(F.array(F.when(passport_condition(), F.lit(1)),
-                            F.when(agreement_condition(), F.lit(2)),
-                            F.when(t & city_jump_condition(gap), F.lit(3)),
-                            F.when(t & amount_probe_condition(n, span), F.lit(4))),
-                    lambda x: x.isNotNull())
-    return _out(lagged.withColumn("_hit", F.explode(hits)), F.col("_hit"))
+    hits = (f"filter(array(CASE WHEN {PASSPORT_SQL} THEN 1 END, CASE WHEN {AGREEMENT_SQL} THEN 2 END, "
+            f"CASE WHEN _has_t AND {city_jump_sql(gap)} THEN 3 END, "
+            f"CASE WHEN _has_t AND {amount_probe_sql(n, span)} THEN 4 END), x -> x IS NOT NULL)")
+    return _out(lagged.selectExpr("*", f"explode({hits}) AS _hit"), "_hit")

@@ -185,30 +185,30 @@ def scd2_from_snapshots(snapshots: DataFrame, key: str, attrs: list[str], ts: st
 
 def key_state(hist: DataFrame, key: str) -> DataFrame:
     """Per key: latest end (``max_end_dt``) and latest end among deleted rows."""
-    return hist.groupBy(key).agg(
-        F.max(TO).alias("max_end_dt"),
-        F.max(F.when(F.col(FLAG) == 1, F.col(TO))).alias("_max_deleted_end"))
+    return hist.groupBy(key).agg(F.expr(f"max({TO}) AS max_end_dt"),
+                                 F.expr(f"max(CASE WHEN {FLAG} = 1 THEN {TO} END) AS _max_deleted_end"))
 
 
 def open_versions(hist: DataFrame, key: str, attrs: list[str]) -> DataFrame:
-    return hist.where(X.is_open(TO)).select(
-        key, F.col(FROM).alias("_open_from"), *[F.col(a).alias(f"_open_{a}") for a in attrs])
+    return hist.where(f"{TO} >= {X.ntz_sql(X.OPEN_END)}").selectExpr(
+        q(key), f"{FROM} AS _open_from", *[f"{q(a)} AS {q('_open_' + a)}" for a in attrs])
 
 
 def current_view(hist: DataFrame) -> DataFrame:
     """Open, not deleted versions: the dimension as it is now."""
-    return hist.where(X.is_open(TO) & (F.col(FLAG) == 0))
+    return hist.where(f"{TO} >= {X.ntz_sql(X.OPEN_END)} AND {FLAG} = 0")
 
 
 def as_of(hist: DataFrame, at: dt.datetime | Column) -> DataFrame:
     """Versions valid at one time (closed interval, deleted versions excluded)."""
-    t = _lit_ts(at)
-    return hist.where((F.col(FLAG) == 0) & t.between(F.col(FROM), F.col(TO)))
+    if isinstance(at, Column):
+        return hist.where((F.col(FLAG) == 0) & at.between(F.col(FROM), F.col(TO)))
+    return hist.where(f"{FLAG} = 0 AND {X.ntz_sql(at)} BETWEEN {FROM} AND {TO}")
 
 
 def latest_end(hist: DataFrame, key: str) -> DataFrame:
     """Latest version end per key (``max(effective_to)``)."""
-    return hist.groupBy(key).agg(F.max(TO).alias("max_end_dt"))
+    return hist.groupBy(key).agg(F.expr(f"max({TO}) AS max_end_dt"))
 
 
 def classify(hist: DataFrame, staged: DataFrame, key: str, attrs: list[str], ts: str = "update_dt",
@@ -223,42 +223,42 @@ def classify(hist: DataFrame, staged: DataFrame, key: str, attrs: list[str], ts:
       reopened with ``reopen_returning``.
     """
     s = latest_per_key(staged, key, attrs, ts)
-    st = key_state(hist, key)
-    ov = open_versions(hist, key, attrs)
-    j = s.join(st, on=key, how="left").join(ov, on=key, how="left")
-    diff = X.any_differs([(a, f"_open_{a}") for a in attrs])
-    kind = (F.when(F.col("max_end_dt").isNull(), F.lit("new"))
-             .when(F.col("_open_from").isNull(), F.lit("returning"))
-             .when(~diff, F.lit("same"))
-             .when(F.col(ts) > F.col("_open_from"), F.lit("changed"))
-             .otherwise(F.lit("stale")))
-    j = j.withColumn("change_kind", kind)
-    opens = ["new", "changed"] + (["returning"] if reopen_returning else [])
-    return j.withColumn("_opens", F.col("change_kind").isin(*opens))
+    j = s.join(key_state(hist, key), on=key, how="left").join(open_versions(hist, key, attrs), on=key, how="left")
+    diff = X.any_differs_sql([(a, f"_open_{a}") for a in attrs])
+    kind = (f"CASE WHEN max_end_dt IS NULL THEN 'new' WHEN _open_from IS NULL THEN 'returning' "
+            f"WHEN NOT {diff} THEN 'same' WHEN {q(ts)} > _open_from THEN 'changed' ELSE 'stale' END")
+    opens = ", ".join(f"'{o}'" for o in ["new", "changed"] + (["returning"] if reopen_returning else []))
+    return j.selectExpr("*", f"{kind} AS change_kind").selectExpr("*", f"change_kind IN ({opens}) AS _opens")
+
+
+def _hist_row(key: str, attrs: list[str], prefix: str = "") -> list[str]:
+    return [q(key), *[q(a) for a in attrs]]
 
 
 def new_keys(hist: DataFrame, staged: DataFrame, key: str, attrs: list[str], ts: str = "update_dt") -> DataFrame:
     """Versions inserted for keys with no history row (anti join)."""
     s = latest_per_key(staged, key, attrs, ts)
-    known = hist.select(key)
-    return (s.join(known, on=key, how="left_anti")
-            .select(key, *attrs, F.col(ts).alias(FROM), X.open_end().alias(TO), F.lit(0).alias(FLAG)))
+    return (s.join(hist.select(key), on=key, how="left_anti")
+            .selectExpr(*_hist_row(key, attrs), f"{q(ts)} AS {FROM}", f"{X.ntz_sql(X.OPEN_END)} AS {TO}",
+                        f"0 AS {FLAG}"))
 
 
 def changed_rows(hist: DataFrame, staged: DataFrame, key: str, attrs: list[str], ts: str = "update_dt") -> DataFrame:
     """Staged rows that change an open version: key, new attributes, change time, old version start."""
     s = latest_per_key(staged, key, attrs, ts)
-    ov = open_versions(hist, key, attrs)
-    j = s.join(ov, on=key, how="inner")
-    return (j.where(X.any_differs([(a, f"_open_{a}") for a in attrs]) & (F.col(ts) > F.col("_open_from")))
-            .select(key, *attrs, ts, F.col("_open_from").alias("prev_effective_from")))
+    j = s.join(open_versions(hist, key, attrs), on=key, how="inner")
+    return (j.where(f"{X.any_differs_sql([(a, f'_open_{a}') for a in attrs])} AND {q(ts)} > _open_from")
+            .selectExpr(*_hist_row(key, attrs), q(ts), "_open_from AS prev_effective_from"))
+
+
+def _slice(keys: DataFrame, key: str, keys_col: str | None) -> DataFrame:
+    return keys.selectExpr(f"{q(keys_col or key)} AS {q(key)}").where(f"{q(key)} IS NOT NULL")
 
 
 def missing_keys(hist: DataFrame, keys: DataFrame, key: str, keys_col: str | None = None) -> DataFrame:
     """History keys absent from the full key slice, with their latest version end."""
-    slice_ = keys.select(F.col(keys_col or key).alias(key)).where(F.col(key).isNotNull())
-    return key_state(hist, key).join(slice_, on=key, how="left_anti") \
-        .select(key, "max_end_dt", (F.col("_max_deleted_end") == F.col("max_end_dt")).alias("already_deleted"))
+    return key_state(hist, key).join(_slice(keys, key, keys_col), on=key, how="left_anti") \
+        .selectExpr(q(key), "max_end_dt", "_max_deleted_end = max_end_dt AS already_deleted")
 
 
 def soft_delete(hist: DataFrame, keys: DataFrame, key: str, delete_ts: dt.datetime | Column,
@@ -270,11 +270,11 @@ def soft_delete(hist: DataFrame, keys: DataFrame, key: str, delete_ts: dt.dateti
     """
     m = missing_keys(hist, keys, key, keys_col)
     if not restamp_deleted:
-        m = m.where(~F.coalesce(F.col("already_deleted"), F.lit(False)))
-    j = hist.join(m.select(key, F.col("max_end_dt").alias("_last_to")), on=key, how="inner")
-    return (j.where(F.col(TO) == F.col("_last_to"))
-            .select(key, *[c for c in hist.columns if c not in (key, TO, FLAG)],
-                    _lit_ts(delete_ts).alias(TO), F.lit(1).alias(FLAG)))
+        m = m.where("NOT coalesce(already_deleted, false)")
+    j = hist.join(m.selectExpr(q(key), "max_end_dt AS _last_to"), on=key, how="inner")
+    rest = [c for c in hist.columns if c not in (key, TO, FLAG)]
+    return (j.where(f"{TO} = _last_to")
+            .select(key, *rest, _lit_ts(delete_ts).alias(TO), F.lit(1).alias(FLAG)))
 
 
 def scd2_merge(hist: DataFrame, staged: DataFrame, keys: DataFrame | None, key: str, attrs: list[str],
@@ -286,41 +286,38 @@ def scd2_merge(hist: DataFrame, staged: DataFrame, keys: DataFrame | None, key:
     the source (``None`` skips soft deletes). ``delete_ts``: stamp of deletes
     (the file date for snapshots, the load time for incremental sources).
     """
+    k = q(key)
     c = classify(hist, staged, key, attrs, ts, reopen_returning)
     dts = _lit_ts(delete_ts)
     if keys is not None:
-        slice_ = keys.select(F.col(keys_col or key).alias(key)).where(F.col(key).isNotNull()) \
-                     .distinct().withColumn("_in_slice", F.lit(True))
-        c = c.join(slice_, on=key, how="left")
-        missing = key_state(hist, key).join(slice_.select(key), on=key, how="left_anti")
+        slice_ = _slice(keys, key, keys_col).distinct()
+        c = c.join(slice_.selectExpr(k, "true AS _in_slice"), on=key, how="left")
+        missing = key_state(hist, key).join(slice_, on=key, how="left_anti")
         if not restamp_deleted:
-            missing = missing.where(F.col("_max_deleted_end").isNull()
-                                    | (F.col("_max_deleted_end") < F.col("max_end_dt")))
-        missing = missing.select(key, F.col("max_end_dt").alias("_del_at_end"))
+            missing = missing.where("_max_deleted_end IS NULL OR _max_deleted_end < max_end_dt")
+        missing = missing.selectExpr(k, "max_end_dt AS _del_at_end")
     else:
-        c = c.withColumn("_in_slice", F.lit(True))
+        c = c.selectExpr("*", "true AS _in_slice")
         missing = None
-    in_slice = F.coalesce(F.col("_in_slice"), F.lit(False))
-
     # Per-key actions on existing rows: close the open version, or delete the latest one.
-    closes = c.where(F.col("change_kind") == "changed").select(
-        key, X.minus_one_second(ts).alias("_close_to"))
+    closes = c.where("change_kind = 'changed'").selectExpr(k, f"{q(ts)} - INTERVAL '1' SECOND AS _close_to")
     if missing is not None:
         # A key that gets a new version is deleted through that version instead.
-        acts = missing.join(c.where(F.col("_opens")).select(key), on=key, how="left_anti") \
+        acts = missing.join(c.where("_opens").select(key), on=key, how="left_anti") \
                       .join(closes, on=key, how="full")
     else:
-        acts = closes.withColumn("_del_at_end", F.lit(None).cast("timestamp_ntz"))
-    h = hist.join(acts, on=key, how="left")
-    close_it = F.col("_close_to").isNotNull() & X.is_open(TO)
-    del_it = F.col("_del_at_end").isNotNull() & (F.col(TO) == F.col("_del_at_end"))
-    old = h.select(
+        acts = closes.selectExpr("*", "CAST(NULL AS TIMESTAMP_NTZ) AS _del_at_end")
+    is_open = f"{TO} >= {X.ntz_sql(X.OPEN_END)}"
+    del_it = f"(_del_at_end IS NOT NULL AND {TO} = _del_at_end)"
+    old = hist.join(acts, on=key, how="left").select(
         key, *attrs, FROM,
-        F.when(close_it, F.col("_close_to")).when(del_it, dts).otherwise(F.col(TO)).alias(TO),
-        F.when(del_it, F.lit(1)).otherwise(F.col(FLAG)).alias(FLAG))
-
-    opened = c.where(F.col("_opens")).select(
+        F.expr(f"CASE WHEN _close_to IS NOT NULL AND {is_open} THEN _close_to "
+               f"WHEN {del_it} THEN NULL ELSE {TO} END").alias("_to"),
+        F.expr(del_it).alias("_del"), FLAG)
+    old = old.select(key, *attrs, FROM, F.coalesce(F.col("_to"), dts).alias(TO),
+                     F.expr(f"CASE WHEN _del THEN 1 ELSE {FLAG} END").alias(FLAG))
+    opened = c.where("_opens").select(
         key, *attrs, F.col(ts).alias(FROM),
-        F.when(in_slice, X.open_end()).otherwise(dts).alias(TO),
-        F.when(in_slice, F.lit(0)).otherwise(F.lit(1)).alias(FLAG))
+        F.when(F.col("_in_slice"), F.expr(X.ntz_sql(X.OPEN_END))).otherwise(dts).alias(TO),
+        F.expr("CASE WHEN _in_slice THEN 0 ELSE 1 END").alias(FLAG))
     return old.unionByName(opened)

@@ -77,19 +77,18 @@ def lag_chain(df: DataFrame, key: str | list[str], ts: str, tiebreak: list[str],
     farther rows may come back NULL, which a span-bounded rule treats the same.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    if max_span_seconds > bucket_seconds:
-        bucket_seconds = max_span_seconds
-    b = "_lc_bucket"
-    own = _bucket(ts, bucket_seconds)
-    edge = (own + 1) * bucket_seconds - max_span_seconds
-    d = df.withColumn("_lc_own", own)
+    bucket_seconds = max(bucket_seconds, max_span_seconds)
+    t = X.q(ts)
+    sec = X.epoch_seconds_sql(t)
+    own = f"CAST(floor({sec} / {int(bucket_seconds)}) AS BIGINT)"
     # Copy the tail of each bucket into the next one, marked as context.
-    copies = F.when(X.epoch_seconds(ts) >= edge, F.array(F.col("_lc_own"), F.col("_lc_own") + 1)) \
-              .otherwise(F.array(F.col("_lc_own")))
-    d = d.withColumn(b, F.explode(copies))
-    d = d.repartition(*keys, b)
-    w = Window.partitionBy(*keys, b).orderBy(ts, *tiebreak)
-    lagged = [F.lag(F.col(c), k).over(w).alias(f"lag{k}_{c}")
+    copies = (f"CASE WHEN {sec} >= ({own} + 1) * {int(bucket_seconds)} - {int(max_span_seconds)} "
+              f"THEN array({own}, {own} + 1) ELSE array({own}) END")
+    d = df.selectExpr("*", f"{own} AS _lc_own").selectExpr("*", f"explode({copies}) AS _lc_bucket")
+    d = d.repartition(*keys, "_lc_bucket")
+    w = (f"PARTITION BY {', '.join(X.q(k) for k in keys)}, _lc_bucket "
+         f"ORDER BY {', '.join(X.q(c) for c in [ts, *tiebreak])}")
+    lagged = [f"lag({X.q(c)}, {k}) OVER ({w}) AS {X.q(f'lag{k}_{c}')}"
               for k in range(1, n + 1) for c in [ts] + [c for c in cols if c != ts]]
-    d = d.select("*", *lagged)
-    return d.where(F.col(b) == F.col("_lc_own")).drop(b, "_lc_own")
+    d = d.selectExpr("*", *lagged)
+    return d.where("_lc_bucket = _lc_own").drop("_lc_bucket", "_lc_own")

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnwatch.functions import scalars as X
+from txnwatch.functions.scalars import q
 
 FROM, TO, FLAG = "effective_from", "effective_to", "deleted_flag"
 
@@ -28,7 +29,7 @@ FROM, TO, FLAG = "effective_from", "effective_to", "deleted_flag"
 def live(hist: DataFrame, honour_deleted: bool = True) -> DataFrame:
     """Versions a join may use: with ``honour_deleted`` (the reference's rule) a
     soft-deleted version is excluded for all its time."""
-    return hist.where(F.col(FLAG) == 0) if honour_deleted else hist
+    return hist.where(f"{FLAG} = 0") if honour_deleted else hist
 
 
 def valid_at(events: DataFrame, hist: DataFrame, event_key: str, hist_key: str, ts: str,
@@ -40,12 +41,10 @@ def valid_at(events: DataFrame, hist: DataFrame, event_key: str, hist_key: str,
     the version bounds come along as ``<prefix>effective_from/_to``.
     """
     keep = [c for c in (hist_cols or []) if c not in (hist_key, FROM, TO)]
-    h = live(hist, honour_deleted).select(
-        F.col(hist_key).alias("_va_key"),
-        *[F.col(c).alias(prefix + c) for c in keep],
-        F.col(FROM).alias(prefix + FROM), F.col(TO).alias(prefix + TO))
-    cond = (F.col(event_key) == F.col("_va_key")) & \
-        F.col(ts).between(F.col(prefix + FROM), F.col(prefix + TO))
+    h = live(hist, honour_deleted).selectExpr(
+        f"{q(hist_key)} AS _va_key", *[f"{q(c)} AS {q(prefix + c)}" for c in keep],
+        f"{FROM} AS {q(prefix + FROM)}", f"{TO} AS {q(prefix + TO)}")
+    cond = F.expr(f"{q(event_key)} = _va_key AND {q(ts)} BETWEEN {q(prefix + FROM)} AND {q(prefix + TO)}")
     return events.join(h, cond, how).drop("_va_key")
 
 
@@ -53,12 +52,13 @@ def intersect(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
               left_from: str, left_to: str, right_from: str, right_to: str,
               out_from: str = FROM, out_to: str = TO) -> DataFrame:
     """Pairs of versions with equal key whose intervals overlap, with the common interval."""
-    cond = (F.col(left_key) == F.col(right_key)) & \
-        (F.col(left_from) <= F.col(right_to)) & (F.col(right_from) <= F.col(left_to))
+    cond = F.expr(f"{q(left_key)} = {q(right_key)} AND {q(left_from)} <= {q(right_to)} "
+                  f"AND {q(right_from)} <= {q(left_to)}")
     j = left.join(right, cond, "inner")
-    return j.withColumn(out_from, F.greatest(left_from, right_from)) \
-            .withColumn(out_to, F.least(left_to, right_to)) \
-            .drop(left_from, left_to, right_from, right_to)
+    rest = [c for c in j.columns if c not in (left_from, left_to, right_from, right_to)]
+    return j.selectExpr(*[q(c) for c in rest],
+                        f"greatest({q(left_from)}, {q(right_from)}) AS {q(out_from)}",
+                        f"least({q(left_to)}, {q(right_to)}) AS {q(out_to)}")
 
 
 def owner_history(cards: DataFrame, accounts: DataFrame, clients: DataFrame,
@@ -68,16 +68,14 @@ def owner_history(cards: DataFrame, accounts: DataFrame, clients: DataFrame,
     Columns: card_num, account_num, client_id, valid_to (agreement end),
     passport_num, passport_valid_to, fio, phone, effective_from, effective_to.
     """
-    c = live(cards, honour_deleted).select(
-        "card_num", F.col("account_num").alias("_c_acc"),
-        F.col(FROM).alias("_c_from"), F.col(TO).alias("_c_to"))
-    a = live(accounts, honour_deleted).select(
-        "account_num", "valid_to", "client", F.col(FROM).alias("_a_from"), F.col(TO).alias("_a_to"))
-    k = live(clients, honour_deleted).select(
+    c = live(cards, honour_deleted).selectExpr(
+        "card_num", "account_num AS _c_acc", f"{FROM} AS _c_from", f"{TO} AS _c_to")
+    a = live(accounts, honour_deleted).selectExpr(
+        "account_num", "valid_to", "client", f"{FROM} AS _a_from", f"{TO} AS _a_to")
+    k = live(clients, honour_deleted).selectExpr(
         "client_id", "passport_num", "passport_valid_to",
-        X.full_name("last_name", "first_name", "patronymic").alias("fio"),
-        F.rtrim("phone").alias("phone"),
-        F.col(FROM).alias("_k_from"), F.col(TO).alias("_k_to"))
+        f"{X.full_name_sql('last_name', 'first_name', 'patronymic')} AS fio", "rtrim(phone) AS phone",
+        f"{FROM} AS _k_from", f"{TO} AS _k_to")
     ca = intersect(c, a, "_c_acc", "account_num", "_c_from", "_c_to", "_a_from", "_a_to",
                    "_ca_from", "_ca_to").drop("_c_acc")
     cak = intersect(ca, k, "client", "client_id", "_ca_from", "_ca_to", "_k_from", "_k_to")
