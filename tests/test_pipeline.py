@@ -69,6 +69,24 @@ def test_daily_run_rerun_and_duplicates(spark, tmp_path):
         pipeline.run_pipeline(spark, pipeline.Inputs(files_dir=str(files_dir)), wh_root, opt)
 
 
+def test_incremental_report_equals_full_report_after_cutoff(spark, tmp_path):
+    files_dir, wh_root = tmp_path / "in", str(tmp_path / "wh")
+    make_files(files_dir)
+    write(files_dir / "transactions_01042021.txt", TX_HEAD +
+          "X3;2021-04-01 09:00:00;10;C2;PAYMENT;SUCCESS;T1\n"
+          "X4;2021-03-31 23:30:00;10;C1;WITHDRAW;SUCCESS;T1\n"
+          "X5;2021-04-01 00:10:00;10;C1;WITHDRAW;SUCCESS;T2\n")
+    acc, cards, cli = sources(spark)
+    inputs = pipeline.Inputs(files_dir=str(files_dir), accounts=acc, cards=cards, clients=cli)
+    opt = pipeline.RunOptions(report_dt=dt.date(2021, 4, 2), load_ts=ts("2021-04-02"))
+    pipeline.run_pipeline(spark, inputs, wh_root, opt)
+    wh = Warehouse(spark, wh_root)
+    cut = ts("2021-04-01 00:00:00")
+    full = [r for r in rows(pipeline.build_report(spark, wh, opt)) if r[0] >= cut]
+    inc = rows(pipeline.build_report(spark, wh, pipeline.RunOptions(report_dt=dt.date(2021, 4, 2), report_since=cut)))
+    assert inc == full and len(inc) > 0
+
+
 def test_stream_intake_available_now(spark, tmp_path):
     src, wh_root = tmp_path / "in", str(tmp_path / "wh")
     src.mkdir()
@@ -81,3 +99,31 @@ def test_stream_intake_available_now(spark, tmp_path):
     q.awaitTermination(120)
     facts = Warehouse(spark, wh_root).read_facts("fact_transactions", schemas.FACT_TRANSACTIONS)
     assert rows(facts, "trans_id") == [("X1",), ("X2",)]             # restart: no file twice, no duplicate key
+
+
+def test_bad_amount_fails_or_goes_to_rejects(spark, tmp_path):
+    files_dir, wh_root = tmp_path / "in", str(tmp_path / "wh")
+    files_dir.mkdir()
+    write(files_dir / "transactions_31032021.txt", TX_HEAD +
+          "X1;2021-03-31 10:00:00;1,5;C1;WITHDRAW;SUCCESS;T1\nX2;2021-03-31 10:00:00;abc;C1;WITHDRAW;SUCCESS;T1\n"
+          "X3;2021-03-31 10:00:00;;C1;WITHDRAW;SUCCESS;T1\n")
+    inputs = pipeline.Inputs(files_dir=str(files_dir))
+    with pytest.raises(Exception):
+        pipeline.run_pipeline(spark, inputs, wh_root, pipeline.RunOptions(report_dt=dt.date(2021, 4, 1)))
+    pipeline.run_pipeline(spark, inputs, wh_root, pipeline.RunOptions(report_dt=dt.date(2021, 4, 1), amount_rejects=True))
+    wh = Warehouse(spark, wh_root)
+    assert rows(wh.read_facts("fact_transactions", schemas.FACT_TRANSACTIONS), "trans_id") == [("X1",)]
+    rej = spark.read.parquet(wh.facts_path("rejects_transactions"))
+    assert sorted(r["trans_id"] for r in rej.collect()) == ["X2", "X3"]
+
+
+def test_empty_slice_option(spark):
+    from txnwatch.operators import scd2
+    hist = spark.createDataFrame([("K", "a", ts("2021-03-01"), ts("2990-12-31"), 0)],
+                                 "k string, v string, effective_from timestamp_ntz, effective_to timestamp_ntz, deleted_flag int")
+    staged = spark.createDataFrame([], "k string, v string, update_dt timestamp_ntz")
+    keys = spark.createDataFrame([], "k string")
+    out = rows(scd2.scd2_merge(hist, staged, keys, "k", ["v"], delete_ts=ts("2021-03-02")), "deleted_flag")
+    assert out == [(1,)]                                              # D20: everything soft-deleted
+    with pytest.raises(ValueError):
+        scd2.scd2_merge(hist, staged, keys, "k", ["v"], delete_ts=ts("2021-03-02"), fail_on_empty=True)

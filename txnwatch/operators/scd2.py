@@ -279,14 +279,19 @@ def soft_delete(hist: DataFrame, keys: DataFrame, key: str, delete_ts: dt.dateti
 
 def scd2_merge(hist: DataFrame, staged: DataFrame, keys: DataFrame | None, key: str, attrs: list[str],
                delete_ts: dt.datetime | Column, ts: str = "update_dt", keys_col: str | None = None,
-               restamp_deleted: bool = False, reopen_returning: bool = False) -> DataFrame:
+               restamp_deleted: bool = False, reopen_returning: bool = False,
+               fail_on_empty: bool = False) -> DataFrame:
     """One SCD2 load: new history = untouched ∪ closed ∪ opened ∪ soft-deleted rows.
 
     ``staged``: key, attrs, ``ts`` (change time). ``keys``: every key now in
     the source (``None`` skips soft deletes). ``delete_ts``: stamp of deletes
     (the file date for snapshots, the load time for incremental sources).
+    An empty key slice soft-deletes every key (as the reference does); with
+    ``fail_on_empty`` it raises instead (one small action: is there a key).
     """
     k = q(key)
+    if keys is not None and fail_on_empty and not _slice(keys, key, keys_col).take(1):
+        raise ValueError(f"empty key slice for {key}: refusing to soft-delete every version")
     c = classify(hist, staged, key, attrs, ts, reopen_returning)
     dts = _lit_ts(delete_ts)
     if keys is not None:

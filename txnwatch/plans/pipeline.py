@@ -40,6 +40,8 @@ class RunOptions:
     report_dt: dt.date | None = None
     load_ts: dt.datetime | None = None          # delete stamp of incremental sources (now)
     on_duplicate: str = "fail"                  # facts: fail (reference) or skip (streams)
+    amount_rejects: bool = False                # bad/missing amount: fail the file (reference) or set aside
+    fail_on_empty: bool = False                 # an empty snapshot / source deletes everything unless set
     skip_when_no_files: bool = True             # do nothing when no file arrived
     restamp_deleted: bool = False
     reopen_returning: bool = False
@@ -47,6 +49,10 @@ class RunOptions:
     city_gap: dt.timedelta = rules.CITY_GAP
     probe_span: dt.timedelta = rules.PROBE_SPAN
     probe_rejects: int = rules.PROBE_REJECTS
+    # Incremental report (D24 option): only operations at or after this time are
+    # reported, and only the fact days they and their look-back need are read.
+    # None = the reference's full re-scan of all facts on every run.
+    report_since: dt.datetime | None = None
     stats: dict = field(default_factory=dict)
 
 
@@ -54,9 +60,20 @@ def _day_set(df: DataFrame, col: str) -> list:
     return [r[0] for r in df.select(F.to_date(col)).distinct().collect()]
 
 
+def split_rejects(staged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows with an amount (facts) and rows without one (rejects); staged with a
+    non-strict amount parse, so a bad amount is NULL instead of failing the file."""
+    return staged.where("amt IS NOT NULL"), staged.where("amt IS NULL")
+
+
 def load_transactions(wh: Warehouse, staged: DataFrame, on_duplicate: str = "fail") -> None:
-    """Append staged transactions; only the stored days the batch touches are read for the key check."""
+    """Append staged transactions; only the stored days the batch touches are read for the key check.
+
+    An amount that is missing fails the load (the fact column is NOT NULL), as
+    a bad amount already failed the parse."""
     cols = schemas.FACT_TRANSACTIONS.fieldNames()
+    if staged.where("amt IS NULL").take(1):
+        raise ValueError("transaction without amount")
     staged = staged.withColumn(FACT_DAY, F.to_date("trans_date"))
     days = _day_set(staged, "trans_date")  # one small row per business day in the batch
     existing = wh.read_facts_with_day("fact_transactions", schemas.FACT_TRANSACTIONS, FACT_DAY)
@@ -80,7 +97,8 @@ def load_terminal_snapshots(spark: SparkSession, wh: Warehouse, files_dir: str,
         snap = files.read_terminals(spark, path, fmt, glob=None)
         hist = wh.read("dim_terminals_hist", spec["schema"])
         new = scd2.scd2_merge(hist, snap, snap, spec["key"], spec["attrs"], delete_ts=day,
-                              restamp_deleted=opt.restamp_deleted, reopen_returning=opt.reopen_returning)
+                              restamp_deleted=opt.restamp_deleted, reopen_returning=opt.reopen_returning,
+                              fail_on_empty=opt.fail_on_empty)
         wh.replace("dim_terminals_hist", new)
         meta = wh.read("meta_load", schemas.META_LOAD)
         wh.replace("meta_load", watermark.advance_watermark(meta, "terminal", snap,
@@ -104,7 +122,8 @@ def load_source(wh: Warehouse, dim: str, source: DataFrame, table_name: str, loa
     keys = tables.key_slice(source, spec["source_key"], spec["key"])
     hist = wh.read(f"dim_{dim}_hist", spec["schema"])
     new = scd2.scd2_merge(hist, staged, keys, spec["key"], spec["attrs"], delete_ts=load_ts,
-                          restamp_deleted=opt.restamp_deleted, reopen_returning=opt.reopen_returning)
+                          restamp_deleted=opt.restamp_deleted, reopen_returning=opt.reopen_returning,
+                          fail_on_empty=opt.fail_on_empty)
     wh.replace(f"dim_{dim}_hist", new.select(*spec["schema"].fieldNames()))
     meta = watermark.advance_watermark(meta, table_name, staged)
     wh.replace("meta_load", meta)
@@ -117,12 +136,23 @@ def build_report(spark: SparkSession, wh: Warehouse, opt: RunOptions) -> DataFra
                                     wh.read("dim_accounts_hist", d["accounts"]["schema"]),
                                     wh.read("dim_clients_hist", d["clients"]["schema"]),
                                     honour_deleted=opt.honour_deleted_interval)
-    tx = wh.read_facts("fact_transactions", schemas.FACT_TRANSACTIONS)
+    if opt.report_since is None:
+        tx = wh.read_facts("fact_transactions", schemas.FACT_TRANSACTIONS)
+    else:
+        # Rules 3-4 look back at most max(gap, span): read from there on. The day
+        # filter prunes fact partitions; the time filter is pushed to the scan.
+        start = opt.report_since - max(opt.city_gap, opt.probe_span)
+        tx = (wh.read_facts_with_day("fact_transactions", schemas.FACT_TRANSACTIONS, FACT_DAY)
+              .where(F.col(FACT_DAY) >= F.lit(start.date()))
+              .where(F.col("trans_date") >= X.ntz(start))
+              .select(*schemas.FACT_TRANSACTIONS.fieldNames()))
     enriched = temporal.enrich(tx, owners)
     hits = rules.rule_hits(enriched, wh.read_facts("fact_blacklist", schemas.FACT_BLACKLIST),
                            wh.read("dim_terminals_hist", d["terminals"]["schema"]),
                            gap=opt.city_gap, n=opt.probe_rejects, span=opt.probe_span,
                            honour_deleted=opt.honour_deleted_interval)
+    if opt.report_since is not None:
+        hits = hits.where(F.col("event_dt") >= X.ntz(opt.report_since))
     return report.fraud_report(hits, opt.report_dt)
 
 
@@ -147,7 +177,11 @@ def run_pipeline(spark: SparkSession, inputs: Inputs, warehouse_root: str,
     if opt.skip_when_no_files and not (tx_files or bl_files or term_files):
         return done
     if tx_files:
-        load_transactions(wh, files.read_transactions(spark, inputs.files_dir), opt.on_duplicate)
+        staged = files.read_transactions(spark, inputs.files_dir, strict_amount=not opt.amount_rejects)
+        if opt.amount_rejects:
+            staged, rejected = split_rejects(staged)
+            wh.append("rejects_transactions", rejected)
+        load_transactions(wh, staged, opt.on_duplicate)
         done["transaction_files"] = len(tx_files)
     if bl_files:
         load_blacklist(wh, files.read_blacklist(spark, inputs.files_dir, inputs.sheet_format), opt.on_duplicate)
