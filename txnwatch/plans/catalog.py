@@ -16,6 +16,7 @@ from txnwatch.functions import scalars as X
 from txnwatch.operators import facts, report, rules, scd2, temporal, watermark
 from txnwatch.sources import mapping as M
 from txnwatch.sources import tables
+from txnwatch.session import ensure_checkpoint_dir
 
 # Fixed query parameters (shared with the oracle SQL).
 WATERMARK = dt.datetime(2001, 1, 1)
@@ -251,6 +252,7 @@ def q_report_incremental(spark, d):
     # The earlier run saw the same rows up to the cut-off, reported on EARLIER_REPORT_DT.
     # This run's rows are used twice (earlier part and candidates): checkpoint them
     # into the session's checkpoint folder instead of planning the rules twice.
+    ensure_checkpoint_dir(spark)  # the cluster's spark.checkpoint.dir; a local one only when unset
     now = report.fraud_report(all_rules(spark, d), REPORT_DT).checkpoint()
     earlier = now.where(F.col("event_dt") < X.ntz(EARLIER_CUTOFF)) \
                  .withColumn("report_dt", F.lit(EARLIER_REPORT_DT))
