@@ -32,3 +32,27 @@ def test_owner_history_equals_three_hop(spark):
     hop = temporal.valid_at(hop, accs, "c_account_num", "account_num", "trans_date", ["client"], "a_")
     hop = temporal.valid_at(hop, clis, "a_client", "client_id", "trans_date", ["passport_num"], "k_")
     assert one == rows(hop, "trans_id", "k_passport_num") and len(one) > 0
+
+
+def test_sweep_strategy_equals_join(spark):
+    d = "/root/testdata/sf0.001"
+    tx = M.transactions(spark, d)
+    for hist, ekey, hkey, cols in [(C.card_history(spark, d), "card_num", "card_num", ["account_num"]),
+                                   (C.terminal_history(spark, d), "terminal", "terminal_id", ["terminal_city"])]:
+        for how in ("inner", "left"):
+            for bucket in (3600, 86400):
+                a = temporal.valid_at(tx, hist, ekey, hkey, "trans_date", cols, "h_", how=how)
+                b = temporal.valid_at(tx, hist, ekey, hkey, "trans_date", cols, "h_", how=how,
+                                      strategy="sweep", bucket_seconds=bucket)
+                assert rows(a) == rows(b) and len(rows(a)) > 0
+
+
+def test_sweep_edges(spark):
+    hist = spark.createDataFrame([("K", "a", ts("2024-01-02"), ts("2024-01-03 23:59:59"), 0),
+                                  ("K", "b", ts("2024-01-05"), ts("2990-12-31"), 0)], H)
+    ev = spark.createDataFrame([("e1", "K", ts("2024-01-02")), ("e2", "K", ts("2024-01-03 23:59:59")),
+                                ("e3", "K", ts("2024-01-01 23:59:59")), ("e4", "K", ts("2024-01-04 12:00:00")),
+                                ("e5", "K", ts("2024-01-09")), ("e6", "Z", ts("2024-01-09"))],
+                               "id string, k string, t timestamp_ntz")
+    got = rows(temporal.valid_at(ev, hist, "k", "k", "t", ["v"], strategy="sweep", bucket_seconds=3600), "id", "v")
+    assert got == [("e1", "a"), ("e2", "a"), ("e5", "b")]

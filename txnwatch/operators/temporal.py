@@ -34,12 +34,21 @@ def live(hist: DataFrame, honour_deleted: bool = True) -> DataFrame:
 
 def valid_at(events: DataFrame, hist: DataFrame, event_key: str, hist_key: str, ts: str,
              hist_cols: list[str] | None = None, prefix: str = "",
-             honour_deleted: bool = True, how: str = "inner") -> DataFrame:
+             honour_deleted: bool = True, how: str = "inner", strategy: str = "join",
+             bucket_seconds: int = 86400) -> DataFrame:
     """Events joined to the version valid at ``events[ts]`` (closed interval).
 
     ``hist_cols`` picks the dimension columns to carry (renamed with ``prefix``);
     the version bounds come along as ``<prefix>effective_from/_to``.
+
+    ``strategy="join"``: equi join on the key with the interval as a residual
+    condition; its cost per key is events × versions. ``strategy="sweep"``: for
+    keys with many versions, a linear pass (see ``valid_at_sweep``); exact when
+    the versions of a key do not overlap, which the SCD2 operators guarantee.
     """
+    if strategy == "sweep":
+        return valid_at_sweep(events, hist, event_key, hist_key, ts, hist_cols, prefix,
+                              honour_deleted, how, bucket_seconds)
     keep = [c for c in (hist_cols or []) if c not in (hist_key, FROM, TO)]
     h = live(hist, honour_deleted).selectExpr(
         f"{q(hist_key)} AS _va_key", *[f"{q(c)} AS {q(prefix + c)}" for c in keep],
@@ -48,6 +57,51 @@ def valid_at(events: DataFrame, hist: DataFrame, event_key: str, hist_key: str,
     return events.join(h, cond, how).drop("_va_key")
 
 
+def valid_at_sweep(events: DataFrame, hist: DataFrame, event_key: str, hist_key: str, ts: str,
+                   hist_cols: list[str] | None = None, prefix: str = "", honour_deleted: bool = True,
+                   how: str = "inner", bucket_seconds: int = 86400) -> DataFrame:
+    """Valid-at join as a sweep: events and version starts in one time order per key.
+
+    Versions are unioned with the events. A window per (key, time bucket)
+    carries the latest version started at or before each event. A small
+    per-(key, bucket) edge table carries it across buckets, so no window is
+    partitioned by the key alone. Events whose carried version has ended
+    (``effective_to < ts``) get none. Cost is linear in events + versions.
+    """
+    keep = [c for c in (hist_cols or []) if c not in (hist_key, FROM, TO)]
+    vfields = ", ".join([f"'f', {FROM}", f"'t', {TO}"] + [f"'{c}', {q(c)}" for c in keep])
+    ev_cols = events.columns
+    e = events.selectExpr(f"{q(event_key)} AS _sw_key", f"{q(ts)} AS _sw_ts", "1 AS _sw_kind",
+                          f"struct({', '.join(q(c) for c in ev_cols)}) AS _sw_ev",
+                          "CAST(NULL AS STRUCT<" + "f: TIMESTAMP_NTZ, t: TIMESTAMP_NTZ"
+                          + "".join(f", {c}: {dict(hist.dtypes)[c]}" for c in keep) + ">) AS _sw_v")
+    v = live(hist, honour_deleted).selectExpr(
+        f"{q(hist_key)} AS _sw_key", f"{FROM} AS _sw_ts", "0 AS _sw_kind",
+        f"CAST(NULL AS {e.schema['_sw_ev'].dataType.simpleString()}) AS _sw_ev", f"named_struct({vfields}) AS _sw_v")
+    u = e.unionByName(v).where("_sw_key IS NOT NULL AND _sw_ts IS NOT NULL")
+    sec = X.epoch_seconds_sql("_sw_ts")
+    u = u.selectExpr("*", f"CAST(floor({sec} / {int(bucket_seconds)}) AS BIGINT) AS _b")
+    # A version starting at the event's second is valid for it: versions sort first.
+    w = "PARTITION BY _sw_key, _b ORDER BY _sw_ts, _sw_kind ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    u = u.selectExpr("*", f"last(_sw_v, true) OVER ({w}) AS _sw_in").where("_sw_key IS NOT NULL AND _b IS NOT NULL")
+    # One edge row for every (key, bucket), also those with events only.
+    edges = u.groupBy("_sw_key", "_b").agg(
+        F.expr("max_by(_sw_v, _sw_ts) FILTER (WHERE _sw_kind = 0) AS _sw_last"))
+    edges = edges.selectExpr("_sw_key", "_b", "last(_sw_last, true) OVER (PARTITION BY _sw_key ORDER BY _b "
+                                              "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _sw_carry")
+    j = u.where("_sw_kind = 1").join(edges, on=["_sw_key", "_b"], how="left")
+    j = j.selectExpr("_sw_ev", "_sw_ts", "coalesce(_sw_in, _sw_carry) AS _sw_hit")
+    found = "(_sw_hit IS NOT NULL AND _sw_hit.t >= _sw_ts)"
+    if how == "inner":
+        j = j.where(found)
+    elif how != "left":
+        raise ValueError(how)
+    pick = lambda f: f"CASE WHEN {found} THEN _sw_hit.{f} END"
+    return j.selectExpr(*[f"_sw_ev.{q(c)} AS {q(c)}" for c in ev_cols],
+                        *[f"{pick(c)} AS {q(prefix + c)}" for c in keep],
+                        f"{pick('f')} AS {q(prefix + FROM)}", f"{pick('t')} AS {q(prefix + TO)}")
+
+
 def intersect(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
               left_from: str, left_to: str, right_from: str, right_to: str,
               out_from: str = FROM, out_to: str = TO) -> DataFrame:
