@@ -116,6 +116,8 @@ def test_rule_hits_equals_separate_rules(spark):
     want = rows(reduce(lambda a, b: a.unionByName(b), separate))
     got = rows(rules.rule_hits(e, bl, th))
     assert got == want and {r[4] for r in got} == {1, 2, 3, 4}
+    both = rows(rules.card_rules(et))
+    assert both == rows(separate[2].unionByName(separate[3]))
 
 
 def test_lag_chain_and_neighbours_match_plain_window(spark):

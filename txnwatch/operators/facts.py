@@ -8,8 +8,6 @@ at-least-once stream (``foreachBatch``) needs.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -96,6 +94,3 @@ def file_dates(df: DataFrame, file_name: str = "file_name") -> DataFrame:
     """Distinct file names with their business date."""
     return df.select(file_name).distinct().select(file_name, X.file_date(file_name).alias("file_date"))
 
-
-def business_day(value: dt.date | dt.datetime) -> dt.date:
-    return value.date() if isinstance(value, dt.datetime) else value

@@ -231,7 +231,7 @@ def classify(hist: DataFrame, staged: DataFrame, key: str, attrs: list[str], ts:
     return j.selectExpr("*", f"{kind} AS change_kind").selectExpr("*", f"change_kind IN ({opens}) AS _opens")
 
 
-def _hist_row(key: str, attrs: list[str], prefix: str = "") -> list[str]:
+def _hist_row(key: str, attrs: list[str]) -> list[str]:
     return [q(key), *[q(a) for a in attrs]]
 
 

@@ -9,7 +9,7 @@ step is a Spark job over whole inputs; each table is written as a new version
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,7 +53,6 @@ class RunOptions:
     # reported, and only the fact days they and their look-back need are read.
     # None = the reference's full re-scan of all facts on every run.
     report_since: dt.datetime | None = None
-    stats: dict = field(default_factory=dict)
 
 
 def _day_set(df: DataFrame, col: str) -> list:
