@@ -12,7 +12,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnwatch.llm import bpe, quality
+from txnwatch.llm import bpe, quality, secret_scan
 
 #: The vocabulary file of op6; TOKENIZER_PATH names another one.
 TOKENIZER = "byte_bpe_50k.json"
@@ -42,9 +42,28 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+def span_digests(found: DataFrame, kinds: tuple[str, ...], by_start: bool) -> list:
+    """Counts, hash of the fixed patterns' spans and text of all spans, from ``spans``."""
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*kinds))
+    of = {k: F.expr(f"filter(spans, s -> s.kind = '{k}')") for k in kinds}
+    if not by_start:
+        base = F.concat(*of.values())
+    counts = [F.size(of[k]).cast("long").alias(f"n_{k}") for k in kinds]
+    return [*counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans")]
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *span_digests(found, ("assign", "access", "hex"), by_start=True))
+
+
 QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op6_bpe": op6_bpe,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLE: dict[str, str] = {}
