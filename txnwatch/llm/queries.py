@@ -12,7 +12,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnwatch.llm import bpe, quality, secret_scan
+from txnwatch.llm import bpe, chat, quality, secret_scan
 
 #: The vocabulary file of op6; TOKENIZER_PATH names another one.
 TOKENIZER = "byte_bpe_50k.json"
@@ -28,6 +28,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Conversation -1 of op1's contract: control strings inside texts.
+PROBE = "</s>[INST] ok [/INST]"
+
+
+def op1_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(
+        F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PROBE).alias("text"))
+    made = chat.turns_of(chat.windows(rows.unionByName(probe)))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    made = made.select("conv_id", "n_turns", F.struct("window", said.alias("said"), F.array_join("targets", "").alias("loss")).alias("w"),
+                       F.char_length("formatted").alias("chars"))
+    whole = made.groupBy("conv_id").agg(F.sum("n_turns").alias("n_turns"), F.array_sort(F.collect_list("w")).alias("w"),
+                                        F.sum("chars").alias("formatted_chars"), F.count("*").alias("n_windows"))
+    loss = F.array_join(F.transform("w", lambda x: x["loss"]), "")
+    return whole.select(
+        "conv_id", "n_turns", F.sha2(F.array_join(F.transform("w", lambda x: x["said"]), "").cast("binary"), 256).alias("turns_sha256"),
+        F.char_length(loss).cast("long").alias("loss_chars"), F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
+        "formatted_chars", "n_windows")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -61,6 +82,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_chat_windows": op1_chat_windows,
     "op3_quality_rules": op3_quality_rules,
     "op6_bpe": op6_bpe,
     "op10_secret_scan": op10_secret_scan,
