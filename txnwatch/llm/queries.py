@@ -12,7 +12,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnwatch.llm import bpe, chat, quality, secret_scan
+from txnwatch.llm import bpe, chat, langid, quality, secret_scan
 
 #: The vocabulary file of op6; TOKENIZER_PATH names another one.
 TOKENIZER = "byte_bpe_50k.json"
@@ -49,6 +49,13 @@ def op1_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "formatted_chars", "n_windows")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs.where(~langid.held_out()))
+    # the prediction sees the id and the text only
+    return langid.predict(docs.select("doc_id", "text"), model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -83,6 +90,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_windows": op1_chat_windows,
+    "op2_language_id": op2_language_id,
     "op3_quality_rules": op3_quality_rules,
     "op6_bpe": op6_bpe,
     "op10_secret_scan": op10_secret_scan,

@@ -11,6 +11,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text handled at once; one larger document is handled alone.
 CHUNK_BYTES = 2 << 20
@@ -44,7 +45,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def chunks(batch: pa.RecordBatch, text: str, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Runs of rows whose texts hold at most ``most`` bytes; a larger text comes alone."""
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0), np.int64)
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0), np.int64)
     start, held = 0, 0
     for i, n in enumerate(sizes.tolist()):
         if i > start and held + n > most:
