@@ -12,7 +12,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnwatch.llm import bpe, chat, decontaminate, langid, quality, secret_scan
+from txnwatch.llm import bpe, chat, decontaminate, jaccard, langid, quality, secret_scan
 
 #: The vocabulary file of op6; TOKENIZER_PATH names another one.
 TOKENIZER = "byte_bpe_50k.json"
@@ -70,6 +70,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -97,6 +101,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_quality_rules": op3_quality_rules,
     "op6_bpe": op6_bpe,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_decontaminate": op8_decontaminate,
     "op10_secret_scan": op10_secret_scan,
 }
