@@ -12,7 +12,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnwatch.llm import bpe, chat, decontaminate, jaccard, langid, quality, secret_scan
+from txnwatch.llm import bpe, chat, decontaminate, jaccard, langid, pii, quality, secret_scan
 
 #: The vocabulary file of op6; TOKENIZER_PATH names another one.
 TOKENIZER = "byte_bpe_50k.json"
@@ -91,6 +91,12 @@ def span_digests(found: DataFrame, kinds: tuple[str, ...], by_start: bool) -> li
     return [*counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans")]
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.learn(docs))
+    return found.select("doc_id", *span_digests(found, pii.KINDS, by_start=False))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents"))
     return found.select("doc_id", *span_digests(found, ("assign", "access", "hex"), by_start=True))
@@ -103,6 +109,7 @@ QUERIES = {
     "op6_bpe": op6_bpe,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_decontaminate": op8_decontaminate,
+    "op9_pii": op9_pii,
     "op10_secret_scan": op10_secret_scan,
 }
 
