@@ -12,7 +12,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnwatch.llm import bpe, chat, decontaminate, jaccard, langid, pii, quality, secret_scan
+from txnwatch.llm import bpe, chat, decontaminate, html_extract, jaccard, langid, pii, quality, secret_scan
 
 #: The vocabulary file of op6; TOKENIZER_PATH names another one.
 TOKENIZER = "byte_bpe_50k.json"
@@ -62,6 +62,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "base_failed", "kept")
 
 
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
     encoded = bpe.encode(table(spark, sf_dir, "documents"), path)
@@ -106,6 +110,7 @@ QUERIES = {
     "op1_chat_windows": op1_chat_windows,
     "op2_language_id": op2_language_id,
     "op3_quality_rules": op3_quality_rules,
+    "op4_html_extract": op4_html_extract,
     "op6_bpe": op6_bpe,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_decontaminate": op8_decontaminate,
