@@ -12,7 +12,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnwatch.llm import bpe, chat, decontaminate, html_extract, jaccard, langid, pii, quality, secret_scan
+from txnwatch.llm import bpe, chat, decontaminate, html_extract, jaccard, langid, passages, pii, quality, secret_scan
 
 #: The vocabulary file of op6; TOKENIZER_PATH names another one.
 TOKENIZER = "byte_bpe_50k.json"
@@ -66,6 +66,12 @@ def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passages.repeats(table(spark, sf_dir, "documents"))
+    said = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return found.withColumn("spans", said)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
     encoded = bpe.encode(table(spark, sf_dir, "documents"), path)
@@ -111,6 +117,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_quality_rules": op3_quality_rules,
     "op4_html_extract": op4_html_extract,
+    "op5_passages": op5_passages,
     "op6_bpe": op6_bpe,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_decontaminate": op8_decontaminate,
