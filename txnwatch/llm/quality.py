@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Words are runs of other characters than these.
-SPACE, SPACES = "[\\x20\\x09-\\x0D]+", " \t\n\x0b\x0c\r"
-SYMBOLS = "#*$%&|<>"
+SPACE, WORD = "[\\x20\\x09-\\x0D]+", "[^\\x20\\x09-\\x0D]"
+SYMBOLS = "[#*$%&|<>]"
 WINDOW = 8
 #: rule -> (numerator, denominator, cutoffs in percent, mildest first)
 RULES = {
@@ -42,11 +42,27 @@ def let(value: Column, f: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), f), 1)
 
 
-def repeat_words(words: Column, window: int = WINDOW) -> Column:
-    """Words in windows of ``window`` words that the array holds twice or more. Equal windows are found by sorting their
-    64-bit hashes, n log n; most texts have none and stop at the distinct count."""
+def with_window_hashes(df: DataFrame, words: str, out: str) -> DataFrame:
+    """``df`` with the 64-bit hashes of all windows of WINDOW (a power of two) words: hashes of words, pairs of neighbours,
+    pairs of pairs and so on. Each step is a projection of its own, which Spark does not fold into the next one's lambda."""
+    rest = [c for c in df.columns if c != words]
+    df = df.select(*rest, F.size(words).alias("_n"), F.transform(words, lambda w: F.xxhash64(w)).alias(out))
+    step = 1
+    while step < WINDOW:
+        df = df.select(*rest, "_n", _neighbours(out, step).alias(out))
+        step *= 2
+    return df.select(*rest, F.slice(F.col(out), F.lit(1), F.greatest(F.col("_n") - (WINDOW - 1), F.lit(0))).alias(out))
+
+
+def _neighbours(hashes: str, step: int) -> Column:
+    return F.transform(hashes, lambda h, i: F.xxhash64(h, F.get(hashes, i + step)))
+
+
+def repeat_words(hashes: Column) -> Column:
+    """Words in windows that occur twice or more, from the hashes of all windows. Most texts have none and stop at the
+    distinct count; in the others equal windows are found by sorting, n log n."""
     def covered(at: Column) -> Column:
-        steps = F.transform(at, lambda p, k: F.least(F.lit(window), F.get(at, k + 1) - p))
+        steps = F.transform(at, lambda p, k: F.least(F.lit(WINDOW), F.get(at, k + 1) - p))
         return F.aggregate(steps, F.lit(0), lambda a, x: a + x)
 
     def again(s: Column) -> Column:
@@ -54,30 +70,22 @@ def repeat_words(words: Column, window: int = WINDOW) -> Column:
                         | F.coalesce(F.get(s, k + 1)["h"] == e["h"], F.lit(False)))
         return let(F.sort_array(F.transform(same, lambda e: e["i"])), covered)
 
-    def repeats(hashes: Column) -> Column:
-        pairs = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-        return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0)).otherwise(let(pairs, again))
-
-    def windows(w: Column) -> Column:
-        hashes = F.transform(F.sequence(F.lit(1), F.size(w) - (window - 1)), lambda i: F.xxhash64(F.slice(w, i, window)))
-        return F.when(F.size(w) > window, let(hashes, repeats)).otherwise(F.lit(0))
-
-    return let(words, windows)
+    pairs = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0)).otherwise(let(pairs, again))
 
 
 def measures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
     """(id, stratum, counts of COUNTS, base_failed) of each whole text; null text has no words, a null stratum is ''."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     d = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("stratum"), text.alias("t"))
-    gone = lambda chars: F.char_length("t") - F.char_length(F.translate("t", chars, ""))
-    lines = F.filter(F.split("t", "\n"), lambda x: F.translate(x, SPACES, "") != "")
-    d = d.select(
-        "id", "stratum", F.array_remove(F.split("t", SPACE), "").alias("words"), lines.alias("lines"),
-        F.char_length(F.translate("t", SPACES, "")).alias("word_chars"), gone(SYMBOLS).alias("n_symbols"),
-        gone("!?").alias("n_marks"), gone("ABCDEFGHIJKLMNOPQRSTUVWXYZ").alias("n_upper"))
-    d = d.select("id", "stratum", F.size("words").alias("n_words"), "word_chars", "n_symbols", "n_marks", "n_upper",
-                 F.size("lines").alias("n_lines"), (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
-                 repeat_words(F.col("words")).alias("n_repeat_words"))
+    times = lambda signs: F.regexp_count("t", F.lit(signs))
+    lines = F.filter(F.split("t", "\n"), lambda x: x.rlike(WORD))
+    d = d.select("id", "stratum", F.array_remove(F.split("t", SPACE), "").alias("words"), lines.alias("lines"),
+                 times(SYMBOLS).alias("n_symbols"), times("[!?]").alias("n_marks"), times("[A-Z]").alias("n_upper"))
+    d = d.select("id", "stratum", F.size("words").alias("n_words"), "words",
+                 F.char_length(F.array_join("words", "")).alias("word_chars"), "n_symbols", "n_marks", "n_upper",
+                 F.size("lines").alias("n_lines"), (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"))
+    d = with_window_hashes(d, "words", "hashes").withColumn("n_repeat_words", repeat_words(F.col("hashes")))
     return d.select("id", "stratum", *[F.col(c).cast("long") for c in COUNTS]).withColumn(
         "base_failed", F.expr("n_words < 20 OR 100 * n_repeat_words > 30 * n_words"))
 
