@@ -56,11 +56,13 @@ def daily_slice(staged: DataFrame, day_col: str = "entry_dt", file_day: str | Co
 
 
 def duplicate_keys(staged: DataFrame, existing: DataFrame | None, key: str) -> DataFrame:
-    """Keys that would violate uniqueness: repeated in the batch or already stored."""
-    rep = staged.groupBy(key).count().where(F.col("count") > 1).select(key)
+    """Keys that would violate uniqueness: repeated in the batch or already stored. NULL keys never do. The stored keys
+    are the large side: they are filtered by the batch's, which Spark broadcasts if its measured size allows."""
+    batch = staged.where(F.col(key).isNotNull()).groupBy(key).count()
+    rep = batch.where(F.col("count") > 1).select(key)
     if existing is None:
         return rep
-    stored = staged.select(key).join(existing.select(key), on=key, how="left_semi").distinct()
+    stored = existing.select(key).join(batch.select(key), on=key, how="left_semi").distinct()
     return rep.unionByName(stored).distinct()
 
 
@@ -71,6 +73,7 @@ def append_facts(staged: DataFrame, existing: DataFrame | None, key: str, column
     ``fail``: raise ``DuplicateKeyError`` if any key repeats or exists (one
     small action: a count of offending keys). ``skip``: keep the first row per
     key in the batch (by ``order``, else the smallest row) and drop stored keys.
+    Rows without a key conflict with nothing, as in a UNIQUE constraint: both ways keep all of them.
     """
     rows = staged.select(*columns)
     if on_duplicate == "fail":
@@ -82,12 +85,14 @@ def append_facts(staged: DataFrame, existing: DataFrame | None, key: str, column
         raise ValueError(on_duplicate)
     rest = [c for c in columns if c != key]
     order = list(order or [])
-    first = rows.groupBy(key).agg(F.min(F.struct(*[F.col(c).alias(f"_o_{c}") for c in order],
+    keyless = rows.where(F.col(key).isNull())
+    first = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*[F.col(c).alias(f"_o_{c}") for c in order],
                                                  *[F.col(c).alias(c) for c in rest])).alias("_v"))
     first = first.select(key, *[F.col(f"_v.{c}").alias(c) for c in rest]).select(*columns)
     if existing is None:
-        return first
-    return first.join(existing.select(key), on=key, how="left_anti")
+        return first.unionByName(keyless)
+    stored = existing.select(key).join(first.select(key), on=key, how="left_semi")
+    return first.join(stored, on=key, how="left_anti").select(*columns).unionByName(keyless)
 
 
 def file_dates(df: DataFrame, file_name: str = "file_name") -> DataFrame:

@@ -66,7 +66,8 @@ def valid_at_sweep(events: DataFrame, hist: DataFrame, event_key: str, hist_key:
     carries the latest version started at or before each event. A small
     per-(key, bucket) edge table carries it across buckets, so no window is
     partitioned by the key alone. Events whose carried version has ended
-    (``effective_to < ts``) get none. Cost is linear in events + versions.
+    (``effective_to < ts``) get none, and so do events without a key or time, which
+    ``how="left"`` keeps. Cost is linear in events + versions.
     """
     keep = [c for c in (hist_cols or []) if c not in (hist_key, FROM, TO)]
     vfields = ", ".join([f"'f', {FROM}", f"'t', {TO}"] + [f"'{c}', {q(c)}" for c in keep])
@@ -97,9 +98,15 @@ def valid_at_sweep(events: DataFrame, hist: DataFrame, event_key: str, hist_key:
     elif how != "left":
         raise ValueError(how)
     pick = lambda f: f"CASE WHEN {found} THEN _sw_hit.{f} END"
-    return j.selectExpr(*[f"_sw_ev.{q(c)} AS {q(c)}" for c in ev_cols],
-                        *[f"{pick(c)} AS {q(prefix + c)}" for c in keep],
-                        f"{pick('f')} AS {q(prefix + FROM)}", f"{pick('t')} AS {q(prefix + TO)}")
+    j = j.selectExpr(*[f"_sw_ev.{q(c)} AS {q(c)}" for c in ev_cols],
+                     *[f"{pick(c)} AS {q(prefix + c)}" for c in keep],
+                     f"{pick('f')} AS {q(prefix + FROM)}", f"{pick('t')} AS {q(prefix + TO)}")
+    if how == "inner":
+        return j
+    rest = events.where(f"{q(event_key)} IS NULL OR {q(ts)} IS NULL")
+    kinds = dict(j.dtypes)
+    return j.unionByName(rest.selectExpr(*[q(c) for c in ev_cols], *[
+        f"CAST(NULL AS {kinds[c]}) AS {q(c)}" for c in j.columns[len(ev_cols):]]))
 
 
 def intersect(left: DataFrame, right: DataFrame, left_key: str, right_key: str,

@@ -1,18 +1,26 @@
 """The daily run: files → facts, snapshots and sources → SCD2 histories → report.
 
-Order as in the reference: transactions, blacklist, terminal snapshots (in
-business-date order), accounts, cards, clients, then the fraud report. Every
+Order as in the reference: transactions, blacklist, terminal snapshots (each file
+in business-date order), accounts, cards, clients, then the fraud report. Every
 step is a Spark job over whole inputs; each table is written as a new version
 (the written table cuts the lineage for the next step).
+
+Every file is read by its listed path, committed and archived before the next one,
+so a failed step never blocks what was loaded before it. A fact row carries the
+name of its file (``src_file``, written with the row): a run that died between
+commit and archive archives the file on the next run and does not load it twice.
+Source tables are read into stored staging tables first; the merge, the deletes
+and the watermark use that one copy, however the source changes meanwhile.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txnwatch import schemas
 from txnwatch.functions import scalars as X
@@ -21,6 +29,9 @@ from txnwatch.plans.warehouse import Warehouse
 from txnwatch.sources import files, tables
 
 FACT_DAY = "day"
+SRC_FILE = "src_file"
+#: Files that one load writes into one day at most.
+FACT_FILES = 4
 
 
 @dataclass
@@ -33,6 +44,9 @@ class Inputs:
     accounts: DataFrame | None = None
     cards: DataFrame | None = None
     clients: DataFrame | None = None
+    # names under which the load metadata knows the source tables
+    table_names: dict = field(default_factory=lambda: {"accounts": "info.accounts", "cards": "info.cards",
+                                                       "clients": "info.clients"})
 
 
 @dataclass
@@ -55,10 +69,6 @@ class RunOptions:
     report_since: dt.datetime | None = None
 
 
-def _day_set(df: DataFrame, col: str) -> list:
-    return [r[0] for r in df.select(F.to_date(col)).distinct().collect()]
-
-
 def split_rejects(staged: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows with an amount (facts) and rows without one (rejects); staged with a
     non-strict amount parse, so a bad amount is NULL instead of failing the file."""
@@ -66,44 +76,52 @@ def split_rejects(staged: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def load_transactions(wh: Warehouse, staged: DataFrame, on_duplicate: str = "fail") -> None:
-    """Append staged transactions; only the stored days the batch touches are read for the key check.
+    """Append staged transactions. ``trans_id`` is unique over the whole fact table: the check reads
+    the stored key column of all days (NULL keys never conflict, as in a UNIQUE constraint).
 
     An amount that is missing fails the load (the fact column is NOT NULL), as
-    a bad amount already failed the parse."""
-    cols = schemas.FACT_TRANSACTIONS.fieldNames()
+    a bad amount already failed the parse. The batch is read once: it is stored as a staging
+    table, which the checks and the append read."""
+    cols = [*schemas.FACT_TRANSACTIONS.fieldNames(), *([SRC_FILE] if SRC_FILE in staged.columns else [])]
+    staged = wh.stage("stg_transactions", staged)
     if staged.where("amt IS NULL").take(1):
         raise ValueError("transaction without amount")
-    staged = staged.withColumn(FACT_DAY, F.to_date("trans_date"))
-    days = _day_set(staged, "trans_date")  # one small row per business day in the batch
-    existing = wh.read_facts_with_day("fact_transactions", schemas.FACT_TRANSACTIONS, FACT_DAY)
-    existing = existing.where(F.col(FACT_DAY).isin(days)) if days else existing.limit(0)
+    existing = wh.read_facts("fact_transactions", schemas.FACT_TRANSACTIONS)
     rows = facts.append_facts(staged, existing, "trans_id", cols, on_duplicate, order=["trans_date"])
-    wh.append("fact_transactions", rows.withColumn(FACT_DAY, F.to_date("trans_date")), [FACT_DAY])
+    # one task a day and key bucket writes few files, and a large day is still dealt out
+    rows = rows.withColumn(FACT_DAY, F.to_date("trans_date")).repartition(
+        FACT_DAY, F.pmod(F.xxhash64("trans_id"), F.lit(FACT_FILES)))
+    wh.append("fact_transactions", rows, [FACT_DAY], bloom="trans_id")
 
 
 def load_blacklist(wh: Warehouse, staged: DataFrame, on_duplicate: str = "fail") -> None:
-    cols = schemas.FACT_BLACKLIST.fieldNames()
+    cols = [*schemas.FACT_BLACKLIST.fieldNames(), *([SRC_FILE] if SRC_FILE in staged.columns else [])]
+    staged = wh.stage("stg_blacklist", staged)
     existing = wh.read_facts("fact_blacklist", schemas.FACT_BLACKLIST)
     rows = facts.append_facts(staged, existing, "passport_num", cols, on_duplicate, order=["entry_dt"])
     wh.append("fact_blacklist", rows)
 
 
-def load_terminal_snapshots(spark: SparkSession, wh: Warehouse, files_dir: str, fmt: str,
-                            opt: RunOptions) -> int:
+def load_terminal_snapshot(wh: Warehouse, snap: DataFrame, day: dt.date, opt: RunOptions) -> None:
+    """Merge one full snapshot of ``day``. Loading it again changes nothing."""
     spec = schemas.DIMENSIONS["terminals"]
-    n = 0
-    for path, day in files.dated_files(spark, files_dir, files.PATTERNS["terminals"]):
-        snap = files.read_terminals(spark, path, fmt, glob=None)
-        hist = wh.read("dim_terminals_hist", spec["schema"])
-        new = scd2.scd2_merge(hist, snap, snap, spec["key"], spec["attrs"], delete_ts=day,
-                              restamp_deleted=opt.restamp_deleted, reopen_returning=opt.reopen_returning,
-                              fail_on_empty=opt.fail_on_empty)
-        wh.replace("dim_terminals_hist", new)
-        meta = wh.read("meta_load", schemas.META_LOAD)
-        wh.replace("meta_load", watermark.advance_watermark(meta, "terminal", snap,
-                                                            seed=dt.datetime(1900, 1, 1)))
-        n += 1
-    return n
+    snap = wh.stage("stg_terminals", snap)
+    hist = wh.read("dim_terminals_hist", spec["schema"])
+    new = scd2.scd2_merge(hist, snap, snap, spec["key"], spec["attrs"], delete_ts=day,
+                          restamp_deleted=opt.restamp_deleted, reopen_returning=opt.reopen_returning,
+                          fail_on_empty=opt.fail_on_empty)
+    wh.replace("dim_terminals_hist", new)
+    meta = wh.read("meta_load", schemas.META_LOAD)
+    wh.replace("meta_load", watermark.advance_watermark(meta, "terminal", snap, seed=dt.datetime(1900, 1, 1)))
+
+
+def _committed(wh: Warehouse, table: str, schema, path: str, archive_dir: str | None) -> bool:
+    """Whether the file's rows are stored although it was never archived: the run that loaded it died in between. A
+    file of a name that was archived before is a new delivery and is loaded (and fails on the unique key)."""
+    if archive_dir is None or files.archived(wh.spark, path, archive_dir):
+        return False
+    stored = wh.read_facts(table, T.StructType([*schema.fields, T.StructField(SRC_FILE, T.StringType())]))
+    return bool(stored.where(F.col(SRC_FILE) == path.rsplit("/", 1)[-1]).take(1))
 
 
 def load_source(wh: Warehouse, dim: str, source: DataFrame, table_name: str, load_ts: dt.datetime,
@@ -118,7 +136,9 @@ def load_source(wh: Warehouse, dim: str, source: DataFrame, table_name: str, loa
                                    rename=spec["rename"])
     if spec["source_key"] != spec["key"]:
         staged = staged.withColumnRenamed(spec["source_key"], spec["key"])
-    keys = tables.key_slice(source, spec["source_key"], spec["key"])
+    # one read each, changes before keys: what arrives in between is in neither and is taken by the next run
+    staged = wh.stage(f"stg_{dim}", staged)
+    keys = wh.stage(f"stg_{dim}_keys", tables.key_slice(source, spec["source_key"], spec["key"]))
     hist = wh.read(f"dim_{dim}_hist", spec["schema"])
     new = scd2.scd2_merge(hist, staged, keys, spec["key"], spec["attrs"], delete_ts=load_ts,
                           restamp_deleted=opt.restamp_deleted, reopen_returning=opt.reopen_returning,
@@ -175,25 +195,31 @@ def run_pipeline(spark: SparkSession, inputs: Inputs, warehouse_root: str,
         tx_files = bl_files = term_files = []
     if opt.skip_when_no_files and not (tx_files or bl_files or term_files):
         return done
-    if tx_files:
-        staged = files.read_transactions(spark, inputs.files_dir, strict_amount=not opt.amount_rejects)
-        if opt.amount_rejects:
-            staged, rejected = split_rejects(staged)
-            wh.append("rejects_transactions", rejected)
-        load_transactions(wh, staged, opt.on_duplicate)
-        done["transaction_files"] = len(tx_files)
-    if bl_files:
-        load_blacklist(wh, files.read_blacklist(spark, inputs.files_dir, inputs.sheet_format), opt.on_duplicate)
-        done["blacklist_files"] = len(bl_files)
-    if term_files:
-        done["terminal_files"] = load_terminal_snapshots(spark, wh, inputs.files_dir, inputs.sheet_format, opt)
-    if inputs.archive_dir:
-        files.archive_files(spark, [p for p, _ in tx_files + bl_files + term_files], inputs.archive_dir)
-    for dim, src, name in (("accounts", inputs.accounts, "info.accounts"),
-                           ("cards", inputs.cards, "info.cards"),
-                           ("clients", inputs.clients, "info.clients")):
+    def finish(path: str, kind: str) -> None:
+        if inputs.archive_dir:
+            files.archive_files(spark, [path], inputs.archive_dir)
+        done[kind] += 1
+
+    named = lambda df, path: df.withColumn(SRC_FILE, F.lit(path.rsplit("/", 1)[-1]))
+    for path, _ in tx_files:
+        if not _committed(wh, "fact_transactions", schemas.FACT_TRANSACTIONS, path, inputs.archive_dir):
+            staged = files.read_transactions(spark, path, glob=None, strict_amount=not opt.amount_rejects)
+            if opt.amount_rejects:
+                staged, rejected = split_rejects(staged)
+                wh.append("rejects_transactions", rejected)
+            load_transactions(wh, named(staged, path), opt.on_duplicate)
+        finish(path, "transaction_files")
+    for path, _ in bl_files:
+        if not _committed(wh, "fact_blacklist", schemas.FACT_BLACKLIST, path, inputs.archive_dir):
+            staged = files.read_blacklist(spark, path, inputs.sheet_format, glob=None)
+            load_blacklist(wh, named(staged, path), opt.on_duplicate)
+        finish(path, "blacklist_files")
+    for path, day in term_files:
+        load_terminal_snapshot(wh, files.read_terminals(spark, path, inputs.sheet_format, glob=None), day, opt)
+        finish(path, "terminal_files")
+    for dim, src in (("accounts", inputs.accounts), ("cards", inputs.cards), ("clients", inputs.clients)):
         if src is not None:
-            load_source(wh, dim, src, name, load_ts, opt)
+            load_source(wh, dim, src, inputs.table_names[dim], load_ts, opt)
             done["sources"].append(dim)
     update_report(spark, wh, opt)
     return done

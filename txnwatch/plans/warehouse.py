@@ -11,13 +11,13 @@ configuration.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from txnwatch import schemas
 
-KEEP_VERSIONS = 3
-
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
@@ -64,14 +64,25 @@ class Warehouse:
         vs = self._versions(table)
         p = f"{self.root}/{table}/v{(vs[-1] + 1 if vs else 1):08d}"
         df.write.mode("errorifexists").parquet(p)
-        self._prune(table)
         return p
 
-    def _prune(self, table: str) -> None:
-        vs = self._versions(table)
-        for v in vs[:-KEEP_VERSIONS]:
+    def stage(self, table: str, df: DataFrame) -> DataFrame:
+        """``df`` evaluated once and stored as the next version of a staging table; the stored copy."""
+        return self.spark.read.schema(df.schema).parquet(self.replace(table, df))
+
+    def prune(self, table: str, keep: int = 3, older_than: float = 86400.0) -> int:
+        """Maintenance, called when no reader needs them: delete committed versions but the newest ``keep`` that were
+        written more than ``older_than`` seconds ago, and uncommitted folders as old. Returns how many went."""
+        now, good, gone = time.time(), 0, 0
+        for v in reversed(self._versions(table)):
             p = f"{self.root}/{table}/v{v:08d}"
-            self._fs(p).delete(self._Path(p), True)
+            committed = self._exists(f"{p}/_SUCCESS")
+            good += committed
+            age = now - self._fs(p).getFileStatus(self._Path(p)).getModificationTime() / 1000
+            if age > older_than and (not committed or good > keep):
+                self._fs(p).delete(self._Path(p), True)
+                gone += 1
+        return gone
 
     def facts_path(self, table: str) -> str:
         return f"{self.root}/{table}/data"
@@ -80,16 +91,18 @@ class Warehouse:
         p = self.facts_path(table)
         if not self._exists(p):
             return schemas.empty(self.spark, schema)
-        return self.spark.read.parquet(p).select(*schema.fieldNames())
+        return self.spark.read.schema(schema).parquet(p).select(*schema.fieldNames())
 
     def read_facts_with_day(self, table: str, schema: T.StructType, day_col: str = "day") -> DataFrame:
         p = self.facts_path(table)
-        if not self._exists(p):
-            return schemas.empty(self.spark, T.StructType([*schema.fields, T.StructField(day_col, T.DateType())]))
-        return self.spark.read.parquet(p)
+        whole = T.StructType([*schema.fields, T.StructField(day_col, T.DateType())])
+        return self.spark.read.schema(whole).parquet(p) if self._exists(p) else schemas.empty(self.spark, whole)
 
-    def append(self, table: str, df: DataFrame, partition_by: list[str] | None = None) -> None:
+    def append(self, table: str, df: DataFrame, partition_by: list[str] | None = None, bloom: str | None = None) -> None:
+        """Append rows; ``bloom`` names a key column that gets Parquet Bloom filters."""
         w = df.write.mode("append")
+        if bloom:
+            w = w.option(f"parquet.bloom.filter.enabled#{bloom}", "true")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(self.facts_path(table))

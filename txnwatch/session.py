@@ -7,6 +7,7 @@ cluster; ``builder`` only fills in what is unset, for tests and the bench.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -47,11 +48,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests, the bench) a scratch folder is
-    created and set; on a cluster the configured shared folder is always used.
+    Only when a local session (tests, the bench) has none, a scratch folder is
+    created and set; on a cluster the setting is needed, as executors do not share local folders.
     """
     sc = spark.sparkContext
     cur = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not cur and not re.match(r"local(\[|$)", sc.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not cur:
         cur = tempfile.mkdtemp(prefix="txnwatch-ckpt-", dir="/tmp")
     sc.setCheckpointDir(cur)

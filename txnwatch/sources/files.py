@@ -25,12 +25,16 @@ PATTERNS = {
 }
 
 
+#: For batch and stream alike: names in the header must be the schema's, in its order, and every row must be whole.
+CSV = {"header": "true", "enforceSchema": "false", "mode": "FAILFAST"}
+
+
 def _read(spark: SparkSession, path: str, schema, fmt: str, glob: str | None, sep: str = ",") -> DataFrame:
     r = spark.read.schema(schema)
     if glob:
         r = r.option("pathGlobFilter", glob)
     if fmt == "csv":
-        r = r.option("header", True).option("sep", sep).option("mode", "FAILFAST")
+        r = r.options(**CSV, sep=sep)
     df = r.format(fmt).load(path)
     return df.withColumn("file_name", F.col("_metadata.file_name"))
 
@@ -76,7 +80,17 @@ def archive_files(spark: SparkSession, paths: list[str], archive_dir: str, suffi
     fs = dst_dir.getFileSystem(conf)
     fs.mkdirs(dst_dir)
     for p in paths:
-        src = Path(p)
-        name = src.getName()
-        stem = name.rsplit(".", 1)[0] if "." in name else name
-        fs.rename(src, Path(dst_dir, stem + suffix))
+        target = Path(dst_dir, archive_name(p, suffix))
+        if fs.exists(target) or not fs.rename(Path(p), target):
+            raise OSError(f"{p} cannot be archived as {target}: it stays where it is")
+
+
+def archive_name(path: str, suffix: str = ".backup") -> str:
+    name = path.rsplit("/", 1)[-1]
+    return (name.rsplit(".", 1)[0] if "." in name else name) + suffix
+
+
+def archived(spark: SparkSession, path: str, archive_dir: str, suffix: str = ".backup") -> bool:
+    """Whether a file of this name is in the archive."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(archive_dir, archive_name(path, suffix))
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
