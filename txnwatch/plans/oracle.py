@@ -2,8 +2,8 @@
 
 The SQL states the same mapping from the driver tables (``sources.mapping``)
 as CTEs, and computes each result the plain way: ordinary windows over the
-whole key (no time buckets), and the SCD2 load as the warehouse's statement
-sequence (insert new, close, open, delete). Column names equal the Spark
+whole key (no time buckets), rules 3 and 4 by joins on row numbers, and the SCD2
+load as plain steps. Column names equal the Spark
 queries'.
 """
 
@@ -25,7 +25,8 @@ TX = f"""tx AS (
          CASE WHEN event_type = 'purchase' THEN 'PAYMENT' ELSE 'WITHDRAW' END AS oper_type,
          CAST(value AS DECIMAL(18,2)) AS amt,
          CASE WHEN k % 4 = 0 THEN 'SUCCESS' ELSE 'REJECT' END AS oper_result,
-         'T' || {_v('k % 20')} AS terminal
+         CASE WHEN k % 50 = 17 THEN NULL
+              ELSE 'T' || {_v('(user_id * 7 + k) % (SELECT count(*) FROM supplier)')} END AS terminal
   FROM {EV} e WHERE event_type <> 'signup')"""
 
 CARD_CHG = f"""card_chg AS (
@@ -169,28 +170,26 @@ def rule2() -> str:
   FROM enriched WHERE CAST(valid_to AS TIMESTAMP) < trans_date"""
 
 
+# A card's operations at a known terminal, numbered; neighbours are found by number, not by LAG.
+NUMBERED = """(SELECT *, row_number() OVER (PARTITION BY card_num ORDER BY trans_date, trans_id) AS rn FROM enriched_t)"""
+
+
 def rule3() -> str:
-    return """SELECT event_dt, passport, fio, phone, 3 AS event_type FROM (
-    SELECT trans_date AS event_dt, passport, fio, phone, terminal_city AS city,
-           trans_date - lag(trans_date) OVER w AS dif, lag(terminal_city) OVER w AS prev_city
-    FROM enriched_t WINDOW w AS (PARTITION BY card_num ORDER BY trans_date, trans_id))
-  WHERE dif IS NOT NULL AND dif <= INTERVAL 1 HOUR AND prev_city <> city"""
+    return f"""SELECT now.trans_date AS event_dt, now.passport, now.fio, now.phone, 3 AS event_type
+  FROM {NUMBERED} now JOIN {NUMBERED} before ON before.card_num = now.card_num AND before.rn + 1 = now.rn
+  WHERE before.terminal_city <> now.terminal_city AND now.trans_date <= before.trans_date + INTERVAL 1 HOUR"""
 
 
 def rule4(span: str = "INTERVAL 20 MINUTE") -> str:
-    return f"""SELECT event_dt, passport, fio, phone, 4 AS event_type FROM (
-    SELECT trans_date AS event_dt, passport, fio, phone,
-           trans_date - lag(trans_date, 3) OVER w AS dif3,
-           amt, lag(amt, 1) OVER w AS a1, lag(amt, 2) OVER w AS a2, lag(amt, 3) OVER w AS a3,
-           oper_result AS r0, lag(oper_result, 1) OVER w AS r1, lag(oper_result, 2) OVER w AS r2,
-           lag(oper_result, 3) OVER w AS r3,
-           oper_type AS t0, lag(oper_type, 1) OVER w AS t1, lag(oper_type, 2) OVER w AS t2,
-           lag(oper_type, 3) OVER w AS t3
-    FROM enriched_t WINDOW w AS (PARTITION BY card_num ORDER BY trans_date, trans_id))
-  WHERE dif3 IS NOT NULL AND dif3 <= {span}
-    AND amt < a1 AND a1 < a2 AND a2 < a3
-    AND r0 = 'SUCCESS' AND r1 = 'REJECT' AND r2 = 'REJECT' AND r3 = 'REJECT'
-    AND t0 = 'WITHDRAW' AND t1 = 'WITHDRAW' AND t2 = 'WITHDRAW' AND t3 = 'WITHDRAW'"""
+    return f"""SELECT any_value(last.trans_date) AS event_dt, any_value(last.passport) AS passport, any_value(last.fio) AS fio,
+         any_value(last.phone) AS phone, 4 AS event_type
+  FROM {NUMBERED} last JOIN {NUMBERED} part ON part.card_num = last.card_num AND part.rn BETWEEN last.rn - 3 AND last.rn
+  GROUP BY last.card_num, last.rn
+  HAVING count(*) = 4 AND max(part.trans_date) - min(part.trans_date) <= {span}
+     AND bool_and(part.oper_type = 'WITHDRAW')
+     AND string_agg(part.oper_result, ',' ORDER BY part.rn) = 'REJECT,REJECT,REJECT,SUCCESS'
+     AND count(DISTINCT part.amt) = 4 AND count(part.amt) = 4
+     AND list(part.amt ORDER BY part.rn) = list_reverse_sort(list(part.amt))"""
 
 
 def report_sql(report_dt: str, span: str = "INTERVAL 20 MINUTE") -> str:
@@ -250,8 +249,9 @@ MERGE_INCREMENTAL = [
     ACC_CHG,
     hist_from_changes("h0", "acc_chg", "account_num", ["valid_to", "client"],
                       "update_dt < TIMESTAMP '2023-01-01 00:00:00'"),
+    "slice AS (SELECT * FROM acc_chg WHERE CAST(substr(account_num, 2) AS BIGINT) % 17 <> 3)",
     """stg AS (
-  SELECT account_num, valid_to, client, update_dt FROM acc_chg WHERE update_dt >= TIMESTAMP '2023-01-01 00:00:00'
+  SELECT account_num, valid_to, client, update_dt FROM slice WHERE update_dt >= TIMESTAMP '2023-01-01 00:00:00'
   QUALIFY row_number() OVER (PARTITION BY account_num ORDER BY update_dt DESC, seq DESC) = 1)""",
     f"""ins AS (
   SELECT s.account_num, s.valid_to, s.client, s.update_dt AS effective_from, {OPEN} AS effective_to, 0 AS deleted_flag
@@ -269,7 +269,7 @@ MERGE_INCREMENTAL = [
   SELECT * FROM h2 UNION ALL SELECT account_num, valid_to, client, update_dt, {OPEN}, 0 FROM chg)""",
     """del AS (
   SELECT h.account_num, max(h.effective_to) AS max_end_dt FROM h3 h
-  WHERE h.account_num NOT IN (SELECT account_num FROM acc_chg) GROUP BY h.account_num)""",
+  WHERE h.account_num NOT IN (SELECT account_num FROM slice) GROUP BY h.account_num)""",
 ]
 MERGE_INCREMENTAL_OUT = """SELECT h.account_num, h.valid_to, h.client, h.effective_from,
        CASE WHEN d.account_num IS NOT NULL AND h.effective_to = d.max_end_dt THEN TIMESTAMP '2024-02-01 00:00:00'
@@ -295,10 +295,10 @@ ORACLE: dict[str, str] = {
        CAST({FILE_DATE} AS TIMESTAMP) AS update_dt
 FROM raw""",
     "file_date_parse": w(TX, RAW_TX) + f"SELECT DISTINCT file_name, {FILE_DATE} AS file_date FROM raw",
-    "facts_append": w(TX) + """SELECT * FROM tx WHERE trans_date < TIMESTAMP '2024-01-10 00:00:00'
+    "facts_append": w(TX) + """SELECT * FROM tx
 UNION ALL
-SELECT * FROM tx WHERE trans_date >= TIMESTAMP '2024-01-05 00:00:00'
-  AND trans_id NOT IN (SELECT trans_id FROM tx WHERE trans_date < TIMESTAMP '2024-01-10 00:00:00')""",
+SELECT CAST(NULL AS VARCHAR) AS trans_id, trans_date, card_num, oper_type, amt, oper_result, terminal
+FROM tx WHERE trans_date < TIMESTAMP '2024-01-02 00:00:00'""",
     "daily_slice": w(BL) + "SELECT passport_num, entry_dt, TIMESTAMP '2024-01-05 00:00:00' AS update_dt FROM bl "
                            "WHERE entry_dt = DATE '2024-01-05'",
     "full_name": w(CLI) + "SELECT client_id, concat(coalesce(last_name, ''), ' ', coalesce(first_name, ''), ' ', "
@@ -340,6 +340,15 @@ FROM tx t JOIN card_hist c ON t.card_num = c.card_num AND t.trans_date BETWEEN c
     "valid_at_terminal": w(TX, SNAPS, terminal_hist("t_hist", 2)) + """SELECT t.trans_id, t.trans_date, t.terminal,
        h.terminal_city, h.effective_from, h.effective_to
 FROM tx t JOIN t_hist h ON t.terminal = h.terminal_id AND t.trans_date BETWEEN h.effective_from AND h.effective_to
+ AND h.deleted_flag = 0""",
+    "valid_at_card_sweep": w(TX, CARD_CHG, CARD_HIST) + """SELECT t.trans_id, t.trans_date, t.card_num,
+       (SELECT max(c.account_num) FROM card_hist c WHERE c.card_num = t.card_num AND c.deleted_flag = 0
+         AND c.effective_from <= t.trans_date AND t.trans_date <= c.effective_to) AS account_num
+FROM tx t WHERE EXISTS (SELECT 1 FROM card_hist c WHERE c.card_num = t.card_num AND c.deleted_flag = 0
+         AND c.effective_from <= t.trans_date AND t.trans_date <= c.effective_to)""",
+    "valid_at_terminal_sweep_left": w(TX, SNAPS, terminal_hist("t_hist", 2)) + """SELECT t.trans_id, t.trans_date, t.terminal,
+       h.terminal_city, h.effective_from, h.effective_to
+FROM tx t LEFT JOIN t_hist h ON t.terminal = h.terminal_id AND t.trans_date BETWEEN h.effective_from AND h.effective_to
  AND h.deleted_flag = 0""",
     "owner_history": w(CARD_CHG, ACC_CHG, CLI, CARD_HIST, ACC_HIST) + """SELECT c.card_num, a.account_num, k.client_id,
        a.valid_to, k.passport_num, k.passport_valid_to,
@@ -365,8 +374,11 @@ WHERE c.deleted_flag = 0 AND a.deleted_flag = 0 AND k.deleted_flag = 0""",
     "rule_amount_probe_wide": w(BASE) + rule4("INTERVAL 96 HOUR"),
     "fraud_report": w(BASE, report_sql("2024-02-01")) + "SELECT * FROM rep",
     "fraud_report_wide": w(BASE, report_sql("2024-02-01", "INTERVAL 96 HOUR")) + "SELECT * FROM rep",
-    "report_incremental": w(BASE, report_sql("2024-02-01")) + """SELECT event_dt, passport, fio, phone, event_type,
-       DATE '2024-01-15' AS report_dt FROM rep WHERE event_dt < TIMESTAMP '2024-01-15 00:00:00'
+    "report_incremental": w(BASE, report_sql("2024-02-01")) + f""", old AS (
+  SELECT event_dt, passport, fio, phone, CAST(2 AS VARCHAR) AS event_type, DATE '2024-01-15' AS report_dt
+  FROM ({rule2()}) WHERE event_dt < TIMESTAMP '2024-01-15 00:00:00'
+  QUALIFY row_number() OVER (PARTITION BY event_dt, passport ORDER BY fio, phone) = 1)
+SELECT * FROM old
 UNION ALL
-SELECT * FROM rep r WHERE r.event_dt >= TIMESTAMP '2024-01-15 00:00:00' OR r.event_dt IS NULL""",
+SELECT * FROM rep r WHERE NOT EXISTS (SELECT 1 FROM old o WHERE o.event_dt = r.event_dt AND o.passport = r.passport)""",
 }

@@ -12,6 +12,7 @@ import datetime as dt
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from txnwatch.functions import scalars as X
 
@@ -57,15 +58,18 @@ def _d(value: dt.date) -> str:
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact rows: every non-signup event is a card operation."""
-    ev = table(spark, sf_dir, "events").where("event_type <> 'signup'")
+    suppliers = table(spark, sf_dir, "supplier").agg(F.count("*")).scalar()
+    ev = table(spark, sf_dir, "events").where("event_type <> 'signup'").select(
+        "event_id", "ts", "user_id", "event_type", "value", F.expr(K).alias("k"), suppliers.alias("_suppliers"))
     return ev.selectExpr(
         f"{_s('X', 'event_id')} AS trans_id",
         f"{X.trunc_second_sql('ts')} AS trans_date",
         f"{_s('C', 'user_id')} AS card_num",
         "CASE WHEN event_type = 'purchase' THEN 'PAYMENT' ELSE 'WITHDRAW' END AS oper_type",
         "CAST(value AS DECIMAL(18,2)) AS amt",
-        f"CASE WHEN {K} % 4 = 0 THEN 'SUCCESS' ELSE 'REJECT' END AS oper_result",
-        f"{_s('T', f'{K} % 20')} AS terminal")
+        "CASE WHEN k % 4 = 0 THEN 'SUCCESS' ELSE 'REJECT' END AS oper_result",
+        # terminals over all suppliers; some operations have none
+        f"CASE WHEN k % 50 = 17 THEN NULL ELSE {_s('T', '(user_id * 7 + k) % _suppliers')} END AS terminal")
 
 
 def card_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
