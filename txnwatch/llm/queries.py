@@ -1,4 +1,4 @@
-"""The queries of the ten operators over the driver's tables, and the DuckDB SQL of those that SQL can express.
+"""The queries of the ten operators over the driver's tables (``oracle`` has the DuckDB SQL of those that SQL can express).
 
 Each query runs its operator with production parameters over its whole table and derives the digest columns from the
 operator's output.
@@ -124,5 +124,3 @@ QUERIES = {
     "op9_pii": op9_pii,
     "op10_secret_scan": op10_secret_scan,
 }
-
-ORACLE: dict[str, str] = {}
