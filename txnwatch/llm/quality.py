@@ -124,9 +124,9 @@ def cutoffs(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id", labe
     rows = F.explode(F.array(*[F.struct(
         F.lit(r).alias("rule"), F.lit(s).alias("step"), F.lit(p).cast("long").alias("percent"),
         F.col(f"{r}_{s}_1").alias("k"), F.col(f"{r}_{s}_0").alias("caught")) for r, s, p in tries]))
-    strata = F.count("*").over(Window.partitionBy(F.lit(1)))  # one small row a stratum
-    t = seen.select("stratum", "n_good", "n_bad", strata.alias("strata"), rows.alias("x")).select(
-        "stratum", "n_good", "n_bad", "strata", "x.*")
+    # counted before the candidates multiply the rows; one small row a stratum
+    seen = seen.withColumn("strata", F.count("*").over(Window.partitionBy(F.lit(1))))
+    t = seen.select("stratum", "n_good", "n_bad", "strata", rows.alias("x")).select("stratum", "n_good", "n_bad", "strata", "x.*")
     t = t.where("n_good > 0 AND n_bad > 0").withColumn(
         "fails", (lower_tail(F.col("n_good"), F.col("k"), alpha / len(RULES)) > delta / len(RULES) / F.col("strata")).cast("int"))
     failed = F.sum("fails").over(
