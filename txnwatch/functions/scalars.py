@@ -67,22 +67,6 @@ def open_end() -> Column:
     return F.expr(ntz_sql(OPEN_END))
 
 
-def is_open(effective_to: str | Column = "effective_to") -> Column:
-    if isinstance(effective_to, str):
-        return F.expr(f"{q(effective_to)} >= {ntz_sql(OPEN_END)}")
-    return effective_to >= open_end()
-
-
-def seconds(n: int | float) -> Column:
-    return F.expr(f"make_dt_interval(0, 0, 0, {float(n)})")
-
-
-def minus_one_second(ts: str | Column) -> Column:
-    if isinstance(ts, str):
-        return F.expr(f"{q(ts)} - INTERVAL '1' SECOND")
-    return ts - F.expr("INTERVAL '1' SECOND")
-
-
 def trunc_second_sql(t: str) -> str:
     return f"({t} - make_dt_interval(0, 0, 0, date_part('SECOND', {t}) - second({t})))"
 
@@ -174,21 +158,10 @@ def full_name(last: str | Column = "last_name", first: str | Column = "first_nam
                     F.coalesce(col(middle), F.lit("")))
 
 
-def differs(left: str | Column, right: str | Column) -> Column:
-    """NULL-safe "values differ"."""
-    return ~col(left).eqNullSafe(col(right))
-
-
 def any_differs_sql(pairs: list[tuple[str, str]]) -> str:
     return "(" + " OR ".join(f"NOT ({q(a)} <=> {q(b)})" for a, b in pairs) + ")"
 
 
-def any_differs(pairs: list[tuple[str | Column, str | Column]]) -> Column:
-    if all(isinstance(a, str) and isinstance(b, str) for a, b in pairs):
-        return F.expr(any_differs_sql(pairs))
-    return reduce(lambda a, b: a | b, [differs(a, b) for a, b in pairs])
-
-
 def date_as_ts(d: str | Column) -> Column:
     """A date as midnight TIMESTAMP_NTZ (the implicit rule of date vs timestamp)."""
     if isinstance(d, str):

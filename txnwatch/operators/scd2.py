@@ -28,7 +28,10 @@ from pyspark.sql import functions as F
 
 from txnwatch.functions import scalars as X
 from txnwatch.functions.scalars import q
-from txnwatch.operators.sequence import DEFAULT_BUCKET_SECONDS
+
+#: Time bucket of the history builders. Dimension changes are sparse: a year keeps the edge table small beside the data
+#: and still bounds what one window holds of a key.
+HISTORY_BUCKET_SECONDS = 366 * 86400
 
 FROM, TO, FLAG = "effective_from", "effective_to", "deleted_flag"
 
@@ -88,7 +91,7 @@ def _shared(d: DataFrame, key: str) -> DataFrame:
 
 def scd2_from_changes(changes: DataFrame, key: str, attrs: list[str], ts: str,
                       order: list[str] | None = None,
-                      bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                      bucket_seconds: int = HISTORY_BUCKET_SECONDS) -> DataFrame:
     """History from a change log (key, attrs, change time): one version per run of equal values.
 
     Same-second changes of a key keep the last by ``order``; a change to equal
@@ -128,7 +131,7 @@ def scd2_from_changes(changes: DataFrame, key: str, attrs: list[str], ts: str,
 
 
 def scd2_from_snapshots(snapshots: DataFrame, key: str, attrs: list[str], ts: str,
-                        bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                        bucket_seconds: int = HISTORY_BUCKET_SECONDS) -> DataFrame:
     """History from full snapshots (every present key per snapshot time ``ts``).
 
     A key absent from the snapshot after one it was in is soft-deleted at that

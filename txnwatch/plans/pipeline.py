@@ -176,8 +176,10 @@ def build_report(spark: SparkSession, wh: Warehouse, opt: RunOptions) -> DataFra
 
 
 def update_report(spark: SparkSession, wh: Warehouse, opt: RunOptions) -> None:
+    """Append this run's new rows; what was reported before is read for the anti join and not written again."""
     existing = wh.read("rep_fraud", schemas.REPORT)
-    wh.replace("rep_fraud", report.append_report(existing, build_report(spark, wh, opt)))
+    new = report.new_report_rows(existing, build_report(spark, wh, opt))
+    wh.append("rep_fraud", new.select(*schemas.REPORT.fieldNames()))
 
 
 def run_pipeline(spark: SparkSession, inputs: Inputs, warehouse_root: str,

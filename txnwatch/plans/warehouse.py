@@ -54,10 +54,10 @@ class Warehouse:
 
     # --- tables ---------------------------------------------------------------
     def read(self, table: str, schema: T.StructType) -> DataFrame:
-        p = self.current_path(table)
-        if p is None:
-            return schemas.empty(self.spark, schema)
-        return self.spark.read.schema(schema).parquet(p)
+        """The current version, and the rows appended to the table since."""
+        p, more = self.current_path(table), self.facts_path(table)
+        paths = ([p] if p else []) + ([more] if self._exists(more) else [])
+        return self.spark.read.schema(schema).parquet(*paths) if paths else schemas.empty(self.spark, schema)
 
     def replace(self, table: str, df: DataFrame) -> str:
         """Write ``df`` as the next version; it becomes current once committed."""
