@@ -161,7 +161,7 @@ def test_cutoffs_hold_their_promise(spark):
 FRAME = "<html><body><header><h1>Site</h1></header><div class=x><b>News of the site</b></div>{}<div><p>Buy our things</p></div></body></html>"
 
 
-def test_templates_are_cut_and_articles_kept(spark):
+def test_templates_are_cut_and_articles_kept(spark, monkeypatch):
     pages = [(i, f"http://a.example/{i}", FRAME.format(f"<div><p>Own text number {i}<p>and &amp; more {i}</div>")) for i in range(12)]
     pages += [(100 + i, "http://b.example/x", FRAME.format("<div><p>Posted again</p></div>")) for i in range(9)]
     pages += [(200, None, None), (201, "nonsense", ""), (202, "http://b.example/", "<p>alone &lt;b&gt;</p><script>no</script>"),
@@ -177,6 +177,8 @@ def test_templates_are_cut_and_articles_kept(spark):
     assert got[100] == got[108] == "News of the site\nPosted again\nBuy our things"
     assert got[200] == got[201] == "" and got[202] == "alone <b>" and got[203] == "Title\nx y\ne nd" and got[205] == "deep" and len(got[206]) == 200_000
     assert html_extract.extract(df.limit(0)).count() == 0
+    monkeypatch.setattr(html_extract, "SENT", -1)  # too many templates to send: the join
+    assert {r.page_id: r.text for r in html_extract.extract(df).collect()} == got
 
 
 # --- 6 BPE -------------------------------------------------------------------

@@ -7,25 +7,27 @@ host are its template and are cut out. Inside a marked article only containers a
 and footers of the page, sidebars, forms, and blocks whose class or id names them as adverts, notices or comments. The
 rest's blocks are the text; where a page marks its article, only the article's.
 
-Counting goes by (host, hash) with partial sums, so a host with a third of all pages is spread over its subtrees. A
-page gets back the hashes of its own recurring subtrees only; the join is on (host, hash) with the page side salted.
+Counting goes by (host, hash, page content) with partial sums, so a host with a third of all pages is spread over its
+subtrees and pages.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from hashlib import blake2b
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_digest
+
+from txnwatch.session import ensure_checkpoint_dir
 
 #: A subtree is template if it is on at least so many pages of its host and on at least this share of them.
 PAGES, SHARE = 5, 0.05
-#: Ways in which the pages of one (host, hash) are dealt out in the join.
-SALT = 16
+#: Template subtrees that are sent to all tasks (8 bytes each), and ways in which a host's pages are dealt out in the join.
+SENT, SALT = 1 << 20, 16
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dir div dl dt fieldset figcaption figure footer form "
                    "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th "
@@ -48,10 +50,10 @@ SPACE = re.compile(r"[ \t\n\x0b\x0c\r\x85\xa0  -     　]+")
 
 
 class Node:
-    __slots__ = ("attrs", "children", "hash", "name")
+    __slots__ = ("attrs", "children", "hash", "name", "words")
 
     def __init__(self, name: str, attrs: str):
-        self.name, self.attrs, self.children, self.hash = name, attrs, [], 0
+        self.name, self.attrs, self.children, self.hash, self.words = name, attrs, [], 0, False
 
 
 class Tree(HTMLParser):
@@ -112,20 +114,28 @@ class Tree(HTMLParser):
 
 
 def hash_subtrees(root: Node) -> None:
-    """64-bit hashes of all subtrees, bottom up, without recursion (markup may nest deeper than Python)."""
+    """64-bit hashes of all subtrees and whether they hold words, bottom up, without recursion (markup may nest deeper
+    than Python)."""
     order, stack = [], [root]
     while stack:
         node = stack.pop()
         order.append(node)
-        stack += [c for c in node.children if isinstance(c, Node)]
+        stack += [c for c in node.children if c.__class__ is Node]
     for node in reversed(order):
-        h = blake2b(f"{node.name}\x1e{node.attrs}".encode("utf-8", "surrogatepass"), digest_size=8)
+        parts = [node.name, node.attrs]
         for c in node.children:
-            if isinstance(c, Node):
-                h.update(b"\x01" + c.hash.to_bytes(8, "little", signed=True))
-            elif said := SPACE.sub(" ", c).strip(" "):
-                h.update(b"\x02" + said.encode("utf-8", "surrogatepass"))
-        node.hash = int.from_bytes(h.digest(), "little", signed=True)
+            if c.__class__ is Node:
+                parts.append(f"\x01{c.hash}")
+                node.words |= c.words
+            elif said := " ".join(c.split()):
+                parts.append("\x02" + said)
+                node.words = True
+        node.hash = hash64("\x1e".join(parts))
+
+
+def hash64(text: str) -> int:
+    """A signed 64-bit hash, the same in all workers."""
+    return int.from_bytes(xxh3_64_digest(text.encode("utf-8", "surrogatepass")), "little", signed=True)
 
 
 def excluded(node: Node, in_article: bool) -> bool:
@@ -139,20 +149,10 @@ def excluded(node: Node, in_article: bool) -> bool:
     return bool(MARKS.search(cls) or MARKS.search(id_)) or role.lower() in ROLES
 
 
-def has_words(node: Node) -> bool:
-    stack = [node]
-    while stack:
-        for c in stack.pop().children:
-            if isinstance(c, Node):
-                stack.append(c)
-            elif SPACE.sub("", c):
-                return True
-    return False
-
-
 def main_text(root: Node, template: frozenset[int] | set[int]) -> str:
-    """The blocks that are left, one a line; with articles on the page, only what is inside the outermost ones."""
-    articles = [n for n in _top(root, "article") if has_words(n)] or [n for n in _top(root, "main") if has_words(n)]
+    """The blocks that are left, one a line; with articles on the page, only what is inside the outermost ones. The tree is
+    one that ``hash_subtrees`` has seen."""
+    articles = [n for n in _top(root, "article") if n.words] or [n for n in _top(root, "main") if n.words]
     blocks: list[str] = []
     words: list[str] = []
 
@@ -197,15 +197,20 @@ def _top(root: Node, name: str) -> list[Node]:
     return out
 
 
-def hashes(root: Node) -> set[int]:
-    """The subtrees that can be template: elements with words, below the page's own frame."""
-    out, stack = set(), [root]
+def hashes(root: Node) -> tuple[set[int], int]:
+    """(the subtrees that can be cut as template, what tells the page from others of its host). These are blocks with words
+    below the page's own frame; inside an article, containers. Pages are told apart by their articles, or else their text."""
+    out, mine, stack = set(), [], [(root, False)]
     while stack:
-        node = stack.pop()
-        if node is not root and node.name not in ("html", "body", "article", "main") and has_words(node):
-            out.add(node.hash)
-        stack += [c for c in node.children if isinstance(c, Node)]
-    return out
+        node, inside = stack.pop()
+        for c in node.children:
+            if c.__class__ is Node and c.words:
+                if c.name in ("article", "main"):
+                    mine.append(c.hash)
+                elif c.name in (CONTAINERS if inside else BLOCKS) and c.name not in ("html", "body"):
+                    out.add(c.hash)
+                stack.append((c, inside or c.name in ("article", "main")))
+    return out, hash64(repr(sorted(mine)) if mine else main_text(root, frozenset()))
 
 
 def host(url: str | None) -> str:
@@ -213,66 +218,74 @@ def host(url: str | None) -> str:
     return found[1].lower() if found else ""
 
 
-def subtrees(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(page, host, content, hash): the distinct subtrees of each page and the hash of its text with all of them; a page
-    without a host counts for the host ''."""
-    kind = dict(pages.dtypes)[id_col]
+def host_of(url: Column) -> Column:
+    """``host`` as an expression."""
+    return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"(?i)^\s*(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
+
 
+def subtrees(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(host, content, hash): the distinct subtrees of each page, and one row with a null hash for the page itself; a page
+    without a host counts for the host ''."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
-                ids, hosts, texts, out = [], [], [], []
-                for k, (url, source) in enumerate(zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True)):
+                rows = []
+                for url, source in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     root = Tree(source or "").root
                     hash_subtrees(root)
-                    found = hashes(root)
-                    ids += [k] * len(found)
-                    hosts += [host(url)] * len(found)
-                    said = blake2b(main_text(root, frozenset()).encode("utf-8", "surrogatepass"), digest_size=8).digest()
-                    texts += [int.from_bytes(said, "little", signed=True)] * len(found)
-                    out += found
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(ids, pa.int64())), pa.array(hosts, pa.string()),
-                                                  pa.array(texts, pa.int64()), pa.array(out, pa.int64())],
-                                                 names=["page", "host", "content", "hash"])
+                    found, content = hashes(root)
+                    rows += [(host(url), content, h) for h in [None, *found]]
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()),
+                                                  pa.array([r[2] for r in rows], pa.int64())], names=["host", "content", "hash"])
 
-    return pages.select(id_col, url_col, html_col).mapInArrow(run, f"page {kind}, host string, content bigint, hash bigint")
+    return pages.select(url_col, html_col).mapInArrow(run, "host string, content bigint, hash bigint")
 
 
 def templates(found: DataFrame, least: int = PAGES, share: float = SHARE) -> DataFrame:
-    """(host, hash) of the subtrees that recur across a host's different pages."""
+    """(host, hashes): the subtrees that recur across a host's different pages. As each is on a share of the host's pages, a
+    host has at most (subtrees of its average page) / share of them, however many pages it has."""
     distinct = found.groupBy("host", "hash", "content").agg(F.lit(1).alias("once"))
-    counted = distinct.groupBy("host", "hash").agg(F.count("*").alias("pages")).where(F.col("pages") >= least)
-    per_host = found.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("all"))
-    return counted.join(per_host, "host").where(F.col("pages") >= F.col("all") * share).select("host", "hash")
+    counted = distinct.groupBy("host", "hash").agg(F.count("*").alias("pages"))
+    per_host = counted.where("hash IS NULL").select(F.col("host").alias("h"), F.col("pages").alias("all"))
+    often = counted.where(F.col("hash").isNotNull() & (F.col("pages") >= least)).join(per_host, F.col("host") == F.col("h"))
+    return often.where(F.col("pages") >= F.col("all") * share).groupBy("host").agg(F.collect_list("hash").alias("hashes"))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = PAGES,
             share: float = SHARE) -> DataFrame:
     """(id, url, text) per row: the main text, '' where there is none.
 
-    Null html counts as empty, a null url as a page of the host ''. Repeated rows are pages of their own; null ids stay,
-    and share their template subtrees. Other columns are not read; an empty table gives an empty one.
+    Null html counts as empty, a null url as a page of the host ''. Repeated rows are pages of their own; null ids stay.
+    Other columns are not read; an empty table gives an empty one. Up to SENT template subtrees go to all tasks, so that
+    pages are read where they lie; of more, the pages' hosts get theirs by a join, hot hosts dealt out by salt.
     """
+    ensure_checkpoint_dir(pages.sparkSession)
     kind, url_kind = dict(pages.dtypes)[id_col], dict(pages.dtypes)[url_col]
-    found = subtrees(pages, id_col, url_col, html_col)
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))
-    template = templates(found, least, share).withColumn("salt", salts)
-    # only recurring subtrees come back; each page's list is as long as its own markup at most
-    own = found.withColumn("salt", F.pmod(F.xxhash64("page"), F.lit(SALT)).cast("int")).join(template, ["host", "hash", "salt"])
-    own = own.groupBy(F.col("page").alias("_page")).agg(F.collect_set("hash").alias("_cut"))
+    cut = templates(subtrees(pages, url_col, html_col), least, share).checkpoint()
     rows = pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"), F.col(html_col).alias("_html"))
-    rows = rows.join(own, rows["_id"].eqNullSafe(own["_page"]), "left").select("_id", "_url", "_html", "_cut")
+    schema = f"`{id_col}` {kind}, `{url_col}` {url_kind}, text string"
+    known = None
+    if (cut.agg(F.sum(F.size("hashes"))).first()[0] or 0) <= SENT:
+        known = pages.sparkSession.sparkContext.broadcast({r["host"]: frozenset(r["hashes"]) for r in cut.toLocalIterator()})
+    else:
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))
+        cut = cut.withColumn("_salt", salts).select(F.col("host").alias("_host"), "_salt", F.col("hashes").alias("_cut"))
+        salt = F.pmod(F.xxhash64("_id", "_html"), F.lit(SALT)).cast("int")
+        rows = rows.withColumn("_host", host_of(F.col("_url"))).withColumn("_salt", salt).join(cut, ["_host", "_salt"], "left")
+        rows = rows.select("_id", "_url", "_html", "_cut")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
+                urls = part.column(1).to_pylist()
+                lists = [known.value.get(host(u), ()) for u in urls] if known else part.column(3).to_pylist()
                 out = []
-                for source, cut in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
+                for source, own in zip(part.column(2).to_pylist(), lists, strict=True):
                     root = Tree(source or "").root
                     hash_subtrees(root)
-                    out.append(main_text(root, set(cut or ())))
+                    out.append(main_text(root, set(own or ())))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, pa.string())], names=[id_col, url_col, "text"])
 
-    return rows.mapInArrow(run, f"`{id_col}` {kind}, `{url_col}` {url_kind}, text string")
+    return rows.mapInArrow(run, schema)
