@@ -171,7 +171,10 @@ def keep(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     whole = documents.select(F.struct("*").alias("row"))
     inner = whole.select("row", F.col(f"row.`{id_col}`").alias(id_col), F.col(f"row.`{text_col}`").alias(text_col),
                          F.col(f"row.`{stratum_col}`").alias(stratum_col))
-    return judge(_measured_beside(inner, id_col, text_col, stratum_col), found).where("kept").select("row.*")
+    judged = judge(_measured_beside(inner, id_col, text_col, stratum_col), found)
+    # the running number keeps Spark from moving the filter below the steps that compute the verdict, where these would
+    # be folded into one expression and evaluated again for every word
+    return judged.withColumn("_at", F.monotonically_increasing_id()).where("kept AND _at >= 0").select("row.*")
 
 
 def _measured_beside(df: DataFrame, id_col: str, text_col: str, stratum_col: str) -> DataFrame:
