@@ -246,9 +246,10 @@ def templates(found: DataFrame, least: int = PAGES, share: float = SHARE) -> Dat
     """(host, hashes): the subtrees that recur across a host's different pages. As each is on a share of the host's pages, a
     host has at most (subtrees of its average page) / share of them, however many pages it has."""
     distinct = found.groupBy("host", "hash", "content").agg(F.lit(1).alias("once"))
-    counted = distinct.groupBy("host", "hash").agg(F.count("*").alias("pages"))
+    counted = distinct.groupBy("host", "hash").agg(F.count("*").alias("pages")).where(
+        F.col("hash").isNull() | (F.col("pages") >= least)).checkpoint()  # read twice; the pages are parsed once
     per_host = counted.where("hash IS NULL").select(F.col("host").alias("h"), F.col("pages").alias("all"))
-    often = counted.where(F.col("hash").isNotNull() & (F.col("pages") >= least)).join(per_host, F.col("host") == F.col("h"))
+    often = counted.where(F.col("hash").isNotNull()).join(per_host, F.col("host") == F.col("h"))
     return often.where(F.col("pages") >= F.col("all") * share).groupBy("host").agg(F.collect_list("hash").alias("hashes"))
 
 
