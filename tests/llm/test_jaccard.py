@@ -77,20 +77,29 @@ def test_sets_next_to_the_threshold():
                 assert jaccard.shared_prefix(n, m) <= jaccard.prefix_length(n)
 
 
-def test_block_search_equals_counting():
+def test_block_search_loses_no_link():
     rng = random.Random(5)
     for _ in range(60):
-        block, rows = jaccard.Block(), []
+        base = rng.sample(range(1, 1 << 40), 80)
+        sets = []
         for c in range(40):
-            n = rng.randrange(5, 60)
-            tokens = sorted(rng.sample(range(30), min(30, int(jaccard.prefix_length(n)))))
-            rows.append((c, n, (1, c), tokens))
-            block.add(c, n, (1, c), tokens)
-        n = rng.randrange(5, 60)
-        tokens = sorted(rng.sample(range(30), int(jaccard.prefix_length(n))))
-        want = {(c, len({*tokens} & {*t})) for c, m, _, t in rows
-                if jaccard.needed(n, m) <= min(n, m) and len({*tokens} & {*t}) >= jaccard.shared_prefix(n, m)}
-        assert {(c, k) for c, _, k in block.search(n, (0, 0), tokens)} == want
+            own = sorted({*rng.sample(base, rng.randrange(5, 75)), *(rng.randrange(1 << 40) for _ in range(rng.randrange(4)))})
+            if rng.random() < 0.6 and sets:
+                own = sorted({*rng.choice(sets)[:-rng.randrange(1, 9)], *(rng.randrange(1 << 40) for _ in range(rng.randrange(6)))})
+            sets.append(own if len(own) >= 5 else [1, 2, 3, 4, 5])
+        head = lambda s: s[:int(jaccard.prefix_length(len(s)))]
+        block = jaccard.Block()
+        for c, s in enumerate(sets[1:], 1):
+            block.add(c, len(s), (1, c), head(s), jaccard.marks(s, len(s)))
+        x = sets[0]
+        got = {c: k for c, _, k in block.search(len(x), (0, 0), head(x), jaccard.marks(x, len(x)))}
+        for c, s in enumerate(sets[1:], 1):
+            common, shared = len({*x} & {*s}), len({*head(x)} & {*head(s)})
+            assert common - shared <= jaccard.beyond(len(x), jaccard.marks(x, len(x)), len(s), jaccard.marks(s, len(s)))
+            if 100 * common >= 80 * (len(x) + len(s) - common):
+                assert got[c] == shared
+            elif c in got:
+                assert got[c] == shared
 
 
 def test_empty_tables_and_clashing_columns(spark):

@@ -10,7 +10,8 @@ have make inverted lists. Links are then found in two steps that together miss n
    blocks, each block holds inverted lists of its classes' prefixes, and every class queries the blocks it meets for
    classes of larger components that share at least the T prefix shingles that a link between sets of these sizes
    needs. Short lists are merged with a heap; long ones are only probed, by bisection, for what the merge has found.
-   Of the classes found in one component the FEW best are compared first, and, if none links, all the others.
+   Of the classes found in one component the FEW best are compared first; a query that links with none of them goes
+   once to the component's blocks of whole sets, where all the others are compared.
 
 Sets are compared whole. Shingles are 64-bit hashes (48 bits in the comparison), classes 64-bit hashes of their sets.
 """
@@ -26,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txnwatch.llm import filters
 from txnwatch.llm.components import connected
 from txnwatch.llm.text import chunks, shingles, words
 from txnwatch.session import ensure_checkpoint_dir
@@ -33,9 +35,9 @@ from txnwatch.session import ensure_checkpoint_dir
 #: Words of a shingle and the similarity, in percent, from which two sets link.
 SHINGLE, PERCENT = 5, 80
 #: Shingles whose counts are known to all tasks; they only order the prefixes, any order gives the same links.
-KNOWN = 1 << 20
-#: Bits of the filter of classes that meet another (false positives only cost time).
-FILTER_BITS = 1 << 24
+KNOWN = 1 << 19
+#: Places of a prefix whose order keys are kept, and the count from which shingles are equally frequent.
+MARKS, FREQUENT = 8, (1 << 15) - 1
 #: Classes in a block, candidates compared first, length from which a list is probed.
 BLOCK, FEW, LONG = 1024, 8, 24
 
@@ -109,12 +111,44 @@ def _known(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return value[order], rows["n"].to_numpy(np.int64)[order]
 
 
-def _prefixes(docs: DataFrame) -> DataFrame:
-    """(s, c, n): the prefix shingles s of class c with n shingles; a class is repeated for its documents of other batches."""
-    known = docs.sparkSession.sparkContext.broadcast(_known(docs))  # at most KNOWN pairs of numbers
+def _order_keys(value: np.ndarray, known: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The place of shingles in the common order: by known count, then by hash (48 bits of it; equal keys may come in any
+    order)."""
+    frequent, counts = known
+    times = np.zeros(len(value), np.uint64)
+    if len(frequent) and len(value):
+        at = np.minimum(np.searchsorted(frequent, value), len(frequent) - 1)
+        times = np.where(frequent[at] == value, np.minimum(counts[at], FREQUENT), 0).astype(np.uint64)
+    return times << np.uint64(48) | value >> np.uint64(16)
 
+
+def marks(keys: list[int], n: int) -> list[int]:
+    """Of the sorted order keys of a set of n, those at MARKS places spread over its prefix, the last one included."""
+    return [keys[i] for i in mark_places(n)]
+
+
+def mark_places(n: int) -> list[int]:
+    p = int(prefix_length(n))
+    return [(k + 1) * p // MARKS - 1 if p >= MARKS else min(k, p - 1) for k in range(MARKS)]
+
+
+def beyond(n: int, x: list[int], m: int, y: list[int]) -> int:
+    """At most so many shared shingles of sets of n and m with marks x and y are not in both prefixes. Let x's prefix end
+    first: what is shared up to its end is in both prefixes, the rest is among the shingles of either set after that end,
+    n minus its prefix of the one, and of the other all but those known to lie before the end."""
+    if x[-1] > y[-1]:
+        n, x, m, y = m, y, n, x
+    before = 0
+    for key, place in zip(y, mark_places(m), strict=True):
+        if key < x[-1]:
+            before = place + 1
+    return min(n - int(prefix_length(n)), m - before)
+
+
+def _prefixes(docs: DataFrame, known) -> DataFrame:
+    """(s, c, n): the prefix shingles s of class c with n shingles; a class is repeated for its documents of other batches.
+    ``known``: the broadcast result of ``_known``, at most KNOWN pairs of numbers."""
     def one(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        frequent, counts = known.value
         told: set[int] = set()
         for part, value, row, n, cls in _sets(batch, "t"):
             first = np.array([not (c in told or told.add(c)) for c in cls.tolist()], bool)
@@ -122,11 +156,7 @@ def _prefixes(docs: DataFrame) -> DataFrame:
             value, row = value[mine], row[mine]
             if not len(value):
                 continue
-            times = np.zeros(len(value), np.int64)
-            if len(frequent):
-                at = np.minimum(np.searchsorted(frequent, value), len(frequent) - 1)
-                times = np.where(frequent[at] == value, counts[at], 0)
-            order = np.lexsort((value, times, row))
+            order = np.lexsort((value, _order_keys(value, known.value), row))
             value, row = value[order], row[order]
             place = np.arange(len(row)) - np.searchsorted(row, row)
             head = place < prefix_length(n)[row]
@@ -173,30 +203,24 @@ def _lists(prefixes: DataFrame) -> DataFrame:
     return prefixes.repartition("s").sortWithinPartitions("s", "n", "c").mapInArrow(run, "s bigint, c bigint, n int, p bigint, m int")
 
 
-def _whole_sets(docs: DataFrame, lists: DataFrame) -> DataFrame:
-    """(c, v): the sets, 6 bytes a shingle, of the classes in lists."""
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(FILTER_BITS, bool)
-        for batch in batches:
-            seen[batch.column(0).to_numpy().view(np.uint64) % np.uint64(FILTER_BITS)] = True
-        yield _batch(b=pa.array([np.packbits(seen).tobytes()], pa.binary()))
-
-    met = np.zeros(FILTER_BITS // 8, np.uint8)
-    for r in lists.select("c").coalesce(8).mapInArrow(bits, "b binary").toLocalIterator():
-        met |= np.frombuffer(r["b"], np.uint8)
-    meets = docs.sparkSession.sparkContext.broadcast(met)  # FILTER_BITS / 8 bytes
+def _whole_sets(docs: DataFrame, lists: DataFrame, known) -> DataFrame:
+    """(c, v, q): the sets, 6 bytes a shingle, and the prefix marks of the classes in lists; a class is repeated for its
+    documents of other batches."""
+    meets = docs.sparkSession.sparkContext.broadcast(filters.gather(lists.select("c")))  # of fixed size
 
     def one(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         told: set[int] = set()
         for _, value, row, n, cls in _sets(batch, "t"):
-            at = (cls % np.uint64(FILTER_BITS)).astype(np.int64)
-            hit = (meets.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool) & (n > 0)
+            hit = filters.may_hold(meets.value, cls) & (n > 0)
             ends = np.cumsum(n)
             rows = [i for i in np.flatnonzero(hit).tolist() if not (int(cls[i]) in told or told.add(int(cls[i])))]
-            sets = [value[ends[i] - n[i]:ends[i]].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for i in rows]
-            yield _batch(c=_signed(cls[rows]), v=pa.array(sets, pa.binary()))
+            sets = [value[ends[i] - n[i]:ends[i]] for i in rows]
+            packed = [x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for x in sets]
+            places = [marks(np.sort(_order_keys(x, known.value)), len(x)) for x in sets]
+            yield _batch(c=_signed(cls[rows]), v=pa.array(packed, pa.binary()),
+                         q=pa.array([[int(k) for k in m] for m in places], pa.list_(pa.int64())))
 
-    return _map(docs, "c bigint, v binary", one).groupBy("c").agg(F.first("v").alias("v"))
+    return _map(docs, "c bigint, v binary, q array<bigint>", one)
 
 
 def _unpack(v: bytes) -> np.ndarray:
@@ -205,8 +229,23 @@ def _unpack(v: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def _joint(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sets link."""
+    both = np.concatenate([x, y])
+    both.sort()
+    return int((both[1:] == both[:-1]).sum()) >= needed(len(x), len(y))
+
+
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes whose whole sets link."""
+    """The pairs (a, b) of classes whose whole sets link. Only the sets of these classes are dealt out."""
+    pairs = pairs.checkpoint()
+    meets = pairs.sparkSession.sparkContext.broadcast(filters.gather(
+        pairs.select("a").unionByName(pairs.select(F.col("b").alias("a")))))  # of fixed size
+
+    def some(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        yield batch.select([0, 1]).filter(pa.array(filters.may_hold(meets.value, batch.column(0).to_numpy().view(np.uint64))))
+
+    sets = _map(sets, "c bigint, v binary", some).groupBy("c").agg(F.first("v").alias("v"))
     both = pairs.join(sets.select(F.col("c").alias("a"), F.col("v").alias("va")), "a").join(
         sets.select(F.col("c").alias("b"), F.col("v").alias("vb")), "b").select("a", "b", "va", "vb")
 
@@ -215,10 +254,7 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             part = batch.slice(at, 256)
             good = []
             for x, y in zip(part.column(2), part.column(3), strict=True):
-                x, y = _unpack(x.as_buffer()), _unpack(y.as_buffer())
-                joint = np.concatenate([x, y])
-                joint.sort()
-                good.append(int((joint[1:] == joint[:-1]).sum()) >= needed(len(x), len(y)))
+                good.append(_joint(_unpack(x.as_buffer()), _unpack(y.as_buffer())))
             yield part.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
     return _map(both, "a bigint, b bigint", one)
@@ -230,19 +266,19 @@ class Block:
     def __init__(self):
         self.sizes: dict[int, dict] = {}
 
-    def add(self, c: int, n: int, key: tuple, tokens: list[int]) -> None:
+    def add(self, c: int, n: int, key: tuple, tokens: list[int], q: list[int]) -> None:
         entry = self.sizes.setdefault(n.bit_length() * 8 + (n * 8 >> n.bit_length()), {"lists": {}, "rows": []})
         at = len(entry["rows"])
-        entry["rows"].append((c, n, key))
+        entry["rows"].append((c, n, key, q))
         for t in tokens:
             entry["lists"].setdefault(t, []).append(at)
 
-    def search(self, n: int, key: tuple, tokens: list[int]) -> Iterator[tuple[int, tuple, int]]:
+    def search(self, n: int, key: tuple, tokens: list[int], q: list[int]) -> Iterator[tuple[int, tuple, int]]:
         """(class, component key, shared prefix shingles) of the classes of larger keys that may link: T-occurrence
         search per size class."""
         for entry in self.sizes.values():
             rows = entry["rows"]
-            lows = [m for _, m, k in rows if k > key and needed(n, m) <= min(n, m)]
+            lows = [m for _, m, k, _ in rows if k > key and needed(n, m) <= min(n, m)]
             if not lows:
                 continue
             lists = sorted((entry["lists"][t] for t in tokens if t in entry["lists"]), key=len)
@@ -259,60 +295,131 @@ class Block:
                     count += 1
                     continue
                 if previous >= 0 and count >= least - longs:
-                    c, m, k = rows[previous]
+                    c, m, k, marked = rows[previous]
                     if k > key and needed(n, m) <= min(n, m):
                         for probe in long:
                             i = bisect_left(probe, previous)
                             count += i < len(probe) and probe[i] == previous
-                        if count >= shared_prefix(n, m):
+                        if count >= max(1, needed(n, m) - beyond(n, q, m, marked)):
                             yield c, k, count
                 previous, count = at, 1
 
 
 def shared_prefix(n: int, m: int) -> int:
-    """Shared prefix shingles that a link between sets of n and m needs. Order both sets; the set whose prefix ends first
-    has all shared shingles beyond it in its own rest, so the prefixes share the others."""
+    """Shared prefix shingles that a link between sets of n and m needs at least, whatever their marks (``beyond`` is at
+    most the larger rest)."""
     return max(1, needed(n, m) - max(n - prefix_length(n), m - prefix_length(m)))
 
 
-def _candidates(lists: DataFrame, labels: DataFrame, few: int | None) -> DataFrame:
-    """(a, b): classes of different components, of each query and component the ``few`` best or all."""
+def _heads(lists: DataFrame, sets: DataFrame) -> DataFrame:
+    """(c, n, tokens, q): the classes in lists with their prefix shingles there and their marks. All prefix shingles that
+    two classes share are among these."""
+    heads = lists.groupBy("c", "n").agg(F.sort_array(F.collect_list("s")).alias("tokens"))
+    return heads.join(sets.groupBy("c").agg(F.first("q").alias("q")), "c")
+
+
+def _stars(lists: DataFrame, heads: DataFrame) -> DataFrame:
+    """(a, b): the lists' members with their lists' first classes, where sizes and shared prefix shingles allow a link."""
+    pairs = lists.where("c <> p AND 100 * least(n, m) >= 80 * greatest(n, m)").select(
+        F.least("c", "p").alias("a"), F.greatest("c", "p").alias("b")).distinct()
+    side = lambda x: heads.select(*[F.col(c).alias(f"{c}{x}") for c in ("c", "n", "tokens", "q")]).withColumnRenamed(f"c{x}", x)
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select(
+        "a", "b", "na", "qa", "nb", "qb", F.size(F.array_intersect("tokensa", "tokensb")).alias("common"))
+
+    def one(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        good = [common >= needed(n, m) - beyond(n, x, m, y)
+                for n, x, m, y, common in zip(*(batch.column(i).to_pylist() for i in range(2, 7)), strict=True)]
+        yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+
+    return _map(both, "a bigint, b bigint", one)
+
+
+def _named(heads: DataFrame, labels: DataFrame) -> DataFrame:
+    """``heads`` with the component (label) and its number of classes (members) so far; a class without a link is alone."""
     sizes = labels.groupBy("label").agg(F.count("*").alias("members"))
-    named = lists.select("s", "c", "n").join(labels.select(F.col("node").alias("c"), "label"), "c", "left").withColumn(
-        "label", F.coalesce("label", "c"))
-    open_ = named.groupBy("s").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("s")
-    rows = named.join(open_, "s").join(sizes, "label", "left").withColumn("members", F.coalesce("members", F.lit(1))).checkpoint()
-    classes = rows.groupBy("c", "n", "label", "members").agg(F.sort_array(F.collect_list("s")).alias("tokens"))
+    found = labels.join(sizes, "label").select(F.col("node").alias("c"), "label", "members")
+    return heads.join(found, "c", "left").withColumn("label", F.coalesce("label", "c")).withColumn(
+        "members", F.coalesce("members", F.lit(1)))
+
+
+def _candidates(heads: DataFrame, labels: DataFrame) -> DataFrame:
+    """(a, b, more): queries a with the FEW best classes b of each other component that they may link with; ``more`` where
+    there were others."""
+    classes = _named(heads, labels)
     home = F.when(F.col("members") >= BLOCK, F.col("label")).otherwise(F.get("tokens", F.lit(0)))
     classes = classes.withColumn("home", home)
     crowd = classes.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).alias("shares"))
-    classes = classes.join(crowd, "home").withColumn("block", F.xxhash64("home", F.pmod("c", "shares"))).checkpoint()
-    placed = rows.join(classes.select("c", "block"), "c")
-    targets = placed.groupBy("s", "block").agg(F.max(F.struct("members", "label")).alias("most"))
-    asks = rows.join(targets, "s").where(F.col("most") > F.struct("members", "label")).select("c", "block").distinct()
-    queries = asks.join(classes.drop("block"), "c").select("block", F.lit(1).alias("asks"), "c", "n", "label", "members", "tokens")
-    index = classes.select("block", F.lit(0).alias("asks"), "c", "n", "label", "members", "tokens")
+    classes = classes.join(crowd, "home").withColumn("block", F.xxhash64("home", F.pmod("c", "shares"))).drop("home", "shares").checkpoint()
+    rows = classes.select(F.explode("tokens").alias("s"), "c", "block", F.struct("members", "label").alias("own"))
+    targets = rows.groupBy("s", "block").agg(F.max("own").alias("most"))
+    asks = rows.drop("block").join(targets, "s").where(F.col("most") > F.col("own")).select("c", "block").distinct()
+    queries = asks.join(classes.drop("block"), "c").select("block", F.lit(1).alias("asks"), "c", "n", "label", "members", "tokens", "q")
+    index = classes.select("block", F.lit(0).alias("asks"), "c", "n", "label", "members", "tokens", "q")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, block = None, None
         for batch in batches:
             found = []
-            for r in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
-                b, asks_, c, n, label, members, tokens = r
+            for b, asks_, c, n, label, members, tokens, q in zip(*(batch.column(i).to_pylist() for i in range(8)), strict=True):
                 if b != held:
                     held, block = b, Block()
                 if not asks_:
-                    block.add(c, n, (members, label), tokens)
+                    block.add(c, n, (members, label), tokens, q)
                     continue
                 best: dict[tuple, list] = {}
-                for other, key, count in block.search(n, (members, label), tokens):
+                for other, key, count in block.search(n, (members, label), tokens, q):
                     best.setdefault(key, []).append((-count, other))
                 for hits in best.values():
-                    found += [(c, other) for _, other in (heapq.nsmallest(few, hits) if few else hits)]
-            yield _batch(a=pa.array([x for x, _ in found], pa.int64()), b=pa.array([y for _, y in found], pa.int64()))
+                    found += [(c, other, len(hits) > FEW) for _, other in heapq.nsmallest(FEW, hits)]
+            yield _batch(a=pa.array([x[0] for x in found], pa.int64()), b=pa.array([x[1] for x in found], pa.int64()),
+                         more=pa.array([x[2] for x in found], pa.bool_()))
 
     return index.unionByName(queries).repartition("block").sortWithinPartitions("block", "asks").mapInArrow(
-        run, "a bigint, b bigint").distinct()
+        run, "a bigint, b bigint, more boolean")
+
+
+def _rest(heads: DataFrame, labels: DataFrame, asked: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): links of the queries of ``asked`` (a, b, more) that had more candidates in a component than were compared
+    and are still not in it. The component's classes are dealt into blocks with their whole sets, and a query goes once
+    to every block: candidates are found by the same search and compared on the spot until one links."""
+    at = labels.select(F.col("node").alias("c"), "label")
+    at = heads.select("c").join(at, "c", "left").withColumn("label", F.coalesce("label", "c"))
+    side = lambda x: at.select(F.col("c").alias(x), F.col("label").alias(f"l{x}"))
+    open_ = asked.where("more").join(side("a"), "a").join(side("b"), "b").where("la <> lb").select("a", "lb").distinct().checkpoint()
+    if open_.isEmpty():
+        return open_.select("a", F.col("lb").alias("b"))
+    goals = open_.select(F.col("lb").alias("label")).distinct()
+    named = _named(heads, labels).join(goals, "label")
+    shares = named.groupBy("label").agg(F.ceil(F.sum("n") / (BLOCK * 512)).cast("int").alias("shares"))
+    named = named.join(shares, "label")
+    index = named.select(F.xxhash64("label", F.pmod("c", "shares")).alias("block"), F.lit(0).alias("asks"), "c", "n", "tokens", "q")
+    spots = F.explode(F.transform(F.sequence(F.lit(0), F.col("shares") - 1), lambda k: F.xxhash64("lb", k.cast("long"))))
+    queries = open_.join(shares, open_["lb"] == shares["label"]).select("a", spots.alias("block")).join(
+        heads.withColumnRenamed("c", "a"), "a").select("block", F.lit(1).alias("asks"), F.col("a").alias("c"), "n", "tokens", "q")
+    both = index.unionByName(queries)
+    wanted = both.select("c").distinct()
+    whole = sets.join(wanted, "c", "left_semi").groupBy("c").agg(F.first("v").alias("v"))
+    both = both.join(whole, "c").select("block", "asks", "c", "n", "tokens", "q", "v")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, block, own = None, None, {}
+        for batch in batches:
+            found = []
+            for b, asks_, c, n, tokens, q, v in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
+                if b != held:
+                    held, block, own = b, Block(), {}
+                if not asks_:
+                    block.add(c, n, (1,), tokens, q)
+                    own[c] = v
+                    continue
+                mine = _unpack(v)
+                for _, other in sorted((-count, other) for other, _, count in block.search(n, (0,), tokens, q)):
+                    if _joint(mine, _unpack(own[other])):
+                        found.append((c, other))
+                        break
+            yield _batch(a=pa.array([x for x, _ in found], pa.int64()), b=pa.array([y for _, y in found], pa.int64()))
+
+    return both.repartition("block").sortWithinPartitions("block", "asks").mapInArrow(run, "a bigint, b bigint")
 
 
 def classes(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -331,19 +438,19 @@ def links(documents: DataFrame, text_col: str = "text") -> DataFrame:
     """(node, label): components of the classes that link with another class; classes not listed are alone."""
     ensure_checkpoint_dir(documents.sparkSession)
     docs = documents.select(F.col(text_col).alias("t")).where(F.col("t").isNotNull())
-    lists = _lists(_prefixes(docs)).checkpoint()
-    sets = _whole_sets(docs, lists).checkpoint()
-    stars = lists.where("c <> p AND 100 * least(n, m) >= 80 * greatest(n, m)").select(
-        F.least("c", "p").alias("a"), F.greatest("c", "p").alias("b")).distinct()
-    found = _linked(stars, sets).checkpoint()
+    known = documents.sparkSession.sparkContext.broadcast(_known(docs))  # at most KNOWN pairs of numbers
+    lists = _lists(_prefixes(docs, known)).checkpoint()
+    sets = _whole_sets(docs, lists, known).checkpoint()
+    heads = _heads(lists, sets).checkpoint()
+    found = _linked(_stars(lists, heads), sets).checkpoint()
     labels = connected(found)
-    for few in (FEW, None):
-        more = _linked(_candidates(lists, labels, few), sets).checkpoint()
-        if more.isEmpty():
-            continue
+    asked = _candidates(heads, labels).checkpoint()
+    more = _linked(asked.select("a", "b").distinct(), sets).checkpoint()
+    if not more.isEmpty():
         found = found.unionByName(more)
         labels = connected(found)
-    return labels
+    rest = _rest(heads, labels, asked, sets).checkpoint()
+    return labels if rest.isEmpty() else connected(found.unionByName(rest))
 
 
 def join(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
