@@ -1,5 +1,6 @@
 """Every operator on small tables: brute force or exact round trips, nulls, empty and long texts, ties, repeats, clashes."""
 
+import base64
 import collections
 import hashlib
 import math
@@ -348,6 +349,26 @@ def test_secret_patterns_and_battery(spark):
     assert secret_scan.scan(df.limit(0)).count() == 0
 
 
+def test_secrets_with_padding_and_names(spark):
+    rng = random.Random(9)
+    words = ["information", "international", "documentation", "responsibilities", "incomprehensibilities"]
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    rows, planted = [], {}
+    for i in range(300):
+        t = " ".join("".join(rng.choices(words, k=2)) for _ in range(12))
+        if i % 3 == 0:  # padded base64 (two and one '='), and a value joined to its name
+            secret = base64.b64encode(rng.randbytes(rng.choice((31, 32)))).decode() if i % 2 else "".join(rng.choices(letters, k=40))
+            t += (" " if i % 2 else " export AWS_KEY=")
+            planted[i] = (len(t), len(t) + len(secret))
+            t += secret + " end"
+        rows.append((i, t))
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans] for r in secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for odd_ in (0, 1):
+        mine = [i for i in planted if i % 2 == odd_]
+        assert sum(planted[i] in got[i] for i in mine) > 0.8 * len(mine), odd_
+    assert sum(s != planted.get(i) for i in got for s in got[i]) <= 0.1 * len(planted)
+
+
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_registered_queries_run(spark, name):
     if name in ("op5_passages", "op7_jaccard_join"):

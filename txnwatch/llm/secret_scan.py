@@ -1,7 +1,7 @@
 """Secret scan: fixed patterns, plus a randomness test battery over token-like strings, in DataFrame expressions only.
 
-Battery. A candidate is a run of 16 or more characters of ``[A-Za-z0-9+/_=-]``. Its encoding is inferred from the
-characters it has (hex, base36 in one case, base62, base64), and three statistics compare it with a random string of that
+Battery. A candidate is a run of 16 or more characters of ``[A-Za-z0-9+/_-]`` and up to two ``=`` after it, which are in the
+span but not tested. Its encoding is inferred from the characters it has (hex, base36 in one case, base62, base64), and three statistics compare it with a random string of that
 alphabet, each about standard normal for one: Pearson's chi-squared of the symbol counts (one-sided), the
 Wald-Wolfowitz number of runs above and below the middle of the alphabet, and the lag-1 serial correlation of the
 symbol values (two-sided). The score is the largest of the three; random strings score low, written language high.
@@ -27,7 +27,8 @@ PATTERNS = {
     "access": (r"AKIA[A-Z0-9]{12,}", 0, 16),
     "hex": (r"[0-9a-f]{32,}", 0, 32),
 }
-CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
+#: A run of 16 or more, with the padding that ends it; a '=' before more characters parts a name from its value.
+CANDIDATE = r"[A-Za-z0-9+/_-]{16,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?"
 #: encoding -> its alphabet; the order is that of inference, the first that holds all characters wins.
 UPPER, LOWER, DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 ALPHABETS = {
@@ -87,8 +88,13 @@ def _length_class(length: Column) -> Column:
     return out
 
 
+def _bare(token: Column) -> Column:
+    """A candidate without its padding."""
+    return F.rtrim(token, F.lit("="))
+
+
 def limits(tokens: DataFrame, q: float = Q) -> DataFrame:
-    """(encoding, len_class, limit): the largest score reported, from the candidates ``tokens`` (token) of all texts.
+    """(encoding, len_class, limit): the largest score reported, from the candidates ``tokens`` (token, without padding) of all texts.
 
     Scores are counted per class first, so that the ranks come from tables of a few thousand rows, however many
     candidates there are.
@@ -133,14 +139,14 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", q: float
     text = F.coalesce(F.col(text_col), F.lit(""))
     d = df.select(F.col(id_col).alias("id"), text.alias("t"))
     base = F.concat(*[spans_of(F.col("t"), p, g, n, kind, i) for i, (kind, (p, g, n)) in enumerate(PATTERNS.items())])
-    tokens = d.select(F.explode(F.regexp_extract_all("t", F.lit(CANDIDATE), F.lit(0))).alias("token"))
+    tokens = d.select(F.explode(F.regexp_extract_all("t", F.lit(CANDIDATE), F.lit(0))).alias("token")).select(_bare(F.col("token")).alias("token"))
     found = limits(tokens, q).collect()  # at most one row an encoding and length class
     d = d.select("id", base.alias("base"), spans_of(F.col("t"), CANDIDATE, 0, 16, "random", len(PATTERNS)).alias("maybe"))
     if found:
         # exact repeats of a token are tested once; the join key is the token itself
-        clear = F.filter("maybe", lambda m: (_encoding(m["found"]).isNotNull()) & ~m["found"].rlike(NUMBER) & ~F.exists(
+        clear = F.filter("maybe", lambda m: (_encoding(_bare(m["found"])).isNotNull()) & ~_bare(m["found"]).rlike(NUMBER) & ~F.exists(
             "base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
-        d = d.select("id", "base", F.filter(clear, lambda m: _passes(m["found"], found)).alias("more"))
+        d = d.select("id", "base", F.filter(clear, lambda m: _passes(_bare(m["found"]), found)).alias("more"))
     else:
         d = d.select("id", "base", F.slice("maybe", 1, 0).alias("more"))
     order = F.array_sort(F.concat("base", "more"))
