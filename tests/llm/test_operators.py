@@ -182,6 +182,19 @@ def test_templates_are_cut_and_articles_kept(spark, monkeypatch):
     assert {r.page_id: r.text for r in html_extract.extract(df).collect()} == got
 
 
+def test_sections_of_a_large_host_are_cut(spark, monkeypatch):
+    pages = []
+    for i in range(1500):  # a box on 60 pages of a host of 1,500: 4%
+        box = "<div><p>Box of the section</p></div>" if i < 60 else ""
+        pages.append((i, f"http://a.example/{i}", f"<body>{box}<div><p>Own text number {i}</p></div></body>"))
+    df = spark.createDataFrame(pages + [(i, "http://b.example/", "<p>alone</p>") for i in range(1500, 1520)],
+                               "page_id long, url string, html string").repartition(4)
+    want = {i: f"Own text number {i}" for i in range(1500)} | dict.fromkeys(range(1500, 1520), "alone")
+    assert {r.page_id: r.text for r in html_extract.extract(df).collect()} == want
+    monkeypatch.setattr(html_extract, "SENT", 0)
+    assert {r.page_id: r.text for r in html_extract.extract(df).collect()} == want
+
+
 # --- 6 BPE -------------------------------------------------------------------
 
 def test_bpe_equals_the_library(spark):

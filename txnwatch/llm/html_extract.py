@@ -18,15 +18,16 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_digest
 
 from txnwatch.session import ensure_checkpoint_dir
 
-#: A subtree is template if it is on at least so many pages of its host and on at least this share of them.
+#: A subtree is template if it is on at least PAGES different pages of its host, and on PAGES more for each doubling of the
+#: host beyond PAGES / SHARE pages.
 PAGES, SHARE = 5, 0.05
-#: Template subtrees that are sent to all tasks (8 bytes each), and ways in which a host's pages are dealt out in the join.
+#: Template subtrees that are sent to all tasks (8 bytes each), and ways in which the pages with a subtree are dealt out in the join.
 SENT, SALT = 1 << 20, 16
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dir div dl dt fieldset figcaption figure footer form "
@@ -218,11 +219,6 @@ def host(url: str | None) -> str:
     return found[1].lower() if found else ""
 
 
-def host_of(url: Column) -> Column:
-    """``host`` as an expression."""
-    return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"(?i)^\s*(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
-
-
 def subtrees(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(host, content, hash): the distinct subtrees of each page, and one row with a null hash for the page itself; a page
     without a host counts for the host ''."""
@@ -242,15 +238,32 @@ def subtrees(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
     return pages.select(url_col, html_col).mapInArrow(run, "host string, content bigint, hash bigint")
 
 
+def own_subtrees(pages: DataFrame, key_col: str, url_col: str, html_col: str) -> DataFrame:
+    """(host, key, hash): the distinct subtrees of each page, with the page's key."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 128):
+                rows = []
+                for key, url, source in zip(*(c.to_pylist() for c in batch.slice(at, 128).columns), strict=True):
+                    root = Tree(source or "").root
+                    hash_subtrees(root)
+                    rows += [(host(url), key, h) for h in hashes(root)[0]]
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()),
+                                                  pa.array([r[2] for r in rows], pa.int64())], names=["host", "key", "hash"])
+
+    return pages.select(key_col, url_col, html_col).mapInArrow(run, "host string, key bigint, hash bigint")
+
+
 def templates(found: DataFrame, least: int = PAGES, share: float = SHARE) -> DataFrame:
-    """(host, hashes): the subtrees that recur across a host's different pages. As each is on a share of the host's pages, a
-    host has at most (subtrees of its average page) / share of them, however many pages it has."""
+    """(host, hash): the subtrees that recur across a host's different pages. The pages needed grow with the logarithm of
+    the host, so that a section of a large host is template too; a host's list has no bound."""
     distinct = found.groupBy("host", "hash", "content").agg(F.lit(1).alias("once"))
     counted = distinct.groupBy("host", "hash").agg(F.count("*").alias("pages")).where(
         F.col("hash").isNull() | (F.col("pages") >= least)).checkpoint()  # read twice; the pages are parsed once
     per_host = counted.where("hash IS NULL").select(F.col("host").alias("h"), F.col("pages").alias("all"))
     often = counted.where(F.col("hash").isNotNull()).join(per_host, F.col("host") == F.col("h"))
-    return often.where(F.col("pages") >= F.col("all") * share).groupBy("host").agg(F.collect_list("hash").alias("hashes"))
+    needed = (F.log2(F.greatest(F.col("all") * share / least, F.lit(1.0))) + 1) * least
+    return often.where(F.col("pages") >= needed).select("host", "hash")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = PAGES,
@@ -259,7 +272,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     Null html counts as empty, a null url as a page of the host ''. Repeated rows are pages of their own; null ids stay.
     Other columns are not read; an empty table gives an empty one. Up to SENT template subtrees go to all tasks, so that
-    pages are read where they lie; of more, the pages' hosts get theirs by a join, hot hosts dealt out by salt.
+    pages are read where they lie; of more, each page gets those it has by a join on its own subtrees, hot ones dealt out by
+    salt.
     """
     ensure_checkpoint_dir(pages.sparkSession)
     kind, url_kind = dict(pages.dtypes)[id_col], dict(pages.dtypes)[url_col]
@@ -267,14 +281,15 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     rows = pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"), F.col(html_col).alias("_html"))
     schema = f"`{id_col}` {kind}, `{url_col}` {url_kind}, text string"
     known = None
-    if (cut.agg(F.sum(F.size("hashes"))).first()[0] or 0) <= SENT:
-        known = pages.sparkSession.sparkContext.broadcast({r["host"]: frozenset(r["hashes"]) for r in cut.toLocalIterator()})
+    if cut.count() <= SENT:
+        lists = cut.groupBy("host").agg(F.collect_list("hash").alias("hashes"))
+        known = pages.sparkSession.sparkContext.broadcast({r["host"]: frozenset(r["hashes"]) for r in lists.toLocalIterator()})
     else:
-        salts = F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))
-        cut = cut.withColumn("_salt", salts).select(F.col("host").alias("_host"), "_salt", F.col("hashes").alias("_cut"))
-        salt = F.pmod(F.xxhash64("_id", "_html"), F.lit(SALT)).cast("int")
-        rows = rows.withColumn("_host", host_of(F.col("_url"))).withColumn("_salt", salt).join(cut, ["_host", "_salt"], "left")
-        rows = rows.select("_id", "_url", "_html", "_cut")
+        rows = rows.withColumn("_key", F.xxhash64("_url", "_html"))
+        own = own_subtrees(rows, "_key", "_url", "_html").withColumn("salt", F.pmod("key", F.lit(SALT)).cast("int"))
+        cut = cut.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+        mine = own.join(cut, ["host", "hash", "salt"]).groupBy("key").agg(F.collect_set("hash").alias("_cut"))
+        rows = rows.join(mine.withColumnRenamed("key", "_key"), "_key", "left").select("_id", "_url", "_html", "_cut")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
