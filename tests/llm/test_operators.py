@@ -195,6 +195,20 @@ def test_sections_of_a_large_host_are_cut(spark, monkeypatch):
     assert {r.page_id: r.text for r in html_extract.extract(df).collect()} == want
 
 
+def test_names_and_forms_of_an_article():
+    def text(source):
+        root = html_extract.Tree(source).root
+        html_extract.hash_subtrees(root)
+        return html_extract.main_text(root, frozenset())
+
+    assert text('<article><header class="entry-header"><h1>Head</h1></header><section class="social-policy"><p>a</p></section>'
+                '<div class="share-capital">b</div><div class="share">c</div><div class="x reader-comments">d</div>'
+                '<div class="ad">e</div></article>') == "Head\na\nb"
+    assert text("<body><form><div><p>The whole page is in a form</p></div></form><p>end</p></body>") == "The whole page is in a form\nend"
+    assert text("<form><article><p>own text</p></article></form>") == "own text"
+    assert text("<p>A page with a small form after it</p><form>Mail <input></form>") == "A page with a small form after it"
+
+
 # --- 6 BPE -------------------------------------------------------------------
 
 def test_bpe_equals_the_library(spark):

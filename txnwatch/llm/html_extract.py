@@ -41,6 +41,8 @@ CONTAINERS = frozenset("center details dir div dl figure ol section summary tabl
 MARKS = re.compile(r"(?:^|[\s_-])(ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|consent|disqus|footer|header|login|masthead|menu|nav|navbar"
                    r"|navigation|newsletter|notices?|pagination|popup|promo\w*|related|replies|reply|share|sharing|sidebar|signup|social|sponsor\w*"
                    r"|subscribe|toolbar|widgets?)(?:$|[\s_-])", re.I)
+#: Those of them that also name things of an article (social-policy, entry-header): inside one only as a whole name.
+BOTH = re.compile(r"consent|header|notices?|related|replies|reply|share|sharing|social|widgets?", re.I)
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu navigation search".split())
 #: An open element that a new one ends, as HTML's optional end tags go: new -> names it closes.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -51,10 +53,11 @@ SPACE = re.compile(r"[ \t\n\x0b\x0c\r\x85\xa0  -     　]+")
 
 
 class Node:
-    __slots__ = ("attrs", "children", "hash", "name", "words")
+    __slots__ = ("attrs", "children", "hash", "most", "name", "size", "words")
 
     def __init__(self, name: str, attrs: str):
         self.name, self.attrs, self.children, self.hash, self.words = name, attrs, [], 0, False
+        self.size, self.most = 0, False
 
 
 class Tree(HTMLParser):
@@ -115,9 +118,9 @@ class Tree(HTMLParser):
 
 
 def hash_subtrees(root: Node) -> None:
-    """64-bit hashes of all subtrees and whether they hold words, bottom up, without recursion (markup may nest deeper
-    than Python)."""
-    order, stack = [], [root]
+    """64-bit hashes of all subtrees, whether they hold words, and the forms that hold most of the page's text, bottom up,
+    without recursion (markup may nest deeper than Python)."""
+    order, stack, forms = [], [root], []
     while stack:
         node = stack.pop()
         order.append(node)
@@ -128,10 +131,17 @@ def hash_subtrees(root: Node) -> None:
             if c.__class__ is Node:
                 parts.append(f"\x01{c.hash}")
                 node.words |= c.words
+                if c.name == "form" or c.name not in NEVER:
+                    node.size += c.size
             elif said := " ".join(c.split()):
                 parts.append("\x02" + said)
                 node.words = True
+                node.size += len(said)
         node.hash = hash64("\x1e".join(parts))
+        if node.name == "form":
+            forms.append(node)
+    for node in forms:
+        node.most = node.size * 2 > root.size
 
 
 def hash64(text: str) -> int:
@@ -141,13 +151,25 @@ def hash64(text: str) -> int:
 
 def excluded(node: Node, in_article: bool) -> bool:
     """Whether an element by its own name, class, id or role is no part of an article. A header inside an article is its
-    headline, one outside is the page's."""
-    if node.name in NEVER or node.name == "header" and not in_article:
+    headline, one outside is the page's; a form with most of the page's text is around the page."""
+    if node.name in NEVER and not node.most or node.name == "header" and not in_article:
         return True
     if not node.attrs.strip("\x1f") or node.name in ("html", "body", "article", "main"):
         return False
     cls, id_, role = node.attrs.split("\x1f")
-    return bool(MARKS.search(cls) or MARKS.search(id_)) or role.lower() in ROLES
+    return any(_marked(names, node.name, in_article) for names in (cls, id_)) or role.lower() in ROLES
+
+
+def _marked(names: str, element: str, in_article: bool) -> bool:
+    if not in_article or not MARKS.search(names):
+        return bool(MARKS.search(names))
+    for name in names.split():
+        if BOTH.fullmatch(name):
+            if element != "header":
+                return True
+        elif any(MARKS.fullmatch(word) and not BOTH.fullmatch(word) for word in re.split("[_-]", name)):
+            return True
+    return False
 
 
 def main_text(root: Node, template: frozenset[int] | set[int]) -> str:
