@@ -92,8 +92,19 @@ SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_char
 FROM conv LEFT JOIN made USING (conv_id)"""
 
 
+def line_dedup() -> str:
+    return f"""WITH l AS (SELECT doc_id, generate_subscripts(l, 1) AS i, unnest(l) AS line
+              FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
+k AS (SELECT *, translate(regexp_replace(regexp_replace(line, '^{SPACE}', ''), '{SPACE}$', ''), '{UPPER}', '{LOWER}') AS key FROM l),
+many AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(many.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE many.key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN many USING (key) GROUP BY doc_id"""
+
+
 ORACLE: dict[str, str] = {
     "op1_chat_windows": chat_windows(),
     "op3_quality_rules": quality_rules(),
     "op7_jaccard_join": jaccard(),
+    "op13_line_dedup": line_dedup(),
 }

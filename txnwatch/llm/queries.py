@@ -1,4 +1,4 @@
-"""The queries of the ten operators over the driver's tables (``oracle`` has the DuckDB SQL of those that SQL can express).
+"""The queries of the operators over the driver's tables (``oracle`` has the DuckDB SQL of those that SQL can express).
 
 Each query runs its operator with production parameters over its whole table and derives the digest columns from the
 operator's output.
@@ -12,7 +12,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnwatch.llm import bpe, chat, decontaminate, html_extract, jaccard, langid, passages, pii, quality, secret_scan
+from txnwatch.llm import bpe, chat, decontaminate, html_extract, jaccard, langid, line_dedup, passages, pii, quality, secret_scan
 
 #: The vocabulary file of op6; TOKENIZER_PATH names another one.
 TOKENIZER = "byte_bpe_50k.json"
@@ -112,6 +112,12 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *span_digests(found, ("assign", "access", "hex"), by_start=True))
 
 
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = line_dedup.apply(docs, line_dedup.bitmaps(docs))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_chat_windows": op1_chat_windows,
     "op2_language_id": op2_language_id,
@@ -123,4 +129,5 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_pii": op9_pii,
     "op10_secret_scan": op10_secret_scan,
+    "op13_line_dedup": op13_line_dedup,
 }

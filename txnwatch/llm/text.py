@@ -21,8 +21,8 @@ WORD_BASE = 0xC2B2AE3D27D4EB4F
 #: The finaliser's constants (splitmix64).
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -56,17 +56,23 @@ def chunks(batch: pa.RecordBatch, text: str, most: int = CHUNK_BYTES) -> Iterato
         yield batch.slice(start)
 
 
-def words(column: pa.Array, lower: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(64-bit hash of each word, the row of each word) of a string column; null rows have no word."""
+def raw_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(UTF-8 bytes of all rows, where each row starts and the last one ends) of a string column; null rows are empty."""
     column = column.cast(pa.large_binary())
-    rows = len(column)
-    offsets = np.frombuffer(column.buffers()[1], np.int64, rows + 1, column.offset * 8)
+    offsets = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8)
     data = column.buffers()[2]
-    if not rows or data is None or offsets[-1] == offsets[0]:
+    if not len(column) or data is None or offsets[-1] == offsets[0]:
+        return np.empty(0, np.uint8), np.zeros(len(column) + 1, np.int64)
+    return np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]], offsets - offsets[0]
+
+
+def words(column: pa.Array, lower: bool, apart: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hash of each word, the row of each word) of a string column; null rows have no word. ``apart`` marks the
+    ASCII bytes that stand between words."""
+    raw, offsets = raw_bytes(column)
+    if not len(raw):
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    raw = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]]
-    offsets = offsets - offsets[0]
-    inside = ~_SPACE[raw]
+    inside = ~apart[raw]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     cuts = offsets[:-1][offsets[:-1] < len(raw)]
@@ -98,6 +104,31 @@ def grams(hashes: np.ndarray, row: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return mix(out[at]), at
 
 
+def lines(column: pa.Array) -> tuple[np.ndarray, ...]:
+    """(hash, bytes, code points, row, number in the row) of each line of a string column's rows: of the line without white
+    space at its ends, A-Z lower-cased. A null or empty row is one empty line; empty lines have hash 0."""
+    raw, offsets = raw_bytes(column)
+    rows = len(offsets) - 1
+    cuts = np.flatnonzero(raw == 0x0A)
+    row = np.r_[np.arange(rows), np.searchsorted(offsets, cuts, side="right") - 1]
+    start = np.r_[offsets[:-1], cuts + 1]
+    order = np.lexsort((start, row))
+    row, start = row[order], start[order]
+    last = np.r_[row[1:] != row[:-1], np.ones(min(1, len(row)), bool)]
+    end = np.where(last, offsets[row + 1], np.r_[start[1:], 0][:len(start)] - 1)
+    number = np.arange(len(row)) - np.searchsorted(row, row)
+    inside = np.flatnonzero(~SPACE[raw])
+    a, b = np.searchsorted(inside, start), np.searchsorted(inside, end)
+    some = a < b
+    first, after = inside[a[some]], inside[b[some] - 1] + 1
+    up, down = _powers(1 << max(20, int(len(raw)).bit_length()))
+    sums = np.r_[np.uint64(0), np.cumsum((_LOWER[raw].astype(np.uint64) + np.uint64(1)) * up[:len(raw)])]
+    points = np.r_[0, np.cumsum((raw & 0xC0) != 0x80)]
+    hashes, size, n = np.zeros(len(row), np.uint64), np.zeros(len(row), np.int64), np.zeros(len(row), np.int64)
+    hashes[some], size[some], n[some] = mix((sums[after] - sums[first]) * down[first]), after - first, points[after] - points[first]
+    return hashes, size, n, row, number
+
+
 def shingles(hashes: np.ndarray, row: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash, row) of the k-word shingles; a row with 1 to k-1 words has its whole sequence as its only one."""
     out, at = grams(hashes, row, k)
