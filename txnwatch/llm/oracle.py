@@ -102,9 +102,37 @@ SELECT doc_id, count(*) AS n_lines, count(many.key) AS n_dropped,
 FROM k LEFT JOIN many USING (key) GROUP BY doc_id"""
 
 
+def filter_audit() -> str:
+    letters = "VALUES ('A'), ('B'), ('C'), ('D'), ('E')"
+    return f"""WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, {words('t')} AS w, min(doc_id) OVER (PARTITION BY t) AS first FROM t),
+y AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY doc_id),
+d AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+        (CASE WHEN len(w) < 100 THEN 'A' ELSE '' END) || (CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END) ||
+        (CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t) THEN 'C' ELSE '' END) ||
+        (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END) || (CASE WHEN doc_id > first THEN 'E' ELSE '' END) AS fails
+      FROM w LEFT JOIN y USING (doc_id)),
+g AS (SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM d GROUP BY ALL),
+f(x) AS ({letters}),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM f a, f b, f c, f d, f e
+      WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT filter_order, step, substr(filter_order, step, 1) AS x, substr(filter_order, 1, step - 1) AS earlier FROM o, range(1, 6) r(step)),
+e AS (SELECT g.*, s.*, contains(fails, x) AS hit, fails <> '' AND regexp_matches(earlier, '[' || fails || 'Z]') AS gone FROM g, s),
+r AS (SELECT part, filter_order, step, x, coalesce(sum(n) FILTER (WHERE NOT hit AND NOT gone), 0) AS kept,
+        coalesce(sum(n) FILTER (WHERE hit AND NOT gone), 0) AS removed, coalesce(sum(n) FILTER (WHERE hit AND gone), 0) AS redundant,
+        coalesce(sum(n) FILTER (WHERE fails = x), 0) AS unique_fails, coalesce(sum(good) FILTER (WHERE hit AND NOT gone), 0) AS good_lost,
+        coalesce(sum(toxic) FILTER (WHERE hit AND NOT gone), 0) AS toxic_lost
+      FROM e GROUP BY part, filter_order, step, x)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+FROM r"""
+
+
 ORACLE: dict[str, str] = {
     "op1_chat_windows": chat_windows(),
     "op3_quality_rules": quality_rules(),
     "op7_jaccard_join": jaccard(),
+    "op12_filter_audit": filter_audit(),
     "op13_line_dedup": line_dedup(),
 }
