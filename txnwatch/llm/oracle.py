@@ -129,10 +129,26 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) A
 FROM r"""
 
 
+def ranked_search() -> str:
+    term = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    terms = f"unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{term}'))"
+    return f"""WITH p AS (SELECT doc_id, t, count(*) AS tf FROM (SELECT doc_id, {terms} AS t FROM documents) GROUP BY ALL),
+d AS (SELECT doc_id, sum(tf) AS n FROM p GROUP BY doc_id),
+z AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS len FROM d),
+q AS (SELECT DISTINCT item_id, t FROM (SELECT item_id, {terms} AS t FROM benchmark)),
+w AS (SELECT t, CAST(floor(1000 * ln((2 * docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM p, z
+      WHERE t IN (SELECT t FROM q) GROUP BY t, docs),
+s AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * CAST(n AS BIGINT) * docs) // len)))) AS BIGINT) AS score
+      FROM q JOIN w USING (t) JOIN p USING (t) JOIN d USING (doc_id), z GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER r AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0
+WINDOW r AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY row_number() OVER r <= 50"""
+
+
 ORACLE: dict[str, str] = {
     "op1_chat_windows": chat_windows(),
     "op3_quality_rules": quality_rules(),
     "op7_jaccard_join": jaccard(),
+    "op11_ranked_search": ranked_search(),
     "op12_filter_audit": filter_audit(),
     "op13_line_dedup": line_dedup(),
 }

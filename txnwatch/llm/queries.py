@@ -12,7 +12,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnwatch.llm import bpe, chat, decontaminate, filter_audit, html_extract, jaccard, langid, line_dedup, passages, pii, quality, secret_scan
+from txnwatch.llm import bpe, chat, decontaminate, filter_audit, html_extract, jaccard, langid, line_dedup, passages, pii, quality, ranked_search, secret_scan
 
 #: The vocabulary file of op6; TOKENIZER_PATH names another one.
 TOKENIZER = "byte_bpe_50k.json"
@@ -112,6 +112,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *span_digests(found, ("assign", "access", "hex"), by_start=True))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -133,6 +137,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_pii": op9_pii,
     "op10_secret_scan": op10_secret_scan,
+    "op11_ranked_search": op11_ranked_search,
     "op12_filter_audit": op12_filter_audit,
     "op13_line_dedup": op13_line_dedup,
 }
