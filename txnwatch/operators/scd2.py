@@ -329,3 +329,75 @@ def scd2_merge(hist: DataFrame, staged: DataFrame, keys: DataFrame | None, key:
         F.when(F.col("_in_slice"), F.expr(X.ntz_sql(X.OPEN_END))).otherwise(dts).alias(TO),
         F.expr("CASE WHEN _in_slice THEN 0 ELSE 1 END").alias(FLAG))
     return old.unionByName(opened)
+
+
+# ---------------------------------------------------------------------------
+# One load on the latest versions alone
+# ---------------------------------------------------------------------------
+
+def tips(hist: DataFrame, key: str, attrs: list[str]) -> DataFrame:
+    """The latest version of each key (by end, then start): all that a load has to know of a history. A partial
+    aggregation; rows without a key are left out."""
+    fields = ", ".join([f"'t', {TO}", f"'f', {FROM}", f"'d', {FLAG}"] + [f"'{a}', {q(a)}" for a in attrs])
+    return hist.where(f"{q(key)} IS NOT NULL").groupBy(key).agg(F.expr(f"max(named_struct({fields})) AS _v")).selectExpr(
+        q(key), *[f"_v.{q(a)} AS {q(a)}" for a in attrs], f"_v.f AS {FROM}", f"_v.t AS {TO}", f"_v.d AS {FLAG}")
+
+
+def split_tips(hist: DataFrame, key: str, attrs: list[str]) -> DataFrame:
+    """A whole history with the ``state`` of each row: ``tip`` for a key's latest version, ``past`` for the others."""
+    last = tips(hist, key, attrs).selectExpr(f"{q(key)} AS _k", f"{FROM} AS _f", f"{TO} AS _t")
+    j = hist.join(last, F.expr(f"{q(key)} = _k AND {FROM} = _f AND {TO} = _t"), "left")
+    return j.selectExpr(*_hist_row(key, attrs), FROM, TO, FLAG, "CASE WHEN _k IS NULL THEN 'past' ELSE 'tip' END AS state")
+
+
+#: Acts that leave a key's versions as they are.
+IDLE = ("same", "stale", "returning")
+
+
+def scd2_step(tips: DataFrame, staged: DataFrame, keys: DataFrame | None, key: str, attrs: list[str],
+              delete_ts: dt.datetime | Column, ts: str = "update_dt", restamp_deleted: bool = False,
+              reopen_returning: bool = False) -> DataFrame:
+    """One SCD2 load on the latest versions: the new tips of all keys, and the versions that the load ends (``past``).
+
+    Together with the past rows of before this is ``scd2_merge`` of the whole history, which is not read: two joins on the
+    key over tips. Beside the version columns: ``state`` (tip / past), ``act`` (new, changed, deleted,
+    reopened, or same, stale, returning, which change nothing) and ``since``, the time from which on the key's valid version may be another one
+    than before the load (NULL where it is not).
+    """
+    k, open_end = q(key), X.ntz_sql(X.OPEN_END)
+    s = latest_per_key(staged, key, attrs, ts).selectExpr(k, f"struct({', '.join([q(a) for a in attrs] + [q(ts) + ' AS _ts'])}) AS _s")
+    t = tips.selectExpr(k, f"struct({', '.join([q(a) for a in attrs] + [f'{FROM} AS _f', f'{TO} AS _t', f'{FLAG} AS _d'])}) AS _o")
+    j = t.join(s, key, "full_outer")
+    if keys is None:
+        j = j.selectExpr("*", "true AS _in")
+    else:
+        j = j.join(_slice(keys, key, None).distinct().selectExpr(k, "true AS _in"), key, "left")
+    back = "'reopened'" if reopen_returning else "'returning'"
+    j = j.selectExpr("*", f"CASE WHEN _o IS NULL THEN 'new' WHEN _s IS NULL THEN 'same' WHEN _o._t < {open_end} THEN {back} "
+                          f"WHEN NOT {_differs('_o', '_s', attrs)} THEN 'same' WHEN _s._ts > _o._f THEN 'changed' ELSE 'stale' END AS _act")
+    gone = "_in IS NULL AND _act NOT IN ('new', 'changed', 'reopened')" + ("" if restamp_deleted else " AND _o._d = 0")
+    j = j.withColumn("_dts", _lit_ts(delete_ts)).selectExpr(
+        "*", f"CASE WHEN {gone} THEN 'deleted' ELSE _act END AS act", "_act IN ('new', 'changed', 'reopened') AS _opens")
+
+    def row(state: str, of: str, start: str, end: str, flag: str) -> str:
+        fields = [f"'{a}', {of}.{q(a)}" for a in attrs] + [f"'{FROM}', {start}", f"'{TO}', {end}", f"'{FLAG}', {flag}", f"'state', '{state}'"]
+        return f"named_struct({', '.join(fields)})"
+
+    opened = row("tip", "_s", "_s._ts", f"CASE WHEN _in THEN {open_end} ELSE _dts END", "CASE WHEN _in THEN 0 ELSE 1 END")
+    kept = row("tip", "_o", "_o._f", "CASE WHEN act = 'deleted' THEN _dts ELSE _o._t END", "CASE WHEN act = 'deleted' THEN 1 ELSE _o._d END")
+    ended = row("past", "_o", "_o._f", "CASE WHEN act = 'changed' THEN _s._ts - INTERVAL '1' SECOND ELSE _o._t END", "_o._d")
+    out = f"CASE WHEN act = 'new' THEN array({opened}) WHEN _opens THEN array({opened}, {ended}) ELSE array({kept}) END"
+    return j.selectExpr(k, "act", "CASE WHEN _opens THEN _s._ts WHEN act = 'deleted' THEN _o._f END AS since", f"explode({out}) AS _r").selectExpr(
+        k, *[f"_r.{q(c)} AS {q(c)}" for c in [*attrs, FROM, TO, FLAG, "state"]], "act", "since")
+
+
+def key_digest(rows: DataFrame, key: str, bucket: Column, attrs: list[str] | None = None) -> DataFrame:
+    """Per bucket an order-free digest of its distinct keys (with ``attrs``, of its distinct rows): their number, and the sum and
+    the exclusive or of two 64-bit hashes. Equal digests mean equal sets."""
+    cols = [key, *(attrs or [])]
+    d = rows.where(F.col(key).isNotNull()).select(*cols).distinct().withColumn("bucket", bucket)
+    h = f"xxhash64({', '.join(q(c) for c in cols)})"
+    other = f"xxhash64('key', {', '.join(q(c) for c in cols)})"
+    # the sum of 32-bit halves cannot overflow a long below 2^31 keys a bucket
+    return d.groupBy("bucket").agg(F.expr("count(*) AS n"), F.expr(f"sum({h} & 4294967295L) AS low"), F.expr(f"sum(shiftrightunsigned({h}, 32)) AS high"),
+                                   F.expr(f"bit_xor({other}) AS mixed"))

@@ -7,22 +7,39 @@ failed or half-written load is never read. Fact tables are append only
 (``append``), partitioned by day. Paths may be on any Hadoop file system
 (the shared cluster folder); listing goes through the session's Hadoop
 configuration.
+
+Large tables that change in places (histories, owners) are written by key
+bucket under the same rule: a version folder holds the buckets that a load
+changed, and a bucket's current rows are those of the newest committed version
+that has it. Rows that never change again (``state=past``) are only added.
 """
 
 from __future__ import annotations
 
 import time
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txnwatch import schemas
 
 
+#: Key buckets of a table. Fixed for the life of a warehouse: choose it so that one bucket of the largest history suits one task.
+BUCKETS = 64
+TIP, PAST = "tip", "past"
+
+
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
         jvm = spark.sparkContext._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -54,7 +71,9 @@ class Warehouse:
 
     # --- tables ---------------------------------------------------------------
     def read(self, table: str, schema: T.StructType) -> DataFrame:
-        """The current version, and the rows appended to the table since."""
+        """The current version, and the rows appended to the table since; of a table by buckets, all of its rows."""
+        if self.has_buckets(table):
+            return self.read_buckets(table, schema)
         p, more = self.current_path(table), self.facts_path(table)
         paths = ([p] if p else []) + ([more] if self._exists(more) else [])
         return self.spark.read.schema(schema).parquet(*paths) if paths else schemas.empty(self.spark, schema)
@@ -70,6 +89,68 @@ class Warehouse:
         """``df`` evaluated once and stored as the next version of a staging table; the stored copy."""
         return self.spark.read.schema(df.schema).parquet(self.replace(table, df))
 
+    def unstage(self, *tables: str) -> None:
+        """Delete staging tables whose load has been committed."""
+        for table in tables:
+            p = f"{self.root}/{table}"
+            self._fs(p).delete(self._Path(p), True)
+
+    # --- tables by key bucket ---------------------------------------------------
+    def _names(self, path: str) -> list[str]:
+        return [st.getPath().getName() for st in self._fs(path).listStatus(self._Path(path))] if self._exists(path) else []
+
+    def _bucket_versions(self, table: str) -> list[str]:
+        """Committed version folders, newest first, down to the newest whole one."""
+        base, out = f"{self.root}/{table}/by{self.buckets}", []
+        for name in sorted(self._names(base), reverse=True):
+            if self._exists(f"{base}/{name}/_SUCCESS"):
+                out.append(f"{base}/{name}")
+                if name.endswith("_whole"):
+                    break
+        return out
+
+    def has_buckets(self, table: str) -> bool:
+        return bool(self._bucket_versions(table))
+
+    def read_buckets(self, table: str, schema: T.StructType, buckets: list[int] | None = None, state: str | None = None) -> DataFrame:
+        """Rows of the given buckets (all) and state (both): the newest tips of each bucket, and all past rows."""
+        wanted = None if buckets is None else {f"bucket={b}" for b in buckets}
+        paths, seen = [], set()
+        for version in self._bucket_versions(table):
+            for s in (TIP, PAST):
+                for name in self._names(f"{version}/state={s}") if state in (None, s) else ():
+                    if (wanted is None or name in wanted) and (s, name) not in seen:
+                        paths.append(f"{version}/state={s}/{name}")
+                        if s == TIP:
+                            seen.add((s, name))
+        return self.spark.read.schema(schema).parquet(*paths) if paths else schemas.empty(self.spark, schema)
+
+    def write_buckets(self, table: str, df: DataFrame, key: str, whole: bool = False) -> str:
+        """Write rows with a ``state`` as the next version. It must hold all tips of each bucket that it has; a ``whole`` one
+        stands for the table, and nothing older is read any more."""
+        base = f"{self.root}/{table}/by{self.buckets}"
+        last = max((int(n[1:9]) for n in self._names(base) if n[:1] == "v"), default=0)
+        p = f"{base}/v{last + 1:08d}{'_whole' if whole else ''}"
+        df = df.withColumn("bucket", bucket_of(key, self.buckets))
+        df.repartition("bucket", "state").write.mode("errorifexists").partitionBy("state", "bucket").parquet(p)
+        return p
+
+    # --- change notes of the loads, until the report has taken them up --------------
+    def note(self, kind: str, df: DataFrame) -> None:
+        df.write.parquet(f"{self.root}/notes/{kind}/{uuid.uuid4().hex}")
+
+    def notes(self, kind: str) -> list[str]:
+        base = f"{self.root}/notes/{kind}"
+        return [f"{base}/{n}" for n in self._names(base) if self._exists(f"{base}/{n}/_SUCCESS")]
+
+    def drop(self, paths: list[str]) -> None:
+        for p in paths:
+            self._fs(p).delete(self._Path(p), True)
+
+    def fact_days(self, table: str) -> list[str]:
+        """The days that a fact table has, from its folder names."""
+        return sorted(n.split("=", 1)[1] for n in self._names(self.facts_path(table)) if n.startswith("day=") and n[4:5].isdigit())
+
     def prune(self, table: str, keep: int = 3, older_than: float = 86400.0) -> int:
         """Maintenance, called when no reader needs them: delete committed versions but the newest ``keep`` that were
         written more than ``older_than`` seconds ago, and uncommitted folders as old. Returns how many went."""
@@ -82,6 +163,12 @@ class Warehouse:
             if age > older_than and (not committed or good > keep):
                 self._fs(p).delete(self._Path(p), True)
                 gone += 1
+        base, current = f"{self.root}/{table}/by{self.buckets}", set(self._bucket_versions(table))
+        for name in self._names(base):
+            p = f"{base}/{name}"
+            if p not in current and now - self._fs(p).getFileStatus(self._Path(p)).getModificationTime() / 1000 > older_than:
+                self._fs(p).delete(self._Path(p), True)
+                gone += 1
         return gone
 
     def facts_path(self, table: str) -> str:
