@@ -135,6 +135,14 @@ class Warehouse:
         df.repartition("bucket", "state").write.mode("errorifexists").partitionBy("state", "bucket").parquet(p)
         return p
 
+    def compact(self, table: str, schema: T.StructType, key: str, after: int) -> bool:
+        """A table whose buckets are scattered over more than ``after`` versions is written as one whole version."""
+        if len(self._bucket_versions(table)) <= after:
+            return False
+        parts = [self.read_buckets(table, schema, state=s).withColumn("state", F.lit(s)) for s in (TIP, PAST)]
+        self.write_buckets(table, parts[0].unionByName(parts[1]), key, whole=True)
+        return True
+
     # --- change notes of the loads, until the report has taken them up --------------
     def note(self, kind: str, df: DataFrame) -> None:
         df.write.parquet(f"{self.root}/notes/{kind}/{uuid.uuid4().hex}")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-S, TS, D, I = T.StringType(), T.TimestampNTZType(), T.DateType(), T.IntegerType()
+S, TS, D, I, L = T.StringType(), T.TimestampNTZType(), T.DateType(), T.IntegerType(), T.LongType()
 AMOUNT = T.DecimalType(38, 10)
 
 
@@ -56,6 +56,12 @@ SRC_CLIENTS = _st(("client_id", S), ("last_name", S), ("first_name", S), ("patro
 
 REPORT = _st(("event_dt", TS), ("passport", S), ("fio", S), ("phone", S), ("event_type", S),
              ("report_dt", D))
+#: Who owned a card when: the intersected histories, kept from load to load.
+OWNERS = _st(("card_num", S), ("account_num", S), ("client_id", S), ("valid_to", D), ("passport_num", S),
+             ("passport_valid_to", D), ("fio", S), ("phone", S), ("effective_from", TS), ("effective_to", TS))
+#: Per bucket the digest of the source's keys at the last load; and the deliveries that are loaded.
+KEY_DIGEST = _st(("bucket", I), ("n", L), ("low", L), ("high", L), ("mixed", L))
+META_FILES = _st(("kind", S), ("file", S), ("src_file", S), ("stored", L), ("rejected", L))
 META_LOAD = _st(("schema_name", S), ("table_name", S), ("max_update_dt", TS))
 
 # Dimension specs: key, tracked attributes, change-time default of the source.

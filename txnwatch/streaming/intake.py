@@ -99,6 +99,7 @@ def start_terminal_intake(spark: SparkSession, in_dir: str, warehouse_root: str,
         for r in df.select("update_dt").distinct().orderBy("update_dt").collect():
             snap = df.where(F.col("update_dt") == F.lit(r["update_dt"]).cast("timestamp_ntz"))
             pipeline.load_terminal_snapshot(wh, snap, r["update_dt"].date(), opt or pipeline.RunOptions())
+        wh.unstage("stg_terminal_files")
 
     return _start(terminal_stream(spark, in_dir, archive_dir), batch, checkpoint, available_now)
 
