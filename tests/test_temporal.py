@@ -56,3 +56,30 @@ def test_sweep_edges(spark):
                                "id string, k string, t timestamp_ntz")
     got = rows(temporal.valid_at(ev, hist, "k", "k", "t", ["v"], strategy="sweep", bucket_seconds=3600), "id", "v")
     assert got == [("e1", "a"), ("e2", "a"), ("e5", "b")]
+
+
+def test_slots_equal_the_other_strategies_and_split_a_hot_key(spark):
+    import random
+    rng = random.Random(8)
+    at = lambda h: ts("2021-01-01") + dt.timedelta(hours=h)
+    hist, h0 = [], 0
+    for k in ["hot", "b", "c", None]:
+        h0 = 0
+        while h0 < 2000:
+            h1 = h0 + rng.choice([1, 5, 40, 700])
+            hist.append((k, f"{k}{h0}", at(h0), ts("2990-12-31") if h1 >= 2000 else at(h1) - dt.timedelta(seconds=1), rng.choice([0, 0, 0, 1])))
+            h0 = h1 + rng.choice([0, 0, 7])
+    hist.append(("hot", "backwards", at(50), at(40), 0))
+    ev = [("hot" if rng.random() < .7 else rng.choice(["b", "c", "z", None]), at(rng.randrange(-5, 2400)) if rng.random() < .97 else None, i) for i in range(1500)]
+    e = spark.createDataFrame(ev, "k string, t timestamp_ntz, n int")
+    h = spark.createDataFrame(hist, "k string, v string, effective_from timestamp_ntz, effective_to timestamp_ntz, deleted_flag int")
+    for how in ("inner", "left"):
+        got = [rows(temporal.valid_at(e, h, "k", "k", "t", ["v"], how=how, strategy=s, **more))
+               for s, more in (("join", {}), ("slots", dict(hot_rows=100, slots=16)), ("slots", dict(hot_rows=0, slots=5)), ("slots", {}))]
+        assert got[0] == got[1] == got[2] == got[3]
+    # the join's key splits the hot key's rows evenly, with nothing left to the planner
+    joined = temporal.valid_at_slots(e, h, "k", "k", "t", ["v"], hot_rows=100, slots=16)
+    assert "_slot" not in joined.columns
+    share = e.where("k = 'hot' AND t IS NOT NULL").selectExpr(f"pmod(CAST(floor({temporal.X.epoch_seconds_sql('t')} / 86400) AS BIGINT), 16) AS s").groupBy("s").count()
+    counts = sorted(r["count"] for r in share.collect())
+    assert len(counts) == 16 and counts[-1] < 3 * counts[8]

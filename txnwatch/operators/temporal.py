@@ -26,6 +26,10 @@ from txnwatch.functions.scalars import q
 FROM, TO, FLAG = "effective_from", "effective_to", "deleted_flag"
 
 
+#: Slots that a hot key is dealt to, and the events from which a key is hot.
+SLOTS, HOT_ROWS = 32, 1_000_000
+
+
 def live(hist: DataFrame, honour_deleted: bool = True) -> DataFrame:
     """Versions a join may use: with ``honour_deleted`` (the reference's rule) a
     soft-deleted version is excluded for all its time."""
@@ -35,7 +39,7 @@ def live(hist: DataFrame, honour_deleted: bool = True) -> DataFrame:
 def valid_at(events: DataFrame, hist: DataFrame, event_key: str, hist_key: str, ts: str,
              hist_cols: list[str] | None = None, prefix: str = "",
              honour_deleted: bool = True, how: str = "inner", strategy: str = "join",
-             bucket_seconds: int = 86400) -> DataFrame:
+             bucket_seconds: int = 86400, slots: int = SLOTS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Events joined to the version valid at ``events[ts]`` (closed interval).
 
     ``hist_cols`` picks the dimension columns to carry (renamed with ``prefix``);
@@ -57,6 +61,34 @@ def valid_at(events: DataFrame, hist: DataFrame, event_key: str, hist_key: str,
     return events.join(h, cond, how).drop("_va_key")
 
 
+def valid_at_slots(events: DataFrame, hist: DataFrame, event_key: str, hist_key: str, ts: str,
+                   hist_cols: list[str] | None = None, prefix: str = "", honour_deleted: bool = True, how: str = "inner",
+                   bucket_seconds: int = 86400, slots: int = SLOTS, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Valid-at join that deals a hot key's events to ``slots`` by their time bucket.
+
+    Time buckets go to slots in turn. A hot key's version is copied to the slots of the buckets it covers, to all ``slots`` at
+    most, however long it is open, and an event meets only the versions of its own slot, so that events and
+    versions of a hot key are both dealt out, whatever the planner does about skew. Keys with ``hot_rows`` events or fewer stay as they are. Keys are counted first;
+    there are fewer hot ones than a ``hot_rows``-th of the events, so their list is small enough to be sent to all tasks.
+    """
+    keep = [c for c in (hist_cols or []) if c not in (hist_key, FROM, TO)]
+    hot = F.broadcast(events.where(f"{q(event_key)} IS NOT NULL").groupBy(F.col(event_key).alias("_hot")).count()
+                      .where(F.col("count") > hot_rows).select("_hot"))
+    bucket = lambda t: f"CAST(floor({X.epoch_seconds_sql(t)} / {int(bucket_seconds)}) AS BIGINT)"
+    e = events.join(hot, F.col(event_key) == F.col("_hot"), "left").selectExpr(
+        *[q(c) for c in events.columns], f"CASE WHEN _hot IS NULL OR {q(ts)} IS NULL THEN 0 ELSE pmod({bucket(q(ts))}, {slots}) END AS _slot")
+    h = live(hist, honour_deleted).selectExpr(
+        f"{q(hist_key)} AS _va_key", *[f"{q(c)} AS {q(prefix + c)}" for c in keep],
+        f"{FROM} AS {q(prefix + FROM)}", f"{TO} AS {q(prefix + TO)}")
+    first, last = bucket(q(prefix + FROM)), bucket(q(prefix + TO))
+    # a slot once: from the first bucket on, as many buckets as it covers, but one for each slot at most
+    places = (f"CASE WHEN _hot IS NULL OR {q(prefix + FROM)} > {q(prefix + TO)} THEN array(0L) "
+              f"ELSE transform(sequence(0L, least({last} - {first}, {slots - 1}L)), i -> pmod({first} + i, {slots})) END")
+    h = h.join(hot, F.col("_va_key") == F.col("_hot"), "left").selectExpr("*", f"explode({places}) AS _va_slot").drop("_hot")
+    cond = F.expr(f"{q(event_key)} = _va_key AND _slot = _va_slot AND {q(ts)} BETWEEN {q(prefix + FROM)} AND {q(prefix + TO)}")
+    return e.join(h, cond, how).drop("_va_key", "_va_slot", "_slot")
+
+
 def valid_at_sweep(events: DataFrame, hist: DataFrame, event_key: str, hist_key: str, ts: str,
                    hist_cols: list[str] | None = None, prefix: str = "", honour_deleted: bool = True,
                    how: str = "inner", bucket_seconds: int = 86400) -> DataFrame:

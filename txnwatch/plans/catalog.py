@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnwatch.functions import scalars as X
-from txnwatch.operators import facts, report, rules, scd2, temporal, watermark
+from txnwatch.operators import affected, facts, report, rules, scd2, temporal, watermark
 from txnwatch.sources import mapping as M
 from txnwatch.sources import tables
 
@@ -29,6 +29,8 @@ FACTS_EXISTING_BEFORE = dt.datetime(2024, 1, 10)
 EARLY_DAY = dt.datetime(2024, 1, 2)
 FACTS_STAGED_FROM = dt.datetime(2024, 1, 5)
 AS_OF = dt.datetime(2024, 1, 10, 12, 0, 0)
+CARD_SPLIT = dt.datetime(2024, 1, 12)
+CLIENT_SPLIT = dt.datetime(2024, 1, 1)
 WIDE_PROBE_SPAN = dt.timedelta(hours=96)
 
 TERMINAL_ATTRS = ["terminal_type", "terminal_city", "terminal_address"]
@@ -274,7 +276,77 @@ def q_report_incremental(spark, d):
     return report.append_report(earlier, report.fraud_report(all_rules(spark, d), REPORT_DT))
 
 
+def client_versions(spark, d, before: dt.datetime | None = None):
+    ch = M.client_changes(spark, d)
+    if before is not None:
+        ch = ch.where(F.col("update_dt") < X.ntz(before))
+    return scd2.scd2_from_changes(ch, "client_id", M.CLIENT_ATTRS, "update_dt")
+
+
+def _step(hist, staged, keys, key, attrs, delete_ts):
+    """A load on the latest versions: the rows of the whole history after it, and the step itself."""
+    parts = scd2.split_tips(hist, key, attrs)
+    step = scd2.scd2_step(parts.where("state = 'tip'").drop("state"), staged, keys, key, attrs, delete_ts)
+    return parts.where("state = 'past'").drop("state").unionByName(step.drop("state", "act", "since")), step
+
+
+def q_scd2_from_changes_clients(spark, d):
+    return client_versions(spark, d)
+
+
+def q_scd2_merge_cards(spark, d):
+    # at the time of the load every 13th card is gone from the source
+    ch = M.card_changes(spark, d).where("CAST(substr(card_num, 2) AS BIGINT) % 13 <> 5")
+    hist = scd2.scd2_from_changes(M.card_changes(spark, d).where(F.col("update_dt") < X.ntz(CARD_SPLIT)), "card_num", ["account_num"], "update_dt", order=["seq"])
+    staged = scd2.latest_per_key(ch.where(F.col("update_dt") >= X.ntz(CARD_SPLIT)), "card_num", ["account_num"], "update_dt", order=["seq"])
+    return _step(hist, staged, ch, "card_num", ["account_num"], INCREMENTAL_DELETE_TS)[0]
+
+
+def q_scd2_merge_clients(spark, d):
+    ch = M.client_changes(spark, d).where("CAST(substr(client_id, 2) AS BIGINT) % 19 <> 7")
+    staged = ch.where(F.col("update_dt") >= X.ntz(CLIENT_SPLIT))
+    return _step(client_versions(spark, d, CLIENT_SPLIT), staged, ch, "client_id", M.CLIENT_ATTRS, INCREMENTAL_DELETE_TS)[0]
+
+
+def q_owner_history_versions(spark, d):
+    return temporal.owner_history(card_history(spark, d), account_history(spark, d), client_versions(spark, d))
+
+
+def q_report_affected(spark, d):
+    """What the report gains by a late load of clients: the rules over the cards that it affects, less what was reported."""
+    cards, accounts, terminals = card_history(spark, d), account_history(spark, d), terminal_history(spark, d)
+    tx, blacklist, back = M.transactions(spark, d), M.blacklist(spark, d), max(rules.CITY_GAP, rules.PROBE_SPAN)
+    before = client_versions(spark, d, CLIENT_SPLIT)
+    staged = M.client_changes(spark, d).where(F.col("update_dt") >= X.ntz(CLIENT_SPLIT))
+    after, step = _step(before, staged, None, "client_id", M.CLIENT_ATTRS, INCREMENTAL_DELETE_TS)
+    found = affected.affected_cards(cards, accounts, after, tx, back, client_notes=step.where("state = 'tip'").select("client_id", "since"))
+    owned = temporal.owner_history(cards.join(found.select("card_num"), "card_num", "left_semi"), accounts, after)
+    rows = temporal.enrich(affected.operations_of(tx, found, back), owned)
+    gained = report.fraud_report(rules.rule_hits(rows, blacklist, terminals), REPORT_DT)
+    earlier = rules.rule_hits(temporal.enrich(tx, temporal.owner_history(cards, accounts, before)), blacklist, terminals)
+    return report.new_report_rows(report.fraud_report(earlier, EARLIER_REPORT_DT), gained)
+
+
+def q_valid_at_card_slots(spark, d):
+    return temporal.valid_at(M.transactions(spark, d).select("trans_id", "trans_date", "card_num"),
+                             card_history(spark, d), "card_num", "card_num", "trans_date",
+                             hist_cols=["account_num"], strategy="slots", hot_rows=10)
+
+
+def q_valid_at_terminal_slots_left(spark, d):
+    return temporal.valid_at(M.transactions(spark, d).select("trans_id", "trans_date", "terminal"),
+                             terminal_history(spark, d), "terminal", "terminal_id", "trans_date",
+                             hist_cols=["terminal_city"], how="left", strategy="slots", hot_rows=10)
+
+
 QUERIES: dict[str, Query] = {
+    "scd2_from_changes_clients": q_scd2_from_changes_clients,
+    "scd2_merge_cards": q_scd2_merge_cards,
+    "scd2_merge_clients": q_scd2_merge_clients,
+    "owner_history_versions": q_owner_history_versions,
+    "report_affected": q_report_affected,
+    "valid_at_card_slots": q_valid_at_card_slots,
+    "valid_at_terminal_slots_left": q_valid_at_terminal_slots_left,
     "stage_transactions": q_stage_transactions,
     "file_date_parse": q_file_date_parse,
     "facts_append": q_facts_append,

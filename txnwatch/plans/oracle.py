@@ -288,7 +288,72 @@ FILE_DATE = "CAST(strptime(regexp_extract(file_name, '(\\d+)', 1), '%d%m%Y') AS
 STAGED_SRC = f"""SELECT account AS account_num, valid_to, client, {change_ts('1900-01-01 00:00:00')} AS update_dt
 FROM src WHERE {change_ts('1900-01-01 00:00:00')} > TIMESTAMP '2001-01-01 00:00:00'"""
 
+C_ATTRS = ["last_name", "first_name", "patronymic", "date_of_birth", "passport_num", "passport_valid_to", "phone"]
+CLI_CHG = f"""cli_chg AS (
+  SELECT client_id, last_name, first_name, patronymic, date_of_birth, passport_num, passport_valid_to, rpad(phone, 16, ' ') AS phone,
+         TIMESTAMP '1900-01-01 00:00:00' AS update_dt, 0 AS seq FROM cli
+  UNION ALL
+  SELECT 'K' || {_v('c_custkey')}, c_mktsegment, c_name, NULL, DATE '1950-01-01' + CAST(c_custkey % 20000 AS INTEGER),
+         CASE WHEN c_custkey % 16 <> 9 THEN 'PS' || {_v('c_custkey')} END, CASE WHEN c_custkey % 8 <> 1 THEN DATE '2024-01-01' END,
+         rpad('+8' || {_v('c_custkey')}, 16, ' '), CAST(DATE '2024-01-01' + CAST(c_custkey % 25 AS INTEGER) AS TIMESTAMP), 1
+  FROM customer WHERE c_custkey % 4 = 1)"""
+#: The clients' states without the single-version history that the older queries use.
+CLI_ONLY = CLI[:CLI.index(",\ncli_hist AS")]
+
+
+def cli_versions(name: str, before: bool = False) -> str:
+    return hist_from_changes(name, "cli_chg", "client_id", C_ATTRS, "update_dt < TIMESTAMP '2024-01-01 00:00:00'" if before else "")
+
+
+def merge_sql(key: str, attrs: list[str], changes: list[str], hist: str, gone: str, split: str, delete_ts: str) -> str:
+    """One load by the sequence insert, close, open, delete; ``changes`` are CTEs that end with ``chg_all``."""
+    a = ", ".join(attrs)
+    diff = " OR ".join(f"s.{x} IS DISTINCT FROM h.{x}" for x in attrs)
+    sa = ", ".join(f"s.{x}" for x in attrs)
+    ha = ", ".join(f"h.{x}" for x in attrs)
+    return w(*changes, hist, f"slice AS (SELECT * FROM chg_all WHERE CAST(substr({key}, 2) AS BIGINT) % {gone})", f"""stg AS (
+  SELECT {key}, {a}, update_dt FROM slice WHERE update_dt >= TIMESTAMP '{split}'
+  QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY update_dt DESC, seq DESC) = 1)""", f"""h1 AS (
+  SELECT {key}, {a}, effective_from, effective_to, deleted_flag FROM h0
+  UNION ALL SELECT {key}, {a}, update_dt, {OPEN}, 0 FROM stg WHERE {key} NOT IN (SELECT {key} FROM h0))""", f"""changed AS (
+  SELECT s.* FROM stg s JOIN h1 h USING ({key}) WHERE ({diff}) AND h.effective_to >= {OPEN} AND s.update_dt > h.effective_from)""", f"""h2 AS (
+  SELECT h.{key}, {ha}, h.effective_from, CASE WHEN s.{key} IS NOT NULL AND h.effective_to >= {OPEN} THEN s.update_dt - INTERVAL 1 SECOND
+         ELSE h.effective_to END AS effective_to, h.deleted_flag FROM h1 h LEFT JOIN changed s ON s.{key} = h.{key}
+  UNION ALL SELECT s.{key}, {sa}, s.update_dt, {OPEN}, 0 FROM changed s)""", f"""last AS (
+  SELECT {key}, max(effective_to) AS m FROM h2 WHERE {key} NOT IN (SELECT {key} FROM slice) GROUP BY {key})""") + f"""SELECT h.{key}, {ha}, h.effective_from,
+  CASE WHEN h.effective_to = m THEN TIMESTAMP '{delete_ts}' ELSE h.effective_to END AS effective_to,
+  CASE WHEN h.effective_to = m THEN 1 ELSE h.deleted_flag END AS deleted_flag
+FROM h2 h LEFT JOIN last ON last.{key} = h.{key}"""
+
+
+def report_with(clients: str) -> str:
+    """The whole report with the client versions of one time."""
+    return (w(TX, CARD_CHG, ACC_CHG, CLI_ONLY, CLI_CHG, clients, BL, SNAPS, CARD_HIST, ACC_HIST, terminal_hist("t_hist", 2), ENRICHED, ENRICHED_T,
+              report_sql("2024-02-01")) + "SELECT * FROM rep")
+
+
+VALID_AT_CARD = w(TX, CARD_CHG, CARD_HIST) + """SELECT t.trans_id, t.trans_date, t.card_num, c.account_num, c.effective_from, c.effective_to
+FROM card_hist c JOIN tx t USING (card_num) WHERE c.deleted_flag = 0 AND c.effective_from <= t.trans_date AND t.trans_date <= c.effective_to"""
+
 ORACLE: dict[str, str] = {
+    "scd2_from_changes_clients": w(CLI_ONLY, CLI_CHG, cli_versions("h")) + "SELECT * FROM h",
+    "scd2_merge_cards": merge_sql("card_num", ["account_num"], [CARD_CHG, "chg_all AS (SELECT * FROM card_chg)"], hist_from_changes(
+        "h0", "card_chg", "card_num", ["account_num"], "update_dt < TIMESTAMP '2024-01-12 00:00:00'"), "13 <> 5", "2024-01-12 00:00:00", "2024-02-01 00:00:00"),
+    "scd2_merge_clients": merge_sql("client_id", C_ATTRS, [CLI_ONLY, CLI_CHG, "chg_all AS (SELECT * FROM cli_chg)"], cli_versions("h0", True),
+                                    "19 <> 7", "2024-01-01 00:00:00", "2024-02-01 00:00:00"),
+    "owner_history_versions": w(CARD_CHG, ACC_CHG, CLI_ONLY, CLI_CHG, CARD_HIST, ACC_HIST, cli_versions("cli_hist")) + """SELECT * FROM (
+  SELECT c.card_num, a.account_num, k.client_id, a.valid_to, k.passport_num, k.passport_valid_to,
+         concat(coalesce(k.last_name, ''), ' ', coalesce(k.first_name, ''), ' ', coalesce(k.patronymic, '')) AS fio, rtrim(k.phone) AS phone,
+         greatest(c.effective_from, a.effective_from, k.effective_from) AS effective_from, least(c.effective_to, a.effective_to, k.effective_to) AS effective_to
+  FROM card_hist c JOIN acc_hist a USING (account_num) JOIN cli_hist k ON k.client_id = a.client) WHERE effective_from <= effective_to""",
+    "report_affected": f"""WITH earlier AS ({report_with(cli_versions("cli_hist", True))}), now AS ({report_with(cli_versions("cli_hist"))})
+SELECT * FROM now n WHERE NOT EXISTS (SELECT 1 FROM earlier o WHERE o.event_dt = n.event_dt AND (o.passport = n.passport OR (
+  o.passport IS NULL AND n.passport IS NULL AND o.fio = n.fio AND o.phone = n.phone AND o.event_type = n.event_type)))""",
+    "valid_at_card_slots": VALID_AT_CARD,
+    "valid_at_terminal_slots_left": w(TX, SNAPS, terminal_hist("t_hist", 2)) + """SELECT t.trans_id, t.trans_date, t.terminal,
+       h.terminal_city, h.effective_from, h.effective_to
+FROM tx t LEFT JOIN (SELECT * FROM t_hist WHERE deleted_flag = 0) h
+  ON h.terminal_id = t.terminal AND h.effective_from <= t.trans_date AND t.trans_date <= h.effective_to""",
     "stage_transactions": w(TX, RAW_TX) + f"""SELECT transaction_id AS trans_id,
        date_trunc('second', strptime(trim(transaction_date), '%Y-%m-%d %H:%M:%S') + INTERVAL 500 MILLISECOND) AS trans_date,
        card_num, oper_type, CAST(replace(trim(amount), ',', '.') AS DECIMAL(38,10)) AS amt, oper_result, terminal,

@@ -118,6 +118,26 @@ def client_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{X.ntz_sql(X.OPEN_END)} AS effective_to", "0 AS deleted_flag")
 
 
+#: Client changes: the first state of all clients, and a later one of every fourth.
+CLIENT_CHANGE_BASE = dt.date(2024, 1, 1)
+CLIENT_ATTRS = ["last_name", "first_name", "patronymic", "date_of_birth", "passport_num", "passport_valid_to", "phone"]
+
+
+def client_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Client states with their change times. Phones are blank-padded; a later state has another passport date or none, no
+    patronymic, and of every sixteenth client no passport number."""
+    first = clients(spark, sf_dir).selectExpr(
+        "client_id", *[c for c in CLIENT_ATTRS if c != "phone"], "rpad(phone, 16, ' ') AS phone", f"{X.ntz_sql(CLIENT_VERSION_START)} AS update_dt")
+    later = table(spark, sf_dir, "customer").where("c_custkey % 4 = 1").selectExpr(
+        *[c for c in CLIENT_COLS if c.rsplit(" AS ", 1)[1] in ("client_id", "last_name", "first_name", "date_of_birth")],
+        "CAST(NULL AS STRING) AS patronymic",
+        f"CASE WHEN c_custkey % 16 = 9 THEN CAST(NULL AS STRING) ELSE {_s('PS', 'c_custkey')} END AS passport_num",
+        f"CASE WHEN c_custkey % 8 = 1 THEN CAST(NULL AS DATE) ELSE {_d(CLIENT_CHANGE_BASE)} END AS passport_valid_to",
+        f"rpad({_s('+8', 'c_custkey')}, 16, ' ') AS phone",
+        f"CAST(date_add({_d(CLIENT_CHANGE_BASE)}, CAST(c_custkey % 25 AS INT)) AS TIMESTAMP_NTZ) AS update_dt")
+    return first.unionByName(later)
+
+
 def blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").where("c_custkey % 11 = 0").selectExpr(
         f"{_s('PS', 'c_custkey')} AS passport_num",
