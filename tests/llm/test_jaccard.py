@@ -109,3 +109,17 @@ def test_empty_tables_and_clashing_columns(spark):
     got = jaccard.join(spark.createDataFrame(rows, schema))
     assert got.columns == ["doc_id", "n_shingles", "component_id"]
     assert sorted(map(tuple, got.collect())) == [(0, 1, 0), (1, 2, 1), (1, 2, 1)]
+
+
+def test_pruning_keeps_every_member_that_may_link():
+    rng = random.Random(9)
+    for _ in range(300):
+        k = rng.randrange(1, 9)
+        n = np.array(sorted(rng.choice([5, 9, 50, 100, 101, 125, 126, 400]) for _ in range(k)), np.int32)
+        own = np.array([rng.randrange(1, 12) for _ in range(k)], np.int64)
+        fit = lambda i, j: jaccard.needed(n[i], n[j]) <= min(n[i], n[j]) and min(own[i], own[j]) >= jaccard.shared_prefix(int(n[i]), int(n[j]))
+        want = [any(fit(i, j) for j in range(k) if j != i) for i in range(k)]
+        got = jaccard._may_link(n, own).tolist()
+        assert all(g or not w for g, w in zip(got, want))  # none is lost; a member alone of its size is told exactly
+        sizes = [n.tolist().count(x) for x in n.tolist()]
+        assert all(g == w for g, w, t in zip(got, want, sizes) if t == 1)

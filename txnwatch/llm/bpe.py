@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
            r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 #: Pre-tokens remembered by a Python worker (about 200 bytes each); beyond it the memory is emptied, results stay the same.
-REMEMBERED = 1_000_000
+REMEMBERED = 250_000
 #: Ranks after every merge.
 NEVER = 1 << 40
 

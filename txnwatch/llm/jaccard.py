@@ -36,6 +36,10 @@ from txnwatch.session import ensure_checkpoint_dir
 SHINGLE, PERCENT = 5, 80
 #: Shingles whose counts are known to all tasks; they only order the prefixes, any order gives the same links.
 KNOWN = 1 << 19
+#: Shingles that a task holds to see which come twice.
+SEEN = 1 << 20
+#: Members of a list that are compared by size; a longer list is left as it is.
+COMPARED = 1 << 18
 #: Places of a prefix whose order keys are kept, and the count from which shingles are equally frequent.
 MARKS, FREQUENT = 8, (1 << 15) - 1
 #: Classes in a block, candidates compared first, length from which a list is probed.
@@ -92,10 +96,19 @@ def _signed(x: np.ndarray) -> pa.Array:
 def _known(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """(shingles, counts), sorted by shingle: the at most KNOWN most frequent of those that some task saw twice."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def told() -> pa.RecordBatch:
+            value, count = np.unique(np.concatenate(held or [np.empty(0, np.uint64)]), return_counts=True)
+            held.clear()
+            return _batch(s=_signed(value[count > 1]), n=pa.array(count[count > 1]))
+
         for batch in batches:
-            seen = [value for _, value, _, _, _ in _sets(batch, "t")]
-            value, count = np.unique(np.concatenate(seen), return_counts=True) if seen else (np.empty(0, np.uint64), np.empty(0, np.int64))
-            yield _batch(s=_signed(value[count > 1]), n=pa.array(count[count > 1]))
+            for _, value, _, _, _ in _sets(batch, "t"):
+                held.append(value)
+                if sum(map(len, held)) > SEEN:
+                    yield told()
+        yield told()
 
     counted = docs.mapInArrow(run, "s bigint, n bigint").groupBy("s").agg(F.sum("n").alias("n")).checkpoint()
     sizes = counted.groupBy(F.least("n", F.lit(1 << 16)).alias("n")).count().orderBy(F.desc("n")).collect()
@@ -166,41 +179,101 @@ def _prefixes(docs: DataFrame, known) -> DataFrame:
 
 
 def _lists(prefixes: DataFrame) -> DataFrame:
-    """(s, c, n, p, m): members c of the lists with two classes or more, each with the list's first class p of m shingles.
+    """(s, c, n): members c of the lists with two classes or more.
 
     Rows are dealt out and sorted by shingle and read as a stream. A shingle's share of the rows is at most one over the
     length of the shortest prefix that has it, so a third of all documents being near copies does not make a hot key.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[int, int, int, bool] | None = None  # shingle, first class, its size, whether already told
-        last = None
+        last, told = None, True  # the row before, and whether it has been told
         for batch in batches:
             s, c, n = (batch.column(i).to_numpy() for i in range(3))
             if not len(s):
                 continue
-            keep = np.r_[(s[0], c[0]) != last, (s[1:] != s[:-1]) | (c[1:] != c[:-1])]
-            last = s[-1], c[-1]
+            keep = np.r_[last is None or (s[0], c[0]) != last[:2], (s[1:] != s[:-1]) | (c[1:] != c[:-1])]
             s, c, n = s[keep], c[keep], n[keep]
             if not len(s):
                 continue
-            carried = held is not None and held[0] == s[0]
-            new = np.r_[not carried, s[1:] != s[:-1]]
-            group = np.cumsum(new) - 1
-            heads = np.flatnonzero(new)
-            p = np.where(group >= 0, c[heads][group] if len(heads) else 0, held[1] if carried else 0)
-            m = np.where(group >= 0, n[heads][group] if len(heads) else 0, held[2] if carried else 0)
-            size = np.bincount(group + 1, minlength=2)[group + 1]
-            member = (size > 1) | (group < 0)
-            tail = group == group[-1]  # the last list may go on in the next batch
-            out = [x[member] for x in (s, c, n, p, m)]
-            if carried and not held[3]:
-                out = [np.r_[x, y] for x, y in zip(out, ((held[0],), (held[1],), (held[2],), (held[1],), (held[2],)), strict=True)]
-            told = bool(member[tail].all()) if len(heads) and group[-1] >= 0 else True
-            held = (int(s[-1]), int(p[-1]), int(m[-1]), told)
-            yield _batch(s=pa.array(out[0].astype(np.int64)), c=pa.array(out[1].astype(np.int64)), n=pa.array(out[2].astype(np.int32)),
-                         p=pa.array(out[3].astype(np.int64)), m=pa.array(out[4].astype(np.int32)))
-
-    return prefixes.repartition("s").sortWithinPartitions("s", "n", "c").mapInArrow(run, "s bigint, c bigint, n int, p bigint, m int")
+            before = np.r_[last is not None and last[0] == s[0], s[1:] == s[:-1]]
+            member = before | np.r_[before[1:], False]
+            out = [x[member] for x in (s, c, n)]
+            if before[0] and not told:
+                out = [np.r_[y, x] for x, y in zip(out, last, strict=True)]
+            last, told = (s[-1], c[-1], n[-1]), bool(member[-1])
+            yield _batch(s=pa.array(out[0].astype(np.int64)), c=pa.array(out[1].astype(np.int64)), n=pa.array(out[2].astype(np.int32)))
+
+    return prefixes.repartition("s").sortWithinPartitions("s", "n", "c").mapInArrow(run, "s bigint, c bigint, n int")
+
+
+def _may_link(n: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Which members of one list, of n shingles and in ``own`` lists each, have another member there that they may link with:
+    both must be in as many lists as a link of their sizes needs shared prefix shingles. Members of one size are
+    told by their largest two counts."""
+    sizes, at, times = np.unique(n, return_inverse=True, return_counts=True)
+    most = np.zeros(len(sizes), np.int64)
+    np.maximum.at(most, at, own)
+    x, y = sizes[:, None].astype(np.int64), sizes[None, :].astype(np.int64)
+    need = -(-PERCENT * (x + y) // (100 + PERCENT))
+    least = np.maximum(1, need - np.maximum(x - prefix_length(x), y - prefix_length(y)))
+    fits = (need <= np.minimum(x, y)) & (most[None, :] >= least)
+    alone = (times == 1) & np.eye(len(sizes), dtype=bool)
+    least = np.where(fits & ~alone, least, 1 << 40)
+    return own >= least.min(axis=1)[at]
+
+
+def _pruned(lists: DataFrame) -> DataFrame:
+    """(s, c, n, p, m): the lists without members that can link with no other member, each with the list's first class p of m
+    shingles. Two linked classes share as many prefix shingles as their sizes need, so each is in so many lists, and both
+    stay in all of these; what goes are accidental meetings, which grow faster than the collection."""
+    def tell(s: np.ndarray, c: np.ndarray, n: np.ndarray, own: np.ndarray) -> pa.RecordBatch:
+        """Whole lists: pairs at once, longer ones one by one."""
+        heads = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
+        size = np.diff(np.r_[heads, len(s)])
+        keep = np.zeros(len(s), bool)
+        two = heads[size == 2]
+        x, y = n[two].astype(np.int64), n[two + 1].astype(np.int64)
+        need = -(-PERCENT * (x + y) // (100 + PERCENT))
+        least = np.maximum(1, need - np.maximum(x - prefix_length(x), y - prefix_length(y)))
+        good = two[(need <= x) & (np.minimum(own[two], own[two + 1]) >= least)]
+        keep[good] = keep[good + 1] = True
+        for a, k in zip(heads[size > 2].tolist(), size[size > 2].tolist()):
+            keep[a:a + k] = _may_link(n[a:a + k], own[a:a + k])
+        s, c, n = s[keep], c[keep], n[keep]
+        first = np.flatnonzero(np.r_[np.ones(min(1, len(s)), bool), s[1:] != s[:-1]])
+        at = np.repeat(first, np.diff(np.r_[first, len(s)]))
+        return _batch(s=pa.array(s), c=pa.array(c), n=pa.array(n), p=pa.array(c[at]), m=pa.array(n[at]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, long = None, None  # rows of the list that may go on; the first member of one too long to compare
+        for batch in batches:
+            rows = [batch.column(i).to_numpy() for i in range(4)]
+            if held is not None:
+                rows = [np.r_[x, y] for x, y in zip(held, rows)]
+            if not len(rows[0]):
+                continue
+            cut = int(np.searchsorted(rows[0], rows[0][-1]))
+            if long is not None:
+                end = int(np.searchsorted(rows[0], long[0], side="right"))
+                yield _batch(s=pa.array(rows[0][:end]), c=pa.array(rows[1][:end]), n=pa.array(rows[2][:end]),
+                             p=pa.array(np.full(end, long[1])), m=pa.array(np.full(end, long[2], np.int32)))
+                if end == len(rows[0]):
+                    held = None
+                    continue
+                rows, cut, long = [x[end:] for x in rows], cut - end, None
+            if cut:
+                yield tell(*(x[:cut] for x in rows))
+            held = [x[cut:] for x in rows]
+            if len(held[0]) > COMPARED:
+                long = (held[0][0], held[1][0], held[2][0])
+                yield _batch(s=pa.array(held[0]), c=pa.array(held[1]), n=pa.array(held[2]),
+                             p=pa.array(np.full(len(held[0]), long[1])), m=pa.array(np.full(len(held[0]), long[2], np.int32)))
+                held = None
+        if held is not None and len(held[0]):
+            yield tell(*held)
+
+    own = lists.groupBy("c").agg(F.count("*").alias("own"))
+    return lists.join(own, "c").select("s", "c", "n", "own").repartition("s").sortWithinPartitions("s", "n", "c").mapInArrow(
+        run, "s bigint, c bigint, n int, p bigint, m int")
 
 
 def _whole_sets(docs: DataFrame, lists: DataFrame, known) -> DataFrame:
@@ -439,7 +512,7 @@ def links(documents: DataFrame, text_col: str = "text") -> DataFrame:
     ensure_checkpoint_dir(documents.sparkSession)
     docs = documents.select(F.col(text_col).alias("t")).where(F.col("t").isNotNull())
     known = documents.sparkSession.sparkContext.broadcast(_known(docs))  # at most KNOWN pairs of numbers
-    lists = _lists(_prefixes(docs, known)).checkpoint()
+    lists = _pruned(_lists(_prefixes(docs, known)).checkpoint()).checkpoint()
     sets = _whole_sets(docs, lists, known).checkpoint()
     heads = _heads(lists, sets).checkpoint()
     found = _linked(_stars(lists, heads), sets).checkpoint()

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; one larger document is handled alone.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 #: Odd multipliers of the polynomial hashes (any odd value works; fixed so that runs agree).
 BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xC2B2AE3D27D4EB4F
@@ -80,7 +80,7 @@ def words(column: pa.Array, lower: bool, apart: np.ndarray = SPACE) -> tuple[np.
     starts = np.flatnonzero(first)
     if not len(starts):
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    up, down = _powers(1 << max(20, int(len(raw)).bit_length()))
+    up, down = _powers(1 << max(19, int(len(raw)).bit_length()))
     if lower:
         raw = _LOWER[raw]
     value = np.where(inside, raw.astype(np.uint64) + np.uint64(1), np.uint64(0))
@@ -121,7 +121,7 @@ def lines(column: pa.Array) -> tuple[np.ndarray, ...]:
     a, b = np.searchsorted(inside, start), np.searchsorted(inside, end)
     some = a < b
     first, after = inside[a[some]], inside[b[some] - 1] + 1
-    up, down = _powers(1 << max(20, int(len(raw)).bit_length()))
+    up, down = _powers(1 << max(19, int(len(raw)).bit_length()))
     sums = np.r_[np.uint64(0), np.cumsum((_LOWER[raw].astype(np.uint64) + np.uint64(1)) * up[:len(raw)])]
     points = np.r_[0, np.cumsum((raw & 0xC0) != 0x80)]
     hashes, size, n = np.zeros(len(row), np.uint64), np.zeros(len(row), np.int64), np.zeros(len(row), np.int64)
