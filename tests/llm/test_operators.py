@@ -401,3 +401,28 @@ def test_registered_queries_run(spark, name):
     if name in ("op5_passages", "op7_jaccard_join"):
         pytest.skip("compared with brute force in their own modules")
     assert queries.QUERIES[name](spark, SF).count() > 0
+
+
+# --- memory and time on one long text ------------------------------------------
+
+def test_long_runs_of_backslashes_are_read_once(spark):
+    import time
+    text = "\\" * 100_000
+    df = spark.createDataFrame([(text,), (text + "</s>",), ("a" + text + "[INST] \\\\</s>",)], "t string")
+    began = time.time()
+    got = df.select("t", chat.escape(F.col("t")).alias("e")).select("t", "e", chat.unescape(F.col("e")).alias("u")).collect()
+    assert time.time() - began < 20 and all(r.t == r.u for r in got)
+    assert [len(r.e) - len(r.t) for r in got] == [0, 1, 2]
+
+
+def test_gram_vectors_are_made_in_slices(spark, monkeypatch):
+    rng = random.Random(6)
+    texts = ["".join(chr(rng.randrange(0x4E00, 0x9F00)) for _ in range(3000)), "the cat sat on the mat " * 20, "le chat est sur la table " * 20]
+    df = spark.createDataFrame([(i, t, x) for i, (t, x) in enumerate(zip(texts, ["zh", "en", "fr"]))], "doc_id long, text string, lang string").coalesce(1)
+    whole = langid.predict(df, langid.train(df)).orderBy("doc_id").collect()
+    grams = np.concatenate([g for _, g, _ in langid.gram_counts(texts)])
+    counts = np.concatenate([c for _, _, c in langid.gram_counts(texts)])
+    one = langid.bundles(counts, grams, np.float64)
+    monkeypatch.setattr(langid, "SLICE", 100)
+    assert len(grams) > 3000 and (langid.bundles(counts, grams, np.float64) == one).all()
+    assert [r.lang_pred for r in whole] == ["zh", "en", "fr"]

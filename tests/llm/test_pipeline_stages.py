@@ -73,3 +73,26 @@ def test_stages_take_effect(spark):
 def test_run(spark):
     got = C.run(spark, SF)
     assert got.columns == ["doc_id", "n_tokens", "token_ids", "text"] and got.count() > 50
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars long, label string, kept string, row string, spans int, c long"
+
+
+def test_stages_with_odd_rows(spark):
+    body = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, body, "en"), (1, body, "en"), (1, "other " + " ".join(f"x{i}" for i in range(40)), "en"), (2, body + " end", None), (None, body, "en"),
+            (None, None, None), (3, None, "en"), (4, "", "de"), (5, "short", "fr"), (6, "w " * 9000 + "a@b.cd", "en")]
+    docs = spark.createDataFrame([(*r, "s", 7, "l", "k", "r", 1, 2) for r in rows], ODD)
+    for name, stage in C.STAGES:
+        empty = stage(spark, docs.limit(0), SF)
+        assert empty.collect() == []
+        if name != C.STAGES[-1][0]:
+            assert empty.columns == docs.columns
+            assert stage(spark, docs, SF).columns == docs.columns
+    # the first id of the copies stays, with both of its texts; rows without an id stay
+    left = sorted(((r.doc_id, r.text) for r in C.near_duplicates(spark, docs, SF).collect()), key=repr)
+    assert left == sorted({(r[0], r[1]) for r in rows if r[0] != 2}, key=repr)
+    safe = C.redaction(spark, docs, SF)
+    assert safe.count() == len(rows) and all(r.n_chars == (len(r.text) if r.text is not None else None) for r in safe.collect())
+    assert "n_chars" not in C.redaction(spark, docs.drop("n_chars"), SF).columns
+    assert C.encoding(spark, docs, SF).count() == len(rows)

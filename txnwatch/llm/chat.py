@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CONTROL = r"(?:</?s>|\[/?INST\]|<</?SYS>>|\[/?ROLE\])"
-ESCAPE, UNESCAPE = rf"(\\*{CONTROL})", rf"\\(\\*{CONTROL})"
+#: From the first backslash of a run only, and without giving any back, so that a run is read once.
+ESCAPE, UNESCAPE = rf"(?<!\\)(\\*+{CONTROL})", rf"(?<!\\)\\(\\*+{CONTROL})"
 #: A turn of formatted text; a control string after a backslash is text.
 TURN = rf"(?s)(?:<<SYS>> .*?(?<!\\)<</SYS>>|\[INST\] .*?(?<!\\)\[/INST\]|<s> .*?(?<!\\)</s>|\[ROLE\] .*?(?<!\\)\[/ROLE\] .*?(?<!\\)</s>)\n"
 #: Tokens of a window, tokens of repeated history, tokens that a turn's markers count as.

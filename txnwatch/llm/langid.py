@@ -24,6 +24,8 @@ UNKNOWN = "und"
 MOST_LANGUAGES = 4096
 #: Cells of the dense (texts x n-grams) count matrix handled at once.
 CELLS = 1 << 22
+#: Grams whose vectors a task holds at once.
+SLICE = 1 << 14
 
 
 @lru_cache(maxsize=1)
@@ -95,6 +97,14 @@ def gram_counts(texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]
         start = stop
 
 
+def bundles(counts: np.ndarray, grams: np.ndarray, kind) -> np.ndarray:
+    """Counts times the grams' vectors, which exist for SLICE grams at a time only."""
+    out = np.zeros((len(counts), DIMENSIONS), kind)
+    for a in range(0, len(grams), SLICE):
+        out += counts[:, a:a + SLICE].astype(kind) @ gram_vectors(grams[a:a + SLICE]).astype(kind)
+    return out
+
+
 def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
     """(languages, prototypes as unit vectors): bundles of all rows with a text and a language."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,11 +118,11 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tupl
                     if not counts.shape[1]:
                         continue
                     own = which[start:start + len(counts)]
-                    vectors = gram_vectors(grams)
-                    for k in np.unique(own):
-                        # every partial sum is an integer below 2^53, so doubles are exact
-                        more = counts[own == k].sum(0).astype(np.float64) @ vectors.astype(np.float64)
-                        total[names[k]] = total.get(names[k], 0) + more.astype(np.int64)
+                    some = np.unique(own)
+                    # every partial sum is an integer below 2^53, so doubles are exact
+                    more = bundles(np.stack([counts[own == k].sum(0) for k in some]), grams, np.float64).astype(np.int64)
+                    for k, v in zip(some.tolist(), more):
+                        total[names[k]] = total.get(names[k], 0) + v
         if total:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(total)), pa.array([v.tolist() for v in total.values()], pa.list_(pa.int64()))], names=["lang", "v"])
@@ -142,7 +152,7 @@ def predict(df: DataFrame, model: tuple[list[str], np.ndarray], id_col: str = "d
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 best, score = np.full(len(texts), -1), np.zeros(len(texts))
                 for start, grams, counts in gram_counts(texts) if names else ():
-                    vectors = counts.astype(np.float32) @ gram_vectors(grams)
+                    vectors = bundles(counts, grams, np.float32)
                     norms = np.linalg.norm(vectors, axis=1)
                     cosines = vectors @ prototypes / np.maximum(norms, 1e-30)[:, None]
                     rows = slice(start, start + len(counts))
