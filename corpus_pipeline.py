@@ -22,10 +22,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every component of linked documents the one with the smallest id, once. Rows without an id all stay."""
+    """Of every component of linked documents the one with the smallest id. Rows without an id all stay. Of rows that share
+    an id, copies with the same text stay once and different texts all, if one of them is its component's first."""
     found = jaccard.join(docs.select("doc_id", "text"))
     first = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.where("doc_id IS NOT NULL").join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    kept = docs.where("doc_id IS NOT NULL").join(first, "doc_id", "left_semi")
+    # the two hashes stand for the text, so that only they are compared
+    marks = {"_pipeline_a": F.xxhash64("text"), "_pipeline_b": F.xxhash64(F.lit(1), "text")}
+    kept = kept.withColumns(marks).dropDuplicates(["doc_id", *marks]).drop(*marks)
     return kept.unionByName(docs.where("doc_id IS NULL"))
 
 
@@ -35,8 +39,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data in their texts replaced by its kind."""
+    """All documents, personal data in their texts replaced by its kind; ``n_chars``, where there is one, is that of the new text."""
     done = pii.redact(docs, pii.learn(docs.select("doc_id", "text")))
+    if "n_chars" not in docs.columns:
+        return done
     return done.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
