@@ -426,3 +426,11 @@ def test_gram_vectors_are_made_in_slices(spark, monkeypatch):
     monkeypatch.setattr(langid, "SLICE", 100)
     assert len(grams) > 3000 and (langid.bundles(counts, grams, np.float64) == one).all()
     assert [r.lang_pred for r in whole] == ["zh", "en", "fr"]
+
+
+def test_round_trip_equals_encode_then_decode(spark):
+    df, path = odd(spark), queries.tokenizer_path()
+    two = bpe.decode(bpe.encode(df, path), path)
+    one = bpe.round_trip(df, path)
+    assert one.schema == two.schema and sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
+    assert bpe.round_trip(df.limit(0), path).collect() == []
