@@ -48,8 +48,7 @@ def redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, token_ids, text): the ids and the text that they decode to."""
-    path = tokenizer_path()
-    decoded = bpe.decode(bpe.encode(docs, path), path)
+    decoded = bpe.round_trip(docs, tokenizer_path())
     return decoded.select("doc_id", (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"), "token_ids",
                           F.col("decoded").alias("text"))
 
