@@ -44,3 +44,37 @@ def test_watermark(spark):
     assert rows(kept, "max_update_dt") == [(w,)]
     seeded = watermark.advance_watermark(watermark.empty_meta(spark), "other", staged.limit(0))
     assert rows(seeded, "table_name", "max_update_dt") == [("other", dt.datetime(1800, 1, 1))]
+
+
+def test_tie_set_takes_late_rows_of_the_watermarks_second_once(spark):
+    from txnwatch import schemas
+    from txnwatch.sources.tables import source_changes
+    w = ts("2024-01-01 00:00:05")
+    shape = "k string, v string, u string, create_dt timestamp_ntz, update_dt timestamp_ntz"
+    at = lambda seconds: w + dt.timedelta(seconds=seconds)
+    none = spark.createDataFrame([], schemas.TIES)
+
+    def load(source, mark, seen):
+        """One load as the daily run does it; the keys staged, the new watermark and tie set."""
+        meta = spark.createDataFrame([("public", "src", mark)], schemas.META_LOAD)
+        staged = source_changes(spark.createDataFrame(source, shape), "k", ["v", "u"], mark, seen=seen)
+        mark = watermark.read_watermark(watermark.advance_watermark(meta, "src", staged), "src")
+        return rows(staged, "k", "v"), mark, watermark.tie_set(staged, seen, "k", ["v", "u"], mark)
+
+    one = [("K1", "a", None, at(-0.5), None), ("K2", "b", None, at(-9), None), (None, "n", None, at(0.2), None)]
+    got, mark, seen = load(one, at(-5), none)
+    assert got == [("K1", "a"), (None, "n")] and mark == w  # both round to the watermark's second
+    # the same second again: a late key, half a second before and 0.4 after; K1 with its value moved to the other column
+    two = [*one[1:], ("K1", None, "a", at(0), None), ("K3", "c", None, at(-0.5), None), ("K4", "d", None, None, at(0.4))]
+    got, mark, seen = load(two, mark, seen)
+    assert got == [("K1", None), ("K3", "c"), ("K4", "d")] and mark == w
+    # nothing new, then a later second
+    got, mark, seen = load(two, mark, seen)
+    assert got == [] and mark == w and seen.count() == 5
+    got, mark, seen = load([*two, ("K5", "e", None, at(1), None)], mark, seen)
+    assert got == [("K5", "e")] and mark == at(1) and rows(seen, "tie_key") == [("K5",)]
+    # a set left behind by a load that died takes nothing away
+    got, mark, _ = load([("K6", "f", None, at(3), None)], at(3), seen)
+    assert got == [("K6", "f")]
+    # strict, as without a tie set
+    assert source_changes(spark.createDataFrame(two, shape), "k", ["v", "u"], w).count() == 0

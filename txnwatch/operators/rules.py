@@ -125,6 +125,11 @@ def card_rules(enriched_t: DataFrame, gap: dt.timedelta = CITY_GAP, n: int = PRO
                span: dt.timedelta = PROBE_SPAN, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """Rules 3 and 4 from one window pass; a row hitting both yields two rows."""
     lagged = with_card_lags(enriched_t, max(n, 1), max(gap, span), bucket_seconds)
+    return card_hits(lagged, gap, n, span)
+
+
+def card_hits(lagged: DataFrame, gap: dt.timedelta = CITY_GAP, n: int = PROBE_REJECTS, span: dt.timedelta = PROBE_SPAN) -> DataFrame:
+    """Hits of rules 3 and 4 among operations that have their lags, batch or stream."""
     hits = (f"filter(array(CASE WHEN {city_jump_sql(gap)} THEN 3 END, "
             f"CASE WHEN {amount_probe_sql(n, span)} THEN 4 END), x -> x IS NOT NULL)")
     return _out(lagged.selectExpr("*", f"explode({hits}) AS _hit"), "_hit")

@@ -7,15 +7,19 @@ and returns a lazy DataFrame; column names equal those of ``plans.oracle``.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txnwatch import schemas
 from txnwatch.functions import scalars as X
 from txnwatch.operators import affected, facts, report, rules, scd2, temporal, watermark
+from txnwatch.session import ensure_checkpoint_dir
 from txnwatch.sources import mapping as M
 from txnwatch.sources import tables
+from txnwatch.streaming import lags
 
 # Fixed query parameters (shared with the oracle SQL).
 WATERMARK = dt.datetime(2001, 1, 1)
@@ -142,6 +146,30 @@ def q_watermark_advance(spark, d):
     return watermark.advance_watermark(meta, "info.accounts", staged)
 
 
+def _late_load(spark, d):
+    """(source, metadata, watermark, tie set) after a first load that came before the rows with an update time."""
+    source = M.incremental_source(spark, d)
+    first = tables.source_changes(source.where(F.col("update_dt").isNull() & (F.col("create_dt") <= X.ntz(WATERMARK))),
+                                  "account", ACCOUNT_ATTRS, X.SEED_WATERMARK)
+    meta = watermark.advance_watermark(watermark.empty_meta(spark), "info.accounts", first)
+    w = watermark.read_watermark(meta, "info.accounts")
+    none = spark.createDataFrame([], schemas.TIES)
+    return source, w, watermark.tie_set(first, none, "account", ACCOUNT_ATTRS, w)
+
+
+def q_source_changes_late(spark, d):
+    source, w, seen = _late_load(spark, d)
+    return tables.source_changes(source, "account", ACCOUNT_ATTRS, w, rename={"account": "account_num"}, seen=seen)
+
+
+def q_watermark_ties(spark, d):
+    """The tie set after a second load that read the same second again."""
+    source, w, seen = _late_load(spark, d)
+    late = tables.source_changes(source.where(F.col("update_dt").isNotNull()), "account", ACCOUNT_ATTRS, w, seen=seen)
+    ties = watermark.tie_set(late, seen, "account", ACCOUNT_ATTRS, w)
+    return ties.select(F.col("tie_key").alias("account_num"), F.col("tie_second").alias("update_dt"))
+
+
 def q_scd2_from_changes(spark, d):
     return account_history(spark, d)
 
@@ -261,6 +289,14 @@ def q_rule_amount_probe_wide(spark, d):
     return rules.rule_amount_probe(enriched_t(spark, d), span=WIDE_PROBE_SPAN)
 
 
+def q_card_rules_stream(spark, d):
+    """Rules 3 and 4 on a stream over the operations, run until all its files are read: what the watermark has reached."""
+    folder = f"{ensure_checkpoint_dir(spark)}/card_rules-{uuid.uuid4().hex}"
+    hits = lags.card_rule_stream(M.transactions(spark, d, stream=True), owners(spark, d), terminal_history(spark, d), span=WIDE_PROBE_SPAN)
+    lags.start_card_rules(hits, f"{folder}/hits", f"{folder}/state").awaitTermination()
+    return spark.read.schema(hits.schema).parquet(f"{folder}/hits")
+
+
 def q_fraud_report(spark, d):
     return report.fraud_report(all_rules(spark, d), REPORT_DT)
 
@@ -355,6 +391,9 @@ QUERIES: dict[str, Query] = {
     "change_time": q_change_time,
     "source_changes": q_source_changes,
     "watermark_advance": q_watermark_advance,
+    "source_changes_late": q_source_changes_late,
+    "watermark_ties": q_watermark_ties,
+    "card_rules_stream": q_card_rules_stream,
     "scd2_from_changes": q_scd2_from_changes,
     "scd2_from_changes_cards": q_scd2_from_changes_cards,
     "current_view": q_current_view,

@@ -288,6 +288,11 @@ FILE_DATE = "CAST(strptime(regexp_extract(file_name, '(\\d+)', 1), '%d%m%Y') AS
 STAGED_SRC = f"""SELECT account AS account_num, valid_to, client, {change_ts('1900-01-01 00:00:00')} AS update_dt
 FROM src WHERE {change_ts('1900-01-01 00:00:00')} > TIMESTAMP '2001-01-01 00:00:00'"""
 
+#: What a first load saw, before the rows with an update time came, and its watermark.
+FIRST_LOAD = f"""ct AS (SELECT *, {change_ts('1900-01-01 00:00:00')} AS change_ts,
+         update_dt IS NULL AND create_dt IS NOT NULL AND create_dt <= TIMESTAMP '2001-01-01 00:00:00' AS early FROM src),
+w1 AS (SELECT max(change_ts) AS second FROM ct WHERE early)"""
+
 C_ATTRS = ["last_name", "first_name", "patronymic", "date_of_birth", "passport_num", "passport_valid_to", "phone"]
 CLI_CHG = f"""cli_chg AS (
   SELECT client_id, last_name, first_name, patronymic, date_of_birth, passport_num, passport_valid_to, rpad(phone, 16, ' ') AS phone,
@@ -371,6 +376,12 @@ FROM tx WHERE trans_date < TIMESTAMP '2024-01-02 00:00:00'""",
     "change_time": w(SRC) + f"""SELECT account, create_dt, update_dt, {change_ts('1900-01-01 00:00:00')} AS change_ts,
        {change_ts('2001-01-01 00:00:00')} AS change_ts_cards FROM src""",
     "source_changes": w(SRC) + STAGED_SRC,
+    "source_changes_late": w(SRC, FIRST_LOAD) + """SELECT account AS account_num, valid_to, client, change_ts AS update_dt
+FROM ct, w1 WHERE change_ts > second OR change_ts = second AND NOT early""",
+    "watermark_ties": w(SRC, FIRST_LOAD) + """SELECT DISTINCT account AS account_num, change_ts AS update_dt
+FROM ct, w1 WHERE change_ts = second AND (early OR update_dt IS NOT NULL)""",
+    "card_rules_stream": w(BASE) + f"""SELECT * FROM ({rule3()} UNION ALL {rule4("INTERVAL 96 HOUR")})
+WHERE event_dt <= (SELECT max(trans_date) FROM enriched_t) - INTERVAL 1 HOUR""",
     "watermark_advance": w(SRC, f"stg AS ({STAGED_SRC})") + """SELECT 'public' AS schema_name, 'info.accounts' AS table_name,
        coalesce((SELECT max(update_dt) FROM stg), TIMESTAMP '2001-01-01 00:00:00') AS max_update_dt""",
     "scd2_from_changes": w(ACC_CHG, ACC_HIST) + "SELECT * FROM acc_hist",

@@ -77,6 +77,9 @@ class RunOptions:
     # The report looks at the operations of affected cards only; the result is that of a full re-scan as long as the
     # report's own options stay the same. True = re-scan all facts (after such a change).
     full_report: bool = False
+    # Rows that changed in the watermark's own second after that second was read are taken too; True = strictly later
+    # ones only, as the reference does, which never reads such rows.
+    strict_watermark: bool = False
     buckets: int = BUCKETS                      # key buckets of the histories; fixed for the life of a warehouse
     compact_after: int = 200                    # versions of a table by buckets until it is written as one
     keep_seconds: float = 86400.0               # age from which old versions may go
@@ -217,15 +220,22 @@ def load_source(wh: Warehouse, dim: str, source: DataFrame, table_name: str, loa
     meta = wh.read("meta_load", schemas.META_LOAD)
     w = watermark.read_watermark(meta, table_name)
     src_attrs = [a for a in source.columns if a not in (spec["source_key"], "create_dt", "update_dt")]
+    seen = None if opt.strict_watermark else wh.read(f"seen_{dim}", schemas.TIES)
     staged = tables.source_changes(source, spec["source_key"], src_attrs, w, default=default,
-                                   rename=spec["rename"])
+                                   rename=spec["rename"], seen=seen)
     if spec["source_key"] != spec["key"]:
         staged = staged.withColumnRenamed(spec["source_key"], spec["key"])
     # one read each, changes before keys: what arrives in between is in neither and is taken by the next run
     staged = wh.stage(f"stg_{dim}", staged)
     keys = wh.stage(f"stg_{dim}_keys", tables.key_slice(source, spec["source_key"], spec["key"]))
     counts = merge(wh, dim, staged, keys, load_ts, opt)
-    wh.replace("meta_load", watermark.advance_watermark(meta, table_name, staged))
+    meta = watermark.advance_watermark(meta, table_name, staged)
+    wh.replace("meta_load", meta)
+    if seen is not None:  # after the watermark: a set of an older second takes nothing away
+        w = watermark.read_watermark(wh.read("meta_load", schemas.META_LOAD), table_name)
+        names = spec["rename"] or {}
+        key, attrs = spec["key"], [names.get(a, a) for a in src_attrs]
+        wh.replace(f"seen_{dim}", watermark.tie_set(staged, seen, key, attrs, w))
     wh.unstage(f"stg_{dim}", f"stg_{dim}_keys")
     return counts
 

@@ -63,6 +63,7 @@ OWNERS = _st(("card_num", S), ("account_num", S), ("client_id", S), ("valid_to",
 KEY_DIGEST = _st(("bucket", I), ("n", L), ("low", L), ("high", L), ("mixed", L))
 META_FILES = _st(("kind", S), ("file", S), ("src_file", S), ("stored", L), ("rejected", L))
 META_LOAD = _st(("schema_name", S), ("table_name", S), ("max_update_dt", TS))
+TIES = _st(("tie_key", S), ("tie_digest", L), ("tie_second", TS))
 
 # Dimension specs: key, tracked attributes, change-time default of the source.
 DIMENSIONS = {

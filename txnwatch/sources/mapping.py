@@ -45,6 +45,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table as a file stream; the pattern matches its one file or its folder of files."""
+    return spark.readStream.schema(DRIVER_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parque[t]")
+
+
 K = "CAST(get_json_object(props, '$.k') AS BIGINT)"
 
 
@@ -56,10 +61,11 @@ def _d(value: dt.date) -> str:
     return f"DATE '{value.isoformat()}'"
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def transactions(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """Fact rows: every non-signup event is a card operation."""
+    events = (table_stream if stream else table)(spark, sf_dir, "events")
     suppliers = table(spark, sf_dir, "supplier").agg(F.count("*")).scalar()
-    ev = table(spark, sf_dir, "events").where("event_type <> 'signup'").select(
+    ev = events.where("event_type <> 'signup'").select(
         "event_id", "ts", "user_id", "event_type", "value", F.expr(K).alias("k"), suppliers.alias("_suppliers"))
     return ev.selectExpr(
         f"{_s('X', 'event_id')} AS trans_id",
