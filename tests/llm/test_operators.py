@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -376,6 +377,18 @@ def test_secret_patterns_and_battery(spark):
     assert secret_scan.scan(df.limit(0)).count() == 0
 
 
+def test_secret_positions_in_one_long_text(spark):
+    rng = random.Random(3)
+    parts = [rng.choice(["é😀 ", "token= ", "x"]) + "".join(rng.choices("0123456789abcdef", k=rng.choice((31, 32, 40)))) for _ in range(20000)]
+    text = " ".join(parts)
+    begun = time.monotonic()
+    got = secret_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().spans
+    assert time.monotonic() - begun < 90  # a running list that is copied for each match needs many minutes
+    names = list(secret_scan.PATTERNS)
+    assert [(s.start, names.index(s.kind), s.end) for s in got if s.kind != "random"] == plain_secrets(text)
+    assert len(got) > 10000
+
+
 def test_secrets_with_padding_and_names(spark):
     rng = random.Random(9)
     words = ["information", "international", "documentation", "responsibilities", "incomprehensibilities"]

@@ -58,20 +58,23 @@ def spans_of(text: Column, pattern: str, group: int, least: int, kind: str, orde
 
     def place(f: Column) -> Column:
         groups = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else f
-        rows = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), f.alias("f"), groups.alias("g"))
-        start = F.struct(F.lit(0).cast("long").alias("at"), empty.alias("out"))
+        lengths = F.transform(F.arrays_zip(F.split(text, pattern, -1).alias("gap"), f.alias("f")), lambda r: (
+            F.char_length(r["gap"]) + F.coalesce(F.char_length(r["f"]), F.lit(0))).cast("long"))
+        rows = F.arrays_zip(_sums(lengths, F.size(f)).alias("end"), f.alias("f"), groups.alias("g"))
+        good = F.filter(rows, lambda r: r["f"].isNotNull() & (F.char_length(r["g"]) >= least))
+        return F.transform(good, lambda r: F.struct(
+            (r["end"] - F.char_length(r["f"])).alias("start"), F.lit(order).alias("ord"), F.lit(kind).alias("kind"),
+            r["end"].alias("end"), r["f"].alias("found")))
 
-        def step(a: Column, r: Column) -> Column:
-            begin = a["at"] + F.char_length(r["gap"])
-            end = begin + F.coalesce(F.char_length(r["f"]), F.lit(0))
-            one = F.array(F.struct(begin.cast("long").alias("start"), F.lit(order).alias("ord"), F.lit(kind).alias("kind"),
-                                   end.cast("long").alias("end"), r["f"].alias("found")))
-            good = r["f"].isNotNull() & (F.char_length(r["g"]) >= least)
-            return F.struct(end.cast("long").alias("at"), F.when(good, F.concat(a["out"], one)).otherwise(a["out"]).alias("out"))
+    return F.element_at(F.transform(F.array(found), lambda f: F.when(F.size(f) == 0, empty).otherwise(place(f))), 1)
 
-        return F.aggregate(rows, start, step, lambda a: a["out"])
 
-    return F.element_at(F.transform(F.array(found), lambda f: F.when(F.size(f) == 0, empty).otherwise(place(f))), 1)
+def _sums(lengths: Column, n: Column) -> Column:
+    """Running sums of an array of n + 1 longs by doubling: each pass adds what lies 1, 2, 4, ... places before, so that the
+    time grows with n log n and not with its square."""
+    passes = F.sequence(F.lit(0), F.length(F.bin(n)) - 1)
+    return F.aggregate(passes, lengths, lambda a, j: F.transform(
+        a, lambda x, i: x + F.coalesce(F.get(a, i - F.call_function("shiftleft", F.lit(1), j)), F.lit(0).cast("long"))))
 
 
 def _encoding(token: Column) -> Column:
