@@ -7,9 +7,9 @@ folder is not necessarily new), ``cleanSource=archive`` moves finished files,
 and ``foreachBatch`` appends each batch to the fact table. ``foreachBatch``
 is at-least-once, so facts are appended with ``on_duplicate="skip"``.
 
-Rules 3-4 use ``LAG``, which a stream does not support outside time windows;
-the report is therefore rebuilt in ``foreachBatch`` from the stored facts
-(``after_batch``), as the reference re-scans all facts on every run.
+The report needs all four rules of an operation, so it is brought up to date in
+``foreachBatch`` from the stored facts (``after_batch``). Rules 3-4 alone run on
+the stream itself in ``streaming.lags``.
 """
 
 from __future__ import annotations
