@@ -158,6 +158,26 @@ def test_cutoffs_hold_their_promise(spark):
     assert quality.verdicts(odd(spark), labelled).count() == len(ODD) and quality.verdicts(docs.limit(0), labelled).count() == 0
 
 
+def test_cutoffs_of_small_strata(spark):
+    """Strata of 300 good labels get cutoffs, and a step that loses more than alpha passes no more often than it may."""
+    rng, strata = random.Random(12), 200
+    rows, labels = [], []
+    for stratum in range(strata):
+        for i in range(340):
+            good, x = i < 300, rng.random()
+            # of the good ones 1% go at 50 symbols in 100 words and another 7% at 25; a rule that catches no bad one takes them all
+            symbols = (60 if x < 0.01 else 30 if x < 0.08 else 0) if good else 300
+            rows.append((len(rows), f"s{stratum}", 100, 500, symbols, 0, 400 if good else 0, 3, 0, 0))
+            labels.append((rows[-1][0], int(good)))
+    measured = spark.createDataFrame(rows, "id long, stratum string, " + ", ".join(f"{c} long" for c in quality.COUNTS))
+    labelled = spark.createDataFrame(labels, "doc_id long, quality int")
+    got = quality.cutoffs(measured, labelled, delta=0.05 * strata).collect()  # 0.05 a stratum
+    assert {r.rule for r in got} == {"symbols"} and len(got) > 0.9 * strata
+    assert sum(r.percent <= 25 for r in got) <= 0.08 * strata
+    few = quality.cutoffs(measured.where("stratum = 's0'").where("id < 50 or id >= 300"), labelled)
+    assert few.count() == 0  # 0.95 ** 50 is over 0.05, so 50 good labels prove nothing
+
+
 # --- 4 pages -----------------------------------------------------------------
 
 FRAME = "<html><body><header><h1>Site</h1></header><div class=x><b>News of the site</b></div>{}<div><p>Buy our things</p></div></body></html>"

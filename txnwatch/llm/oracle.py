@@ -25,8 +25,8 @@ FROM (SELECT doc_id, min(root) AS least_root FROM reach GROUP BY doc_id) LEFT JO
 
 
 def quality_rules() -> str:
-    rules, p = quality.RULES, quality.ALPHA / len(quality.RULES)
-    tries = ", ".join(f"('{r}', {k}, {x})" for r, (_, _, grid) in rules.items() for k, x in enumerate(grid))
+    rules, p = quality.RULES, quality.ALPHA
+    tries = ", ".join(f"('{r}', {k}, {quality.at(r, k)})" for r in rules for k in range(quality.STEPS))
     top = " ".join(f"WHEN '{r}' THEN {t}" for r, (t, _, _) in rules.items())
     bottom = " ".join(f"WHEN '{r}' THEN {b}" for r, (_, b, _) in rules.items())
     beyond = f"(100 * (CASE rule {top} END) > percent * (CASE rule {bottom} END))"
@@ -45,17 +45,21 @@ m AS (SELECT doc_id, stratum, len(w) AS n_words, length(array_to_string(w, ''))
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m),
 good AS (SELECT doc_id, min(quality) AS good FROM labels WHERE quality IN (0, 1) GROUP BY doc_id),
 tries(rule, step, percent) AS (VALUES {tries}),
-seen AS (SELECT stratum, rule, step, percent, sum(good) AS n, sum(1 - good) AS bad, count(*) FILTER (WHERE good = 1 AND {beyond}) AS k,
-                count(*) FILTER (WHERE good = 0 AND {beyond}) AS caught
-         FROM b JOIN good USING (doc_id) CROSS JOIN tries GROUP BY ALL),
+marked AS (SELECT b.*, good FROM b JOIN good USING (doc_id)),
+used AS (SELECT stratum, rule FROM marked CROSS JOIN tries WHERE good = 0 AND step = {quality.STEPS - 1} GROUP BY ALL
+         HAVING 100 * count(*) FILTER (WHERE {beyond}) >= {quality.USEFUL} * count(*)),
+tried AS (SELECT doc_id, stratum, good, step, bool_or({beyond}) AS broken
+          FROM marked JOIN used USING (stratum) JOIN tries USING (rule) GROUP BY ALL),
+seen AS (SELECT stratum, step, sum(good) AS n, sum(1 - good) AS bad, count(*) FILTER (WHERE good = 1 AND broken) AS k,
+                count(*) FILTER (WHERE good = 0 AND broken) AS caught FROM tried GROUP BY ALL),
 tested AS (SELECT *, CASE WHEN k >= n * {p} THEN 1.0 ELSE list_sum(list_transform(range(0, CAST(k + 1 AS BIGINT)), lambda i:
                      exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({p}) + (n - i) * ln(1 - {p})))) END
-                     <= {quality.DELTA / len(rules)} / (SELECT count(DISTINCT stratum) FROM seen) AS holds
-           FROM seen WHERE n > 0 AND bad > 0),
-ok AS (SELECT *, caught / bad - k / n AS gain FROM tested
-       QUALIFY bool_and(holds) OVER (PARTITION BY stratum, rule ORDER BY step)),
-cut AS (SELECT stratum, rule, percent FROM ok WHERE caught > 0 AND gain > 0
-        QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY gain DESC, step) = 1),
+                     <= CAST({quality.DELTA} AS DOUBLE) / (SELECT count(DISTINCT stratum) FROM marked) AS holds
+           FROM seen WHERE n > 0),
+ok AS (SELECT *, caught / bad - k / n AS gain FROM tested QUALIFY bool_and(holds) OVER (PARTITION BY stratum ORDER BY step)),
+best AS (SELECT stratum, step FROM ok WHERE caught > 0 AND gain > 0
+         QUALIFY row_number() OVER (PARTITION BY stratum ORDER BY gain DESC, step) = 1),
+cut AS (SELECT stratum, rule, percent FROM best JOIN used USING (stratum) JOIN tries USING (rule, step)),
 dropped AS (SELECT DISTINCT doc_id FROM b JOIN cut USING (stratum) WHERE {beyond})
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM dropped) AS kept

@@ -1,13 +1,15 @@
 """Quality rules with risk-controlled thresholds, in DataFrame expressions only.
 
-Every rule is a ratio of two counts of the text that must not exceed a cutoff. A cutoff comes from labelled holdouts:
-per stratum and rule the candidates are tried from the mildest to the strictest, and a candidate is admissible while
-the exact binomial test rejects "more than ``alpha / number of rules`` of the good documents would go". Trying in a
-fixed order and stopping at the first failure needs no correction along a rule's candidates; over rules and strata the
-test level is ``delta / (rules * strata)`` (Bonferroni). So with probability 1 - delta, in every stratum at once, all
-rules together drop at most ``alpha`` of the good documents. Among the admissible candidates the one with the best
-difference of rejection rates (bad minus good) is taken, the mildest among equals; a stratum with too few labels to
-prove anything gets no cutoff and loses nothing.
+Every rule is a ratio of two counts of the text that must not exceed a cutoff. The cutoffs come from labelled holdouts.
+Per stratum the rules in use are those whose strictest cutoff rejects ``USEFUL`` percent or more of the bad documents. Step
+by step, from the mildest cutoffs to the strictest, the rules in use are tried together, and a step is admissible while the
+exact binomial test rejects "more than ``alpha`` of the good documents would go". Trying in a fixed order and stopping at the
+first failure needs no correction along the steps; over strata the test level is ``delta / strata`` (Bonferroni). The rules
+in use are told by bad documents alone and the tests read good ones alone, so that choosing them costs no error. So with
+probability 1 - delta, in every stratum at once, all rules together drop at most ``alpha`` of the good documents. Among
+the admissible steps the one with the best difference of rejection rates (bad minus good) is taken, the mildest among
+equals; a stratum with too few labels to prove anything (86 good ones without an error, of four strata) gets no cutoff and
+loses nothing.
 """
 
 from __future__ import annotations
@@ -17,6 +19,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from txnwatch.session import ensure_checkpoint_dir
+
 #: Words are runs of other characters than these.
 SPACE, WORD = "[\\x20\\x09-\\x0D]+", "[^\\x20\\x09-\\x0D]"
 SYMBOLS = "[#*$%&|<>]"
@@ -30,8 +34,11 @@ RULES = {
     "repeats": ("n_repeat_words", "n_words", (25, 20, 15, 10)),
     "word_length": ("word_chars", "n_words", (4000, 2500, 1600)),
 }
+STEPS = max(len(grid) for _, _, grid in RULES.values())
 #: Share of a stratum's good documents that may go, and the chance that this is exceeded anywhere.
 ALPHA, DELTA = 0.05, 0.05
+#: Percent of a stratum's bad documents that a rule must reject at its strictest to be in use there.
+USEFUL = 2
 #: Up to this many strata the cutoffs travel as literals of the plan, beyond it they are joined.
 LITERAL_STRATA = 500
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_marks", "n_upper", "n_lines", "n_dup_lines", "n_repeat_words"]
@@ -95,6 +102,11 @@ def rejects(rule: str, percent: Column) -> Column:
     return F.col(top) * 100 > percent * F.col(bottom)
 
 
+def at(rule: str, step: int) -> int:
+    """The cutoff of a rule at a step; a rule with fewer stays at its strictest."""
+    return RULES[rule][2][min(step, len(RULES[rule][2]) - 1)]
+
+
 def lower_tail(n: Column, k: Column, p: float) -> Column:
     """P(a binomial count of n trials of chance p is at most k), exactly summed from its largest term down; 1 beyond
     the mean, where no test passes. The terms grow up to k, so none is lost in the smallest doubles."""
@@ -113,28 +125,36 @@ def cutoffs(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id", labe
             alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """(stratum, rule, percent): the risk-controlled cutoffs from labels (1 good, 0 bad; other values are no label).
 
-    A document labelled twice counts once, as bad if any of its labels says so. Strata without good or bad documents and
-    rules without an admissible cutoff have no row; without labels the result is empty.
+    A document labelled twice counts once, as bad if any of its labels says so. Strata without good or bad documents or
+    without an admissible step and rules that are not in use have no row; without labels the result is empty.
     """
+    ensure_checkpoint_dir(measured.sparkSession)
     marked = labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).alias("good"))
-    tries = [(rule, step, percent) for rule, (_, _, grid) in RULES.items() for step, percent in enumerate(grid)]
-    seen = measured.join(marked, "id").groupBy("stratum").agg(
-        F.sum("good").cast("long").alias("n_good"), F.sum(1 - F.col("good")).cast("long").alias("n_bad"),
-        *[F.count(F.when(rejects(r, F.lit(p)) & (F.col("good") == g), 1)).alias(f"{r}_{s}_{g}") for r, s, p in tries for g in (0, 1)])
-    rows = F.explode(F.array(*[F.struct(
-        F.lit(r).alias("rule"), F.lit(s).alias("step"), F.lit(p).cast("long").alias("percent"),
-        F.col(f"{r}_{s}_1").alias("k"), F.col(f"{r}_{s}_0").alias("caught")) for r, s, p in tries]))
-    # counted before the candidates multiply the rows; one small row a stratum
-    seen = seen.withColumn("strata", F.count("*").over(Window.partitionBy(F.lit(1))))
-    t = seen.select("stratum", "n_good", "n_bad", "strata", rows.alias("x")).select("stratum", "n_good", "n_bad", "strata", "x.*")
-    t = t.where("n_good > 0 AND n_bad > 0").withColumn(
-        "fails", (lower_tail(F.col("n_good"), F.col("k"), alpha / len(RULES)) > delta / len(RULES) / F.col("strata")).cast("int"))
-    failed = F.sum("fails").over(
-        Window.partitionBy("stratum", "rule").orderBy("step").rowsBetween(Window.unboundedPreceding, 0))
+    # bit i of a step's mask: rule i rejects at that step
+    masks = [F.reduce(F.array(*[F.when(rejects(r, F.lit(at(r, s))), 1 << i).otherwise(0) for i, r in enumerate(RULES)]),
+                      F.lit(0), lambda a, x: a + x) for s in range(STEPS)]
+    counted = measured.join(marked, "id").groupBy("stratum", "good", F.array(*masks).alias("masks")).count().checkpoint()
+    bits = F.explode(F.sequence(F.lit(0), F.lit(len(RULES) - 1))).alias("bit")
+    bad = counted.where("good = 0")
+    useful = bad.select("stratum", "masks", "count", bits).groupBy("stratum", "bit").agg(
+        F.sum(F.when(F.expr(f"getbit(masks[{STEPS - 1}], bit) = 1"), F.col("count")).otherwise(0)).alias("caught"),
+        F.sum("count").alias("n")).where(f"caught * 100 >= n * {USEFUL}").groupBy("stratum").agg(
+        F.sum(F.call_function("shiftleft", F.lit(1), F.col("bit"))).cast("int").alias("used"))
+    strata = counted.agg(F.count_distinct("stratum")).scalar()
+    seen = counted.join(useful, "stratum").select(
+        "stratum", "good", "count", "used", F.posexplode("masks").alias("step", "mask")).groupBy("stratum", "used", "step").agg(
+        *[F.coalesce(F.sum(F.when(F.expr(f"good = {g} AND {x}"), F.col("count"))), F.lit(0)).alias(name)
+          for name, g, x in (("n_good", 1, "true"), ("n_bad", 0, "true"), ("k", 1, "mask & used != 0"), ("caught", 0, "mask & used != 0"))])
+    t = seen.where("n_good > 0").withColumn(
+        "fails", (lower_tail(F.col("n_good"), F.col("k"), alpha) > F.lit(delta) / strata).cast("int"))
+    failed = F.sum("fails").over(Window.partitionBy("stratum").orderBy("step").rowsBetween(Window.unboundedPreceding, 0))
     gain = (F.col("caught") / F.col("n_bad") - F.col("k") / F.col("n_good")).alias("gain")
-    best = F.max(F.struct(gain, (-F.col("step")).alias("mild"), F.col("percent"))).alias("best")
-    return t.withColumn("failed", failed).where("failed = 0 AND caught > 0").groupBy("stratum", "rule").agg(best).where(
-        "best.gain > 0").select("stratum", "rule", F.col("best.percent").alias("percent"))
+    best = F.max(F.struct(gain, (-F.col("step")).alias("mild"))).alias("best")
+    best = t.withColumn("failed", failed).where("failed = 0 AND caught > 0").groupBy("stratum", "used").agg(best).where("best.gain > 0")
+    percents = F.array(*[F.array(*[F.lit(at(r, s)).cast("long") for s in range(STEPS)]) for r in RULES])
+    names = F.array(*[F.lit(r) for r in RULES])
+    return best.select("stratum", "used", (-F.col("best.mild")).alias("step"), bits).where("getbit(used, bit) = 1").select(
+        "stratum", F.get(names, F.col("bit")).alias("rule"), F.get(F.get(percents, F.col("bit")), F.col("step")).alias("percent"))
 
 
 def judge(measured: DataFrame, found: DataFrame) -> DataFrame:
@@ -160,7 +180,8 @@ def verdicts(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
              stratum_col: str = "lang", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """(id, stratum, counts, base_failed, kept) per row of ``documents``; repeated rows and null ids stay, other columns
     are not read. An empty table gives an empty one. Null text: no words, so base_failed."""
-    d = measures(documents, id_col, text_col, stratum_col)
+    ensure_checkpoint_dir(documents.sparkSession)
+    d = measures(documents, id_col, text_col, stratum_col).checkpoint()  # numbers only; the texts are read once
     return judge(d, cutoffs(d, labels, id_col, alpha=alpha, delta=delta))
 
 
