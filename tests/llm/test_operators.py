@@ -333,6 +333,8 @@ def test_network_gradient_viterbi_and_windows():
     def total(tags):
         return sum(scores[i, t] for i, t in enumerate(tags)) + sum(p["A"][a, b] for a, b in zip(tags, tags[1:], strict=False)) + p["s"][tags[0]] + p["e"][tags[-1]]
     assert tuple(lstm_crf.viterbi(p, scores)) == max(itertools.product(range(5), repeat=4), key=total)
+    many = [rng.normal(size=(n, 5)) for n in (3, 1, 40, 7, 7, 90, 2, 200)]
+    assert all((x == lstm_crf.viterbi(p, s)).all() for x, s in zip(lstm_crf.paths(p, many, batch=3), many, strict=True))
     for n in (1, 96, 97, 500):
         covered = {i for at in pii.windows(0, n) for i in range(at, at + pii.WINDOW)}
         assert covered >= set(range(n))
@@ -359,6 +361,42 @@ def test_pii_learns_and_adds(spark):
     assert pii.learn(df.limit(0)) is None and pii.find(df.limit(0), None).count() == 0
 
 
+def test_pii_finds_what_the_patterns_do_not(spark):
+    """Rewritten data that the network has not seen, in other surroundings, is found; plain texts are left alone."""
+    rng = random.Random(8)
+    word = lambda: rng.choice(["Some", "plain", "words", "stand", "here", "look", "at", "the", "total", "of", "12", "items."])
+    name = lambda: "".join(rng.choices("abcdefghijklmnoprstu", k=rng.randrange(3, 9)))
+    def datum(kind):
+        if kind == 0:
+            return f"{name()}.{rng.randrange(99)}@{name()}.{name()}.{rng.choice(['com', 'org', 'net'])}"
+        if kind == 1:
+            return ".".join(str(rng.randrange(256)) for _ in range(4))
+        if kind == 2:
+            d = "4" + "".join(rng.choices("0123456789", k=14))
+            return next(d + c for c in "0123456789" if pii.luhn(d + c))
+        return f"+{rng.randrange(1, 99)} ({rng.randrange(200, 999)}) {rng.randrange(100, 999)}-{rng.randrange(1000, 9999)}"
+    around = lambda x: " ".join([word() for _ in range(rng.randrange(3, 15))] + [x] + [word() for _ in range(rng.randrange(3, 15))])
+    train = spark.createDataFrame([(around(datum(i // 2 % 4)) if i % 2 else around(""),) for i in range(1600)], "text string")
+    model = pii.learn(train, sample=600)
+    hidden, clean = [], [around(word()) for _ in range(300)]
+    for i in range(400):
+        new = pii.rewrite(i % 4, datum(i % 4), rng.randrange(1000))
+        text = around(new)
+        if not any(a < text.index(new) + len(new) and text.index(new) < b for _, a, b in pii.pattern_spans(text)):
+            hidden.append((i % 4, text, new))
+    got = pii.model_spans(model, [t for _, t, _ in hidden] + clean, [pii.pattern_spans(t) for t in [t for _, t, _ in hidden] + clean])
+    caught = collections.Counter(k for (k, t, new), g in zip(hidden, got, strict=False) if (len(pii.KINDS) + k, t.index(new), t.index(new) + len(new)) in g)
+    asked = collections.Counter(k for k, _, _ in hidden)
+    assert set(asked) == set(range(4)) and all(caught[k] >= 0.8 * n for k, n in asked.items()), (caught, asked)
+    assert sum(map(len, got[len(hidden):])) == 0
+
+
+def test_pii_rewritten_forms_are_possible():
+    assert pii.possible(0, "jane.doe (at) mail [dot] example dot org") and pii.possible(0, "x@ mail . com") and pii.possible(1, "10[.]0 . 3(dot)4")
+    assert not pii.possible(0, "look at the sea") and not pii.possible(0, "arrive at 5 dot 30") and not pii.possible(1, "1, 2, 3, 4")
+    assert not pii.possible(1, "10[.]0[.]3[.]400") and pii.possible(3, "0049 30 1234567") and not pii.possible(3, "473696257")
+
+
 # --- 10 secrets --------------------------------------------------------------
 
 def plain_secrets(t):

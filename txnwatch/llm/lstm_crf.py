@@ -139,3 +139,35 @@ def viterbi(p: dict[str, np.ndarray], scores: np.ndarray) -> np.ndarray:
     for t in range(len(scores) - 1, 0, -1):
         out[t - 1] = back[t, out[t]]
     return out
+
+
+def paths(p: dict[str, np.ndarray], scores: list[np.ndarray], batch: int = 256) -> list[np.ndarray]:
+    """``viterbi`` of many stretches, those of similar length side by side; a stretch that has ended keeps its state."""
+    out: list[np.ndarray] = [np.empty(0, np.int64)] * len(scores)
+    order, a = sorted(range(len(scores)), key=lambda i: len(scores[i])), p["A"]
+    at = 0
+    while at < len(order):
+        # a stretch much longer than the others goes with its like
+        group = [i for i in order[at:at + batch] if len(scores[i]) <= 2 * len(scores[order[at]])]
+        at += len(group)
+        length, rows = np.array([len(scores[i]) for i in group]), np.arange(len(group))
+        if length[-1] == 0:
+            continue
+        padded = np.zeros((len(group), length[-1], a.shape[0]))
+        for k, i in enumerate(group):
+            padded[k, :len(scores[i])] = scores[i]
+        best = p["s"] + padded[:, 0]
+        back = np.zeros(padded.shape, np.int8)
+        for t in range(1, length[-1]):
+            steps = best[:, :, None] + a
+            on = length > t
+            back[:, t] = steps.argmax(1)
+            best = np.where(on[:, None], steps.max(1) + padded[:, t], best)
+        tags = np.zeros((len(group), length[-1]), np.int64)
+        tags[rows, length - 1] = (best + p["e"]).argmax(1)
+        for t in range(length[-1] - 1, 0, -1):
+            before = back[rows, t, tags[:, t]]
+            tags[:, t - 1] = np.where(length > t, before, tags[:, t - 1])
+        for k, i in enumerate(group):
+            out[i] = tags[k, :length[k]]
+    return out

@@ -1,17 +1,19 @@
-"""Personal data: fixed patterns, plus spans of a character-level BiLSTM-CRF trained on what the patterns label.
-
-The network learns from windows of a bounded sample of documents; their labelled spans are the patterns' matches, and
-windows with digits or @ but without a match teach it what to leave alone. Its kinds all hold a digit or @, so it reads
-the surroundings of these characters only: the stretches around them are covered by windows that overlap by half, the
-windows' scores are averaged per character, and one Viterbi pass over the whole stretch reconciles them. A found span that
-overlaps no pattern's span and is possible for its kind (a card number must pass its checksum, an address have four parts
-up to 255) is added as kind ``lstm_...``: what the patterns' greedy matches miss, such as a phone number that runs into
-other digits.
+"""Personal data: fixed patterns, plus spans of a character-level BiLSTM-CRF that finds what is written around them.
+
+The network learns from windows of a bounded sample of documents: windows with the patterns' matches, the same surroundings
+with the match rewritten as people write it past a pattern (``rewrite``: a spelled or bracketed at sign and dot, a spaced or
+bracketed address, a phone number without its plus sign, a card number in other groups), and windows without any, which teach
+it what to leave alone. All of these hold a digit, an @ or the word "at" or "dot", so it reads the surroundings of these
+only: the stretches around them are covered by windows that overlap by half, the windows' scores are averaged per
+character, and one Viterbi pass over the whole stretch reconciles them. A found span that overlaps no pattern's span and
+is possible for its kind (``possible``: a card number must pass its checksum, an address have four parts up to 255, an
+e-mail read as one once its signs are put back) is added as kind ``lstm_...``. Names and street addresses are no kinds here.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,12 +32,20 @@ CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TRIGGER = re.compile(r"[0-9@]")
+SPELLED = re.compile(r"\b(?:[Aa][Tt]|[Dd][Oo][Tt])\b")
+#: How an at sign and a dot are written past the patterns, and how such spellings are read.
+ATS = (" at ", " (at) ", "(at)", "[at]", " [at] ", " AT ", " @ ")
+DOTS = (" dot ", " (dot) ", "(dot)", "[dot]", " [dot] ", " DOT ", " . ")
+PART_DOTS = ("[.]", " . ", "(.)", "[dot]", " dot ")
+READ_AT = re.compile(r"\s*[\[({]\s*(?:at|@)\s*[\])}]\s*|\s+at\s+|\s*@\s*", re.I)
+READ_DOT = re.compile(r"\s*[\[({]\s*(?:dot|\.)\s*[\])}]\s*|\s+dot\s+|\s\.\s", re.I)
 #: Tags: 0 outside, then begin and inside of each kind.
 TAGS = 1 + 2 * len(KINDS)
-#: Characters of a window, its step, and the characters read on either side of a digit or @.
+#: Characters of a window, its step, and the characters read on either side of a digit, an @ or a spelled sign.
 WINDOW, STEP, AROUND = 96, 48, 32
-#: The sample the network is fitted on: at most so many windows with spans and so many without, and its steps.
-SAMPLE, STEPS = 1200, 160
+#: The sample the network is fitted on: at most so many windows with matches, so many with rewritten ones and so many
+#: without; its steps; and the ways in which a match is rewritten.
+SAMPLE, STEPS, WAYS = 1200, 360, 4
 
 
 def luhn(digits: str) -> bool:
@@ -75,21 +85,39 @@ def pattern_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
+def rewrite(kind: int, found: str, way: int) -> str:
+    """A pattern's match written past the pattern; ``way`` (any number) chooses among the ways."""
+    if kind == 0:
+        local, domain = found.rsplit("@", 1)
+        at, dot = ATS[way % len(ATS)], DOTS[way // len(ATS) % len(DOTS)]
+        return local + at + domain.replace(".", dot)
+    if kind == 1:
+        return found.replace(".", PART_DOTS[way % len(PART_DOTS)])
+    digits = "".join(c for c in found if "0" <= c <= "9")
+    if kind == 2:
+        return (".", "/", "_", " - ")[way % 4].join(digits[i:i + 4] for i in range(0, len(digits), 4))
+    rest = found[1:]
+    return "00" + rest if way % 2 or "(" not in rest else rest[rest.index("("):]
+
+
 def possible(kind: int, found: str) -> bool:
-    """Whether a string can be personal data of the kind."""
+    """Whether a string can be personal data of the kind, once spelled signs are read."""
     digits = "".join(c for c in found if "0" <= c <= "9")
     if kind == 0:
-        return bool(re.fullmatch(r"[^@\s]+@[^@\s]+\.[^@\s.]+", found))
+        read = READ_AT.sub("@", READ_DOT.sub(".", found))
+        return bool(re.fullmatch(r"[^@\s]+@[^@\s.]+(\.[^@\s.]+)*\.[^\W\d_]{2,}", read))
     if kind == 1:
-        parts = re.split(r"\D+", found.strip("[]() "))
-        return len(parts) == 4 and all(p and len(p) <= 3 and int(p) <= 255 for p in parts)
-    return 12 <= len(digits) <= 19 and luhn(digits) if kind == 2 else 7 <= len(digits) <= 15
+        parts = READ_DOT.sub(".", found).split(".")
+        return len(parts) == 4 and all(re.fullmatch("[0-9]{1,3}", p) and int(p) <= 255 for p in parts)
+    if kind == 2:
+        return 12 <= len(digits) <= 19 and luhn(digits)
+    return 7 <= len(digits) <= 15 and (digits != found or found.startswith("00"))
 
 
 @lru_cache(maxsize=1)
 def _classes() -> np.ndarray:
     """The class of each code point: its shape for letters and digits, itself for the signs that matter."""
-    signs = " \n@.-+()_%/:,;=\"'#"
+    signs = " \n@.-+()_%/:,;=\"'#[]{}"
     out = np.zeros(0x110000, np.int8)
     for c in range(0x110000):
         ch = chr(c)
@@ -98,10 +126,12 @@ def _classes() -> np.ndarray:
     out[48:58] = 4
     for i, ch in enumerate(signs):
         out[ord(ch)] = 5 + i
+    for i, ch in enumerate("adot"):  # the letters of the spelled signs
+        out[ord(ch)] = out[ord(ch.upper())] = 5 + len(signs) + i
     return out
 
 
-CLASSES = 5 + 18
+CLASSES = 5 + 22 + 4
 
 
 def codes(text: str) -> np.ndarray:
@@ -109,10 +139,13 @@ def codes(text: str) -> np.ndarray:
 
 
 def stretches(text: str) -> list[tuple[int, int]]:
-    """[start, end) around the digits and @ of a text, merged where they touch."""
+    """[start, end) around the digits, at signs and spelled signs of a text, merged where they touch."""
     out: list[list[int]] = []
-    for m in TRIGGER.finditer(text):
-        a, b = max(0, m.start() - AROUND), min(len(text), m.end() + AROUND)
+    places = [m.start() for m in TRIGGER.finditer(text)]
+    if spelled := [m.start() for m in SPELLED.finditer(text)]:
+        places = sorted(places + spelled)
+    for at in places:
+        a, b = max(0, at - AROUND), min(len(text), at + 1 + AROUND)
         if out and a <= out[-1][1]:
             out[-1][1] = b
         else:
@@ -130,39 +163,51 @@ def _padded(c: np.ndarray, at: int) -> np.ndarray:
     return np.r_[part, np.full(WINDOW - len(part), 5)] if len(part) < WINDOW else part  # blanks after the end
 
 
+def rewritten(text: str, tags: np.ndarray, spans: list[tuple[int, int, int]]) -> Iterator[tuple[bytes, bytes]]:
+    """Windows (classes, tags) with each match of a text rewritten in WAYS ways."""
+    for kind, a, b in spans:
+        left, right = max(0, a - AROUND), b + AROUND
+        for way in range(WAYS):
+            new = rewrite(kind, text[a:b], zlib.crc32(text[a:b].encode()) + way * 17)
+            t = np.zeros(WINDOW, np.int8)
+            whole = np.r_[tags[left:a], 1 + 2 * kind, np.full(len(new) - 1, 2 + 2 * kind), tags[b:right]][:WINDOW]
+            t[:len(whole)] = whole
+            yield _padded(codes(text[left:a] + new + text[b:right]), 0).astype(np.int8).tobytes(), t.tobytes()
+
+
 def learn(df: DataFrame, text_col: str = "text", sample: int = SAMPLE, steps: int = STEPS) -> dict[str, np.ndarray] | None:
     """The network, or None where the texts hold no labelled span. The sample is drawn by a hash of the windows' own
-    content, so it does not depend on the order of the rows; it is bounded by 2 * ``sample`` windows."""
+    content, so it does not depend on the order of the rows; it is bounded by 3 * ``sample`` windows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "t"):
-                x, y = [], []
+                rows = []
                 for text in part.column(0).to_pylist():
                     places = stretches(text)
                     if not places:
                         continue
                     c, tags = codes(text), np.zeros(len(text) + WINDOW, np.int8)
-                    for kind, a, b in reversed(pattern_spans(text)):
+                    spans = pattern_spans(text)
+                    for kind, a, b in reversed(spans):
                         tags[a:b] = 2 + 2 * kind
                         tags[a] = 1 + 2 * kind
                     for a, b in places:
                         for at in windows(a, b):
-                            x.append(_padded(c, at).astype(np.int8).tobytes())
-                            y.append(tags[at:at + WINDOW].tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()), pa.array(y, pa.binary())], names=["x", "y"])
-
-    found = df.where(F.col(text_col).isNotNull()).select(F.col(text_col).alias("t")).mapInArrow(run, "x binary, y binary")
-    blank = F.lit(bytes(WINDOW))
-    found = found.groupBy("x").agg(F.max("y").alias("y"))  # repeated windows teach nothing new
-    rows = []
-    marked = found.withColumn("has", F.col("y") != blank).withColumn("h", F.xxhash64("x"))
-    # two bounded samples of one pass: the smallest hashes of either sort
-    for r in marked.where("has").orderBy("h", "x").limit(sample).unionByName(
-            marked.where("NOT has").orderBy("h", "x").limit(sample)).collect():
-        rows.append((bytes(r["x"]), bytes(r["y"]), r["has"]))
+                            y = tags[at:at + WINDOW]
+                            rows.append((_padded(c, at).astype(np.int8).tobytes(), y.tobytes(), int(y.any())))
+                    rows += [(x, y, 2) for x, y in rewritten(text, tags, spans)]
+                x, y, sort = zip(*rows, strict=True) if rows else ((), (), ())
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()), pa.array(y, pa.binary()), pa.array(sort, pa.int32())],
+                                                 names=["x", "y", "sort"])
+
+    found = df.where(F.col(text_col).isNotNull()).select(F.col(text_col).alias("t")).mapInArrow(run, "x binary, y binary, sort int")
+    # repeated windows teach nothing new
+    found = found.groupBy("x").agg(F.max(F.struct("sort", "y")).alias("m")).select("x", "m.y", "m.sort", F.xxhash64("x").alias("h"))
+    # three bounded samples of one pass: the smallest hashes of each sort
+    picked = [found.where(F.col("sort") == k).orderBy("h", "x").limit(sample) for k in range(3)]
+    rows = sorted((bytes(r["x"]), bytes(r["y"]), r["sort"]) for r in picked[0].unionByName(picked[1]).unionByName(picked[2]).collect())
     if not any(r[2] for r in rows):
         return None
-    rows.sort()
     x = np.stack([np.frombuffer(r[0], np.int8) for r in rows]).astype(np.int64)
     y = np.stack([np.frombuffer(r[1], np.int8) for r in rows]).astype(np.int64)
     return lstm_crf.fit(x, y, CLASSES, TAGS, steps)
@@ -182,13 +227,15 @@ def model_spans(model: dict[str, np.ndarray], texts: list[str], base: list[list[
     if not jobs:
         return out
     scores = np.concatenate([lstm_crf.emissions(model, np.stack(batch[k:k + 512])) for k in range(0, len(batch), 512)])
-    for i, a, b, first, starts in jobs:
+    averaged = []
+    for _, a, b, first, starts in jobs:
         total, seen = np.zeros((b - a, TAGS)), np.zeros((b - a, 1))
         for k, at in enumerate(starts):
             n = min(WINDOW, b - at)
             total[at - a:at - a + n] += scores[first + k, :n]
             seen[at - a:at - a + n] += 1
-        tags = lstm_crf.viterbi(model, total / np.maximum(seen, 1))
+        averaged.append(total / np.maximum(seen, 1))
+    for (i, a, *_), tags in zip(jobs, lstm_crf.paths(model, averaged), strict=True):
         t = 0
         while t < len(tags):
             if tags[t]:
