@@ -124,3 +124,26 @@ def test_pruning_keeps_every_member_that_may_link():
         assert all(g or not w for g, w in zip(got, want))  # none is lost; a member alone of its size is told exactly
         sizes = [n.tolist().count(x) for x in n.tolist()]
         assert all(g == w for g, w, t in zip(got, want, sizes) if t == 1)
+
+
+def test_comparisons_of_a_large_group_of_near_copies(spark, monkeypatch):
+    # few of the group link with all others, so its first links leave many components
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=5))
+    base, rows, compared = [word() for _ in range(150)], [], []
+    for i in range(300):
+        w = list(base)
+        for k in rng.sample(range(150), 1 if rng.random() < 0.03 else 2):
+            w[k] = word()
+        rows.append((i, " ".join(w)))
+    linked = jaccard._linked
+
+    def counted(pairs, sets):
+        pairs = pairs.checkpoint()
+        compared.append(pairs.count())
+        return linked(pairs, sets)
+
+    monkeypatch.setattr(jaccard, "_linked", counted)
+    got = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted(tuple(r) for r in got.collect()) == brute(rows)
+    assert sum(compared) <= 20 * len(rows)  # with all components' candidates at once 22,717

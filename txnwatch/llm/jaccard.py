@@ -10,8 +10,10 @@ have make inverted lists. Links are then found in two steps that together miss n
    blocks, each block holds inverted lists of its classes' prefixes, and every class queries the blocks it meets for
    classes of larger components that share at least the T prefix shingles that a link between sets of these sizes
    needs. Short lists are merged with a heap; long ones are only probed, by bisection, for what the merge has found.
-   Of the classes found in one component the FEW best are compared first; a query that links with none of them goes
-   once to the component's blocks of whole sets, where all the others are compared.
+   Of the classes found in a block the FEW best are compared first and their links contracted, as a large group of
+   near copies may still be in many components, and a query would bring candidates of each. Then the search is made again,
+   and the FEW best of each other component are compared; a query that links with none of them goes once to the
+   component's blocks of whole sets, where all the others are compared.
 
 Sets are compared whole. Shingles are 64-bit hashes (48 bits in the comparison), classes 64-bit hashes of their sets.
 """
@@ -312,13 +314,8 @@ def _joint(x: np.ndarray, y: np.ndarray) -> bool:
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes whose whole sets link. Only the sets of these classes are dealt out."""
     pairs = pairs.checkpoint()
-    meets = pairs.sparkSession.sparkContext.broadcast(filters.gather(
-        pairs.select("a").unionByName(pairs.select(F.col("b").alias("a")))))  # of fixed size
-
-    def some(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        yield batch.select([0, 1]).filter(pa.array(filters.may_hold(meets.value, batch.column(0).to_numpy().view(np.uint64))))
-
-    sets = _map(sets, "c bigint, v binary", some).groupBy("c").agg(F.first("v").alias("v"))
+    sets = _only(sets.select("c", "v"), "c bigint, v binary", pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))))
+    sets = sets.groupBy("c").agg(F.first("v").alias("v"))
     both = pairs.join(sets.select(F.col("c").alias("a"), F.col("v").alias("va")), "a").join(
         sets.select(F.col("c").alias("b"), F.col("v").alias("vb")), "b").select("a", "b", "va", "vb")
 
@@ -415,14 +412,25 @@ def _named(heads: DataFrame, labels: DataFrame) -> DataFrame:
         "members", F.coalesce("members", F.lit(1)))
 
 
-def _candidates(heads: DataFrame, labels: DataFrame) -> DataFrame:
+def _only(df: DataFrame, schema: str, keys: DataFrame) -> DataFrame:
+    """The rows of ``df`` (c, ...) whose class is in the only column of ``keys`` (a filter of fixed size lets some others
+    pass), so that the others are not dealt out."""
+    meets = df.sparkSession.sparkContext.broadcast(filters.gather(keys))  # of fixed size
+
+    def some(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        yield batch.filter(pa.array(filters.may_hold(meets.value, batch.column(0).to_numpy().view(np.uint64))))
+
+    return _map(df, schema, some)
+
+
+def _candidates(heads: DataFrame, labels: DataFrame, apart: bool = True) -> DataFrame:
     """(a, b, more): queries a with the FEW best classes b of each other component that they may link with; ``more`` where
-    there were others."""
-    classes = _named(heads, labels)
-    home = F.when(F.col("members") >= BLOCK, F.col("label")).otherwise(F.get("tokens", F.lit(0)))
-    classes = classes.withColumn("home", home)
-    crowd = classes.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).alias("shares"))
-    classes = classes.join(crowd, "home").withColumn("block", F.xxhash64("home", F.pmod("c", "shares"))).drop("home", "shares").checkpoint()
+    there were others. Not ``apart``: the FEW best of a block, whatever their components."""
+    light = _named(heads.select("c", F.get("tokens", F.lit(0)).alias("rarest")), labels)
+    light = light.withColumn("home", F.when(F.col("members") >= BLOCK, F.col("label")).otherwise(F.col("rarest")))
+    crowd = light.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).alias("shares"))
+    light = light.join(crowd, "home").select("c", "label", "members", F.xxhash64("home", F.pmod("c", "shares")).alias("block"))
+    classes = heads.join(light, "c").checkpoint()
     rows = classes.select(F.explode("tokens").alias("s"), "c", "block", F.struct("members", "label").alias("own"))
     targets = rows.groupBy("s", "block").agg(F.max("own").alias("most"))
     asks = rows.drop("block").join(targets, "s").where(F.col("most") > F.col("own")).select("c", "block").distinct()
@@ -439,9 +447,9 @@ def _candidates(heads: DataFrame, labels: DataFrame) -> DataFrame:
                 if not asks_:
                     block.add(c, n, (members, label), tokens, q)
                     continue
-                best: dict[tuple, list] = {}
+                best: dict[tuple | None, list] = {}
                 for other, key, count in block.search(n, (members, label), tokens, q):
-                    best.setdefault(key, []).append((-count, other))
+                    best.setdefault(key if apart else None, []).append((-count, other))
                 for hits in best.values():
                     found += [(c, other, len(hits) > FEW) for _, other in heapq.nsmallest(FEW, hits)]
             yield _batch(a=pa.array([x[0] for x in found], pa.int64()), b=pa.array([x[1] for x in found], pa.int64()),
@@ -454,25 +462,25 @@ def _candidates(heads: DataFrame, labels: DataFrame) -> DataFrame:
 def _rest(heads: DataFrame, labels: DataFrame, asked: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b): links of the queries of ``asked`` (a, b, more) that had more candidates in a component than were compared
     and are still not in it. The component's classes are dealt into blocks with their whole sets, and a query goes once
-    to every block: candidates are found by the same search and compared on the spot until one links."""
+    to every block: candidates are found by the same search and compared on the spot until one links. Only the sets of
+    these components and queries are dealt out."""
     at = labels.select(F.col("node").alias("c"), "label")
-    at = heads.select("c").join(at, "c", "left").withColumn("label", F.coalesce("label", "c"))
+    at = heads.select("c", "n").join(at, "c", "left").withColumn("label", F.coalesce("label", "c"))
     side = lambda x: at.select(F.col("c").alias(x), F.col("label").alias(f"l{x}"))
     open_ = asked.where("more").join(side("a"), "a").join(side("b"), "b").where("la <> lb").select("a", "lb").distinct().checkpoint()
     if open_.isEmpty():
         return open_.select("a", F.col("lb").alias("b"))
-    goals = open_.select(F.col("lb").alias("label")).distinct()
-    named = _named(heads, labels).join(goals, "label")
+    named = at.join(open_.select(F.col("lb").alias("label")).distinct(), "label")
     shares = named.groupBy("label").agg(F.ceil(F.sum("n") / (BLOCK * 512)).cast("int").alias("shares"))
-    named = named.join(shares, "label")
-    index = named.select(F.xxhash64("label", F.pmod("c", "shares")).alias("block"), F.lit(0).alias("asks"), "c", "n", "tokens", "q")
+    index = named.join(shares, "label").select(F.xxhash64("label", F.pmod("c", "shares")).alias("block"), F.lit(0).alias("asks"), "c")
     spots = F.explode(F.transform(F.sequence(F.lit(0), F.col("shares") - 1), lambda k: F.xxhash64("lb", k.cast("long"))))
-    queries = open_.join(shares, open_["lb"] == shares["label"]).select("a", spots.alias("block")).join(
-        heads.withColumnRenamed("c", "a"), "a").select("block", F.lit(1).alias("asks"), F.col("a").alias("c"), "n", "tokens", "q")
-    both = index.unionByName(queries)
-    wanted = both.select("c").distinct()
-    whole = sets.join(wanted, "c", "left_semi").groupBy("c").agg(F.first("v").alias("v"))
-    both = both.join(whole, "c").select("block", "asks", "c", "n", "tokens", "q", "v")
+    queries = open_.join(shares, open_["lb"] == shares["label"]).select("a", spots.alias("block")).select(
+        "block", F.lit(1).alias("asks"), F.col("a").alias("c"))
+    both = index.unionByName(queries).checkpoint()
+    wanted = both.select("c").distinct().checkpoint()
+    whole = _only(sets.select("c", "v"), "c bigint, v binary", wanted).groupBy("c").agg(F.first("v").alias("v"))
+    known = _only(heads.select("c", "n", "tokens", "q"), "c bigint, n int, tokens array<bigint>, q array<bigint>", wanted)
+    both = both.join(known, "c").join(whole, "c").select("block", "asks", "c", "n", "tokens", "q", "v")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, block, own = None, None, {}
@@ -517,11 +525,12 @@ def links(documents: DataFrame, text_col: str = "text") -> DataFrame:
     heads = _heads(lists, sets).checkpoint()
     found = _linked(_stars(lists, heads), sets).checkpoint()
     labels = connected(found)
-    asked = _candidates(heads, labels).checkpoint()
-    more = _linked(asked.select("a", "b").distinct(), sets).checkpoint()
-    if not more.isEmpty():
-        found = found.unionByName(more)
-        labels = connected(found)
+    for apart in (False, True):
+        asked = _candidates(heads, labels, apart).checkpoint()
+        more = _linked(asked.select("a", "b").distinct(), sets).checkpoint()
+        if not more.isEmpty():
+            found = found.unionByName(more)
+            labels = connected(found)
     rest = _rest(heads, labels, asked, sets).checkpoint()
     return labels if rest.isEmpty() else connected(found.unionByName(rest))
 
