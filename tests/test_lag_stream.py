@@ -82,3 +82,14 @@ def test_rows_wait_for_the_watermark_and_state_ends(spark, tmp_path):
     assert rows(got, "trans_id") == [(f"X{i}",) for i in (1, 2, 3, 5, 6)]
     state = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
     assert state[-1] <= 8  # the rows of card B and their timers; card A has none left
+
+
+def test_states_and_timers_do_not_grow_with_the_keys(spark, tmp_path):
+    ops = [(f"X{i}", T0 + dt.timedelta(seconds=i % 600), f"C{i % 1500}", "Oslo", Decimal(1), "REJECT", "WITHDRAW", "P", "F", "1") for i in range(3000)]
+    make = lambda d: lags.lag_stream(d, "card_num", "trans_date", "trans_id", ["amt"], 1, 600, "30 minutes")
+    _, q = drive(spark, tmp_path, [ops], make)
+    timers = max(s["customMetrics"]["numRegisteredTimers"] for p in q.recentProgress for s in p["stateOperators"])
+    assert 0 < timers <= 256  # with a state for each card 1,500
+    got, _ = drive(spark, tmp_path, [[end(9)]], make)
+    want = lag_chain(spark.createDataFrame(ops, SCHEMA), "card_num", "trans_date", ["trans_id"], ["amt"], 1, 600)
+    assert rows(got) == rows(want)
